@@ -11,7 +11,6 @@ from cohortweave.catalog.views import (
     claims_wide_v,
     events_v,
     members_v,
-    plus,
     scores_v,
     table,
 )
@@ -157,18 +156,16 @@ def matched_codes(spark, sf_dir):
 @query(
     "matched_code_table",
     f"""
-    WITH listed AS (SELECT DISTINCT p_brand AS code FROM part WHERE p_type = 'PROMO' AND p_name LIKE '%red%'
-                    AND p_retailprice > 1000)
+    WITH listed AS (SELECT DISTINCT p_brand AS code FROM part WHERE p_type = 'PROMO' AND contains(p_name, 'red ring'))
     SELECT * FROM claims_wide_v WHERE {_ANY_LISTED}
     """,
 )
 def matched_code_table(spark, sf_dir):
-    listed = table(spark, sf_dir, "part").where(F.col("p_retailprice") > 1000)
     listed = codelists.code_list(
-        listed,
+        table(spark, sf_dir, "part"),
         "promo",
         code_type="PROMO",
-        definition_contains=["red"],
+        definition_contains=["red ring"],
         type_col="p_type",
         code_col="p_brand",
         definition_col="p_name",
@@ -297,8 +294,8 @@ def claim_star(spark, sf_dir):
 _CROSSWALK = """
     WITH claims AS (
         SELECT o_custkey AS member_id, o_orderkey AS claim_id, CAST(o_orderdate AS DATE) AS firstdos,
-               o_orderstatus AS clmstat, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sexcod,
-               CAST(1 + o_custkey % 90 AS INT) AS ageyears
+               o_orderstatus AS clmstat, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'M' END AS sexcod,
+               CAST(floor(o_totalprice / 6000) AS INT) AS ageyears
         FROM orders),
     pairs AS (SELECT DISTINCT c_custkey AS member_id, 'C' || (c_custkey // 2) AS cust_id, c_acctbal FROM customer)
 """
@@ -314,8 +311,8 @@ def _crosswalk_inputs(spark, sf_dir):
         F.col("o_orderkey").alias("claim_id"),
         F.to_date("o_orderdate").alias("firstdos"),
         F.col("o_orderstatus").alias("clmstat"),
-        F.when(F.col("o_custkey") % 2 == 0, "F").otherwise("M").alias("sexcod"),
-        (F.lit(1) + F.col("o_custkey") % 90).cast("int").alias("ageyears"),
+        F.when(F.col("o_orderstatus") == "F", "F").otherwise("M").alias("sexcod"),
+        F.floor(F.col("o_totalprice") / 6000).cast("int").alias("ageyears"),
     )
     return membership, claims
 

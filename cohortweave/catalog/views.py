@@ -76,7 +76,6 @@ def members_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("person_id"),
         F.when(k % 10 != 0, F.floor(k / 4).cast("bigint")).alias("hh_id"),
         base_day("1930-01-01", (k * 37) % 25000).alias("birth_dt"),
-        F.when(k % 2 == 0, "F").otherwise("M").alias("sex"),
         F.col("c_nationkey").alias("region_cd"),
         F.col("c_mktsegment").alias("segment"),
         F.col("c_acctbal").alias("balance"),
@@ -205,8 +204,7 @@ SQL_VIEWS = {
     "members_v": """
         SELECT c_custkey AS person_id, CASE WHEN c_custkey % 10 <> 0 THEN c_custkey // 4 END AS hh_id,
                DATE '1930-01-01' + CAST((c_custkey * 37) % 25000 AS INT) AS birth_dt,
-               CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex, c_nationkey AS region_cd,
-               c_mktsegment AS segment, c_acctbal AS balance
+               c_nationkey AS region_cd, c_mktsegment AS segment, c_acctbal AS balance
         FROM customer""",
     "enroll_v": """
         SELECT o_custkey AS person_id, o_orderkey % 500 AS household_id, CAST(o_orderdate AS DATE) AS eff_dt,

@@ -32,6 +32,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g", app
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
