@@ -68,7 +68,8 @@ def weight_claims(spark, sf_dir):
 def current_flags(spark, sf_dir):
     """One row per person and day first; the latest day is then picked among days."""
     daily = code_flags(weight_claims(spark, sf_dir), "diag_cd", FAMILIES, ["cust_id", "event_dt"])
-    return ep.latest_rows(daily, "cust_id", "event_dt", "1996-11-01", "2000-11-01").withColumnRenamed("event_dt", "index_dt")
+    latest = ep.latest_rows(daily, "cust_id", "event_dt", "1996-11-01", "2000-11-01", per_day=True)
+    return latest.withColumnRenamed("event_dt", "index_dt")
 
 
 def prior_flags(spark, sf_dir):
@@ -77,7 +78,9 @@ def prior_flags(spark, sf_dir):
 
 def weight_labels(spark, sf_dir):
     persons = members_v(spark, sf_dir).select(F.col("person_id").alias("cust_id"), "birth_dt")
-    return la.weight_label(current_flags(spark, sf_dir), prior_flags(spark, sf_dir), persons)
+    daily = code_flags(weight_claims(spark, sf_dir), "diag_cd", FAMILIES, ["cust_id", "event_dt"])
+    flags = wi.current_and_prior_flags(daily, list(FAMILIES), "1996-11-01", "2000-11-01")
+    return la.weight_label(flags, None, persons)
 
 
 @query("current_weight_flags", "WITH " + _CURRENT + "SELECT * FROM cur")

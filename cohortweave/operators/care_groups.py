@@ -49,6 +49,7 @@ def period_flags(
     rules: dict[str, Column],
     periods: dict[str, tuple[str, str]],
     *,
+    first_months: dict[str, Column] | None = None,
     cust: str = "cust_id",
     person: str = "person_id",
     date: str = "claim_service_from_dt",
@@ -56,16 +57,26 @@ def period_flags(
     """One 0/1 flag per rule and period for everyone in ``people``.
 
     One claims pass for all flags: claims shrink to one row per person before they meet
-    the id crosswalk, and every step combines map-side.
+    the id crosswalk, and every step combines map-side. ``first_months`` adds the month of
+    the first claim in any period that a condition holds for, in the same pass.
     """
     flags = {}
     for name, rule in rules.items():
         for suffix, (first, last) in periods.items():
             flags[f"{name}_{suffix}"] = flag(rule & F.col(date).between(_day(first), _day(last)))
     in_any = reduce(lambda a, b: a | b, [F.col(date).between(_day(f), _day(t)) for f, t in periods.values()])
-    per_person = claims.where(in_any).groupBy(person).agg(*[F.max(c).alias(n) for n, c in flags.items()])
+    firsts = {n: F.min(F.when(c, F.col(date))) for n, c in (first_months or {}).items()}
+    per_person = (
+        claims.where(in_any)
+        .groupBy(person)
+        .agg(*[F.max(c).alias(n) for n, c in flags.items()], *[c.alias(n) for n, c in firsts.items()])
+    )
     per_cust = (
-        crosswalk.select(cust, person).distinct().join(per_person, person).groupBy(cust).agg(*[F.max(n).alias(n) for n in flags])
+        crosswalk.select(cust, person)
+        .distinct()
+        .join(per_person, person)
+        .groupBy(cust)
+        .agg(*[F.max(n).alias(n) for n in flags], *[F.trunc(F.min(n), "MM").alias(n) for n in firsts])
     )
     return (
         people.select(cust)
@@ -113,6 +124,15 @@ def member_months(
     )
 
 
+def months_by_cust(
+    months: DataFrame, crosswalk: DataFrame, *, cust: str = "cust_id", person: str = "person_id"
+) -> DataFrame:
+    """Member-months of claim-side ids brought to customer ids; a customer may have several."""
+    pairs = crosswalk.select(cust, person).distinct()
+    joined = months.join(pairs, person)
+    return joined.groupBy(cust, "yr", "mo").agg(F.max("snf").alias("snf"), F.max("nh").alias("nh"))
+
+
 def long_stays(months: DataFrame, min_months: int = 4, *, key: str = "person_id", per_stay: bool = False) -> DataFrame:
     """(key, yr_start, min_iltc4_month) of people with a contiguous stay of ``min_months`` or more.
 

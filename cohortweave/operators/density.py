@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.operators.spread import spread_join
+from cohortweave.session import written
 
 OVERALL = "NY Overall"
 
@@ -47,23 +48,31 @@ def _measured(df: DataFrame) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, by: list[str], value: str, probs: list[float], *, cells: int = 4096, levels: int = 2
+    df: DataFrame,
+    by: list[str],
+    value: str,
+    probs: list[float],
+    *,
+    count: str | None = None,
+    cells: int = 4096,
+    levels: int = 2,
 ) -> DataFrame:
     """(by.., q0, q1, ..) linearly interpolated quantiles of groups of any size.
 
-    Counting values in ever finer cells narrows each wanted rank down to a sliver of its
-    group's range; only the values of that sliver are then counted one by one. A task holds
-    cell counts or a sliver's distinct values, never a group.
+    ``count`` names a column saying how often a row's value occurs. Counting values in ever
+    finer cells narrows each wanted rank down to a sliver of its group's range; only the
+    values of that sliver are then counted one by one. A task holds cell counts or a
+    sliver's distinct values, never a group.
     """
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
-    bounds = base.groupBy(*by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.count(F.lit(1)).alias("__n"))
+    times = F.lit(1) if count is None else F.col(count)
+    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"), times.cast("long").alias("__t"))
+    bounds = base.groupBy(*by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__t").alias("__n"))
     ranks = []
     for p in probs:
         h = (F.col("__n") - 1) * F.lit(float(p))
         ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
-    targets = bounds.select(
-        *by, "__lo", "__hi", F.lit(0).cast("long").alias("__below"), "__n", F.explode(F.array_distinct(F.array(*ranks))).alias("__rank")
-    )
+    rank = F.explode(F.array_distinct(F.array(*ranks))).alias("__rank")
+    targets = bounds.select(*by, "__lo", "__hi", F.lit(0).cast("long").alias("__below"), "__n", rank)
     slot = [*by, "__lo", "__hi", "__below"]
     for level in range(levels + 1):
         targets = _measured(targets)
@@ -77,7 +86,7 @@ def exact_quantiles(
         counted = (
             inside.withColumn("__cell", cell)
             .groupBy(*slot, "__cell")
-            .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__from"), F.max("__v").alias("__to"))
+            .agg(F.sum("__t").alias("__c"), F.min("__v").alias("__from"), F.max("__v").alias("__to"))
         )
         order = Window.partitionBy(*slot).orderBy("__cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         counted = counted.withColumn("__upto", F.col("__below") + F.sum("__c").over(order))
@@ -102,19 +111,22 @@ def exact_quantiles(
     return table.select(*by, *outputs)
 
 
-def bandwidths(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """(by.., n, bw) with bw = 0.9 * min(sd, IQR / 1.34) * n^-0.2.
+def bandwidths(counted: DataFrame, by: list[str], value: str, count: str) -> DataFrame:
+    """(by.., n, bw) with bw = 0.9 * min(sd, IQR / 1.34) * n^-0.2, from values and how often each occurs.
 
     Where the smaller spread is 0 the next takes its place: sd, then the size of the
     lowest value, then 1. A single value counts as sd 0.
     """
-    spread = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp(value).alias("__sd"), F.min(value).alias("__first")
+    v, times = F.col(value), F.col(count)
+    means = counted.groupBy(*by).agg(
+        F.sum(times).alias("n"), (F.sum(v * times) / F.sum(times)).alias("__mean"), F.min(v).alias("__first")
     )
-    joined = spread.join(exact_quantiles(df, by, value, [0.25, 0.75]), by)
-    sd = F.coalesce(F.col("__sd"), F.lit(0.0))
-    scaled = (F.col("q1") - F.col("q0")) / F.lit(1.34)
-    low = F.least(sd, scaled)
+    means = _measured(means)
+    squares = F.sum(times * F.pow(v - F.col("__mean"), F.lit(2.0)))
+    spread = counted.join(means, by).groupBy(*by, "n", "__first").agg(squares.alias("__squares"))
+    joined = spread.join(exact_quantiles(counted, by, value, [0.25, 0.75], count=count), by)
+    sd = F.sqrt(F.coalesce(F.try_divide(F.col("__squares"), F.col("n") - 1), F.lit(0.0)))
+    low = F.least(sd, (F.col("q1") - F.col("q0")) / F.lit(1.34))
     width = F.when(low > 0, low).when(sd > 0, sd).when(F.abs("__first") > 0, F.abs("__first")).otherwise(F.lit(1.0))
     return joined.select(*by, "n", (F.lit(0.9) * width * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bw"))
 
@@ -129,24 +141,29 @@ def weighted_density(
 ) -> DataFrame:
     """(variable, group, point, x, density): Gaussian density on n points over each variable's range.
 
-    Values are first binned linearly onto the grid, so what follows has at most n weights
-    per group however many rows there were. Weights are normalised to 1 in each group; a
-    group without weight gives no rows.
+    Equal values are summed up first and that table is written once, since every later step
+    reads it: area values repeat for all people of an area. They are then binned linearly
+    onto the grid, so each group ends up with at most n weights. Weights are normalised to 1
+    in each group; a group without weight gives no rows.
     """
-    rows = df.where(F.col(value).isNotNull() & F.col(weight).isNotNull())
     by = [variable, group]
-    widths = _measured(bandwidths(rows, by, value))
-    ranges = _measured(rows.groupBy(variable).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi")))
+    known = df.where(F.col(value).isNotNull() & F.col(weight).isNotNull())
+    counted = known.groupBy(*by, F.col(value).cast("double").alias("__value")).agg(
+        F.count(F.lit(1)).alias("__times"), F.sum(weight).alias("__weight")
+    )
+    counted = written(counted, "density-values")
+    widths = _measured(bandwidths(counted, by, "__value", "__times"))
+    ranges = _measured(counted.groupBy(variable).agg(F.min("__value").alias("__lo"), F.max("__value").alias("__hi")))
     step = (F.col("__hi") - F.col("__lo")) / F.lit(n - 1)
-    position = F.coalesce(F.try_divide(F.col(value) - F.col("__lo"), step), F.lit(0.0))
+    position = F.coalesce(F.try_divide(F.col("__value") - F.col("__lo"), step), F.lit(0.0))
     bin_no = F.least(F.floor(position), F.lit(n - 1)).cast("int")
     share = position - bin_no
     parts = F.array(
-        F.struct(bin_no.alias("bin"), (F.col(weight) * (F.lit(1.0) - share)).alias("w")),
-        F.struct(F.least(bin_no + 1, F.lit(n - 1)).alias("bin"), (F.col(weight) * share).alias("w")),
+        F.struct(bin_no.alias("bin"), (F.col("__weight") * (F.lit(1.0) - share)).alias("w")),
+        F.struct(F.least(bin_no + 1, F.lit(n - 1)).alias("bin"), (F.col("__weight") * share).alias("w")),
     )
     bins = (
-        rows.join(ranges, variable)
+        counted.join(ranges, variable)
         .select(*by, F.inline(parts))
         .groupBy(*by, "bin")
         .agg(F.sum("w").alias("w"))
@@ -155,14 +172,18 @@ def weighted_density(
         .agg(F.sort_array(F.collect_list(F.struct("bin", "w"))).alias("__bins"), F.sum("w").alias("__total"))
         .where(F.col("__total") > 0)
     )
-    prepared = bins.join(widths, by).join(ranges, variable)
-    points = prepared.select(*by, "__bins", "__total", "bw", "__lo", step.alias("__step"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point"))
-    kernel_sum = F.aggregate(
-        "__bins",
-        F.lit(0.0),
-        lambda total, b: total
-        + b["w"] * F.exp(F.lit(-0.5) * F.pow((F.col("point") - b["bin"]) * F.col("__step") / F.col("bw"), F.lit(2.0))),
+    point = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point")
+    points = (
+        bins.join(widths, by)
+        .join(ranges, variable)
+        .select(*by, "__bins", "__total", "bw", "__lo", step.alias("__step"), point)
     )
+
+    def kernel(b):
+        distance = (F.col("point") - b["bin"]) * F.col("__step") / F.col("bw")
+        return b["w"] * F.exp(F.lit(-0.5) * distance * distance)
+
+    kernel_sum = F.aggregate("__bins", F.lit(0.0), lambda total, b: total + kernel(b))
     return points.select(
         *by,
         "point",

@@ -93,11 +93,25 @@ def episode_summary(
 
 
 def latest_rows(
-    df: DataFrame, key: str | list[str], dt: str, first: str | None = None, last: str | None = None
+    df: DataFrame,
+    key: str | list[str],
+    dt: str,
+    first: str | None = None,
+    last: str | None = None,
+    *,
+    per_day: bool = False,
 ) -> DataFrame:
-    """All rows of each key's most recent date in [first, last]; ties stay."""
+    """All rows of each key's most recent date in [first, last]; ties stay.
+
+    ``per_day`` says that a key has at most a few rows per date (a table grouped by key and
+    day, say). A window over a key's rows is then bounded by the calendar and cheaper than
+    joining the latest date back.
+    """
     if first is not None:
         df = df.where(F.col(dt) >= F.lit(first).cast("date"))
     if last is not None:
         df = df.where(F.col(dt) <= F.lit(last).cast("date"))
+    if per_day:
+        newest = Window.partitionBy(*names(key)).orderBy(F.col(dt).desc())
+        return df.where(F.col(dt).isNotNull()).withColumn("__rank", F.rank().over(newest)).where(F.col("__rank") == 1).drop("__rank")
     return with_group_values(df, key, __latest=F.max(dt)).where(F.col(dt) == F.col("__latest")).drop("__latest")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.fixed_values import WEIGHT_FAMILIES
 from cohortweave.functions.rules import first_match
-from cohortweave.operators.spread import spread_join, with_group_values
+from cohortweave.operators.episodes import latest_rows
 
 WEIGHT_FLAGS = list(WEIGHT_FAMILIES)
 
@@ -39,7 +39,7 @@ def weight_rules() -> list[tuple[Column, int]]:
 
 def weight_label(
     current: DataFrame,
-    prior: DataFrame,
+    prior: DataFrame | None,
     persons: DataFrame,
     *,
     key: str = "cust_id",
@@ -49,13 +49,13 @@ def weight_label(
 ) -> DataFrame:
     """(key, index_dt, obese) of people in the age range whose weight status the rules confirm.
 
-    All three inputs have one row per person.
+    All inputs have one row per person; ``prior`` is None where ``current`` has the prior flags too.
     """
     priors = [f"prior_{f}" for f in WEIGHT_FLAGS]
+    flags = current if prior is None else current.join(prior, key, "left")
     age = F.floor(F.datediff(F.col(index_dt), F.col(birth)) / F.lit(365.25))
     joined = (
-        current.join(prior, key, "left")
-        .join(persons.select(key, birth), key, "left")
+        flags.join(persons.select(key, birth), key, "left")
         .withColumns({p: F.coalesce(F.col(p), F.lit(0)) for p in priors})
         .withColumn("age", age.cast("int"))
         .withColumn("obese", first_match(weight_rules()))
@@ -107,14 +107,14 @@ def unambiguous_latest(
 ) -> DataFrame:
     """The main labels plus, for people not in them, the label of their latest record if all of that day agree.
 
-    Records shrink to distinct (key, day, label) first.
+    Records shrink to distinct (key, day, label) first, so the calendar bounds a key's rows.
     """
     dates = F.col(dt).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
     distinct = records.where(dates & F.col(label).isNotNull()).select(key, dt, label).distinct()
-    fresh = spread_join(distinct, labelled.select(key).distinct(), key, "left_anti")
-    latest = with_group_values(fresh, key, __latest=F.max(dt)).where(F.col(dt) == F.col("__latest"))
+    fresh = distinct.join(labelled.select(key).distinct(), key, "left_anti")
     agreed = (
-        latest.groupBy(key, dt)
+        latest_rows(fresh, key, dt, per_day=True)
+        .groupBy(key, dt)
         .agg(F.min(label).alias(label), F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") == 1)
         .drop("__n")

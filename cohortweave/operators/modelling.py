@@ -5,15 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from itertools import islice, product
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortweave.session import written
+
 MAX_MODELS, FOLDS, SEED, TOLERANCE, ROUNDS = 50, 10, 789, 0.0001, 5
 
 
@@ -48,20 +49,23 @@ def default_candidates(max_models: int = MAX_MODELS) -> list[Candidate]:
     return mixed[:max_models]
 
 
-def _pipeline(features: list[str], label: str, weight: str, seed: int, algo: str) -> Pipeline:
+def _preparation(features: list[str]) -> Pipeline:
     filled = [f + "__filled" for f in features]
-    stages = [
-        Imputer(inputCols=features, outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled, outputCol="__features"),
-    ]
-    common = {"featuresCol": "__features", "labelCol": label, "weightCol": weight}
-    if algo == "glm":
-        stages.append(LogisticRegression(**common))
-    elif algo == "gbm":
-        stages.append(GBTClassifier(seed=seed, **common))
-    else:
-        raise ValueError(f"unknown algorithm {algo!r}")
-    return Pipeline(stages=stages)
+    return Pipeline(
+        stages=[
+            Imputer(inputCols=features, outputCols=filled, strategy="mean"),
+            VectorAssembler(inputCols=filled, outputCol="__features"),
+        ]
+    )
+
+
+def _learner(candidate: Candidate, label: str, weight: str, seed: int) -> Estimator:
+    common = {"featuresCol": "__features", "labelCol": label, "weightCol": weight, **dict(candidate.params)}
+    if candidate.algo == "glm":
+        return LogisticRegression(**common)
+    if candidate.algo == "gbm":
+        return GBTClassifier(seed=seed, **common)
+    raise ValueError(f"unknown algorithm {candidate.algo!r}")
 
 
 def model_search(
@@ -77,53 +81,46 @@ def model_search(
     tolerance: float = TOLERANCE,
     rounds: int = ROUNDS,
     candidates: list[Candidate] | None = None,
-    parallelism: int = 2,
 ) -> SearchResult:
     """Cross-validated search by weighted logloss with early stopping.
 
     A row's fold is a hash of its key, so a lost and recomputed partition keeps its folds.
     Candidates run in lots of ``rounds``; the search ends when a lot brings no gain above
-    the tolerance. All training data stays distributed.
+    the tolerance. The best one is fitted on all rows. Training data stays distributed: the
+    driver sees metrics and models only.
     """
     fold = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int")
-    data = (
-        train.where(F.col(label).isNotNull() & F.col(weight).isNotNull())
-        .select(
-            *[F.col(f).cast("double").alias(f) for f in features],
-            F.col(label).cast("double").alias(label),
-            F.col(weight).cast("double").alias(weight),
-            fold.alias("__fold"),
-        )
-        .persist()
+    data = train.where(F.col(label).isNotNull() & F.col(weight).isNotNull()).select(
+        *[F.col(f).cast("double").alias(f) for f in features],
+        F.col(label).cast("double").alias(label),
+        F.col(weight).cast("double").alias(weight),
+        fold.alias("__fold"),
     )
+    data = written(data, "training-rows")
     evaluator = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=label, weightCol=weight)
     queue = iter((candidates or default_candidates())[:max_models])
-    best_model, best_loss, rows = None, float("inf"), []
+    best, best_loss, rows = None, float("inf"), []
     while lot := list(islice(queue, rounds)):
+        losses = [0.0] * len(lot)
+        for i in range(folds):
+            prepare = _preparation(features).fit(data.where(F.col("__fold") != i))
+            prepared = prepare.transform(data).select("__features", label, weight, "__fold").persist()
+            for at, candidate in enumerate(lot):
+                model = _learner(candidate, label, weight, seed).fit(prepared.where(F.col("__fold") != i))
+                losses[at] += evaluator.evaluate(model.transform(prepared.where(F.col("__fold") == i))) / folds
+            prepared.unpersist()
         before = best_loss
-        for algo in dict.fromkeys(c.algo for c in lot):
-            group = [c for c in lot if c.algo == algo]
-            pipeline = _pipeline(features, label, weight, seed, algo)
-            learner = pipeline.getStages()[-1]
-            grid = [
-                {learner.getParam(k): (v if isinstance(v, int) else float(v)) for k, v in c.params} for c in group
-            ]
-            search = CrossValidator(
-                estimator=pipeline,
-                estimatorParamMaps=grid,
-                evaluator=evaluator,
-                numFolds=folds,
-                foldCol="__fold",
-                parallelism=parallelism,
-                seed=seed,
-            ).fit(data)
-            rows += [(len(rows) + i, c.algo, c.describe(), m) for i, (c, m) in enumerate(zip(group, search.avgMetrics))]
-            if min(search.avgMetrics) < best_loss:
-                best_loss, best_model = min(search.avgMetrics), search.bestModel
+        for candidate, loss in zip(lot, losses):
+            rows.append((len(rows), candidate.algo, candidate.describe(), float(loss)))
+            if loss < best_loss:
+                best, best_loss = candidate, loss
         if before - best_loss <= tolerance:
             break
-    data.unpersist()
-    return SearchResult(best_model, rows)
+    prepare = _preparation(features).fit(data)
+    prepared = prepare.transform(data).select("__features", label, weight).persist()
+    fitted = _learner(best, label, weight, seed).fit(prepared)
+    prepared.unpersist()
+    return SearchResult(PipelineModel(stages=[*prepare.stages, fitted]), rows)
 
 
 def leaderboard(spark: SparkSession, search: SearchResult) -> DataFrame:

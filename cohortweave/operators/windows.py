@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.operators.codes import flag_columns
-from cohortweave.operators.spread import spread_join
 
 
 def anchor_and_window(
@@ -50,6 +49,38 @@ def weekly_histogram(df: DataFrame, dt: str) -> DataFrame:
     return df.where(F.col(dt).isNotNull()).groupBy(week.alias("week_dt")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def current_and_prior_flags(
+    daily: DataFrame,
+    flags: list[str],
+    first: str,
+    last: str,
+    days: int = 365,
+    *,
+    key: str = "cust_id",
+    dt: str = "event_dt",
+    prefix: str = "prior_",
+) -> DataFrame:
+    """(key, index_dt, flags, prior flags) from a table of one row per key and day.
+
+    The index date is the key's latest day in [first, last]; current flags are of that day,
+    prior flags of the days in [index - days, index - 1]. One shuffle on the key gives all:
+    the window holds a key's days, and the final grouping reuses its partitioning.
+    """
+    in_period = F.col(dt).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    latest = F.max(F.when(in_period, F.col(dt))).over(Window.partitionBy(key))
+    indexed = daily.where(F.col(dt) <= F.lit(last).cast("date")).withColumn("index_dt", latest)
+    today = F.col(dt) == F.col("index_dt")
+    earlier = F.datediff(F.col("index_dt"), F.col(dt)).between(1, days)
+    return (
+        indexed.where(today | earlier)
+        .groupBy(key, "index_dt")
+        .agg(
+            *[F.max(F.when(today, F.col(f))).alias(f) for f in flags],
+            *[F.coalesce(F.max(F.when(earlier, F.col(f))), F.lit(0)).alias(prefix + f) for f in flags],
+        )
+    )
+
+
 def lookback_flags(
     index: DataFrame,
     events: DataFrame,
@@ -110,35 +141,41 @@ def exclusion_windows(
 
     Deliveries come from diagnosis days and from DRG days. A pregnancy claim inside one of
     the person's delivery windows gives no window of its own. Months roll back to the
-    month's end. Both inputs of the anti join are distinct days of a person.
+    month's end.
+
+    Window ends move with the delivery date, so a claim lies in some delivery's window just
+    when it lies in that of the last delivery up to it or of the next one after it. Both
+    come from one window over the person's distinct days; nothing is joined.
     """
-    deliveries = (
-        days.where(F.col("assignment") == "d")
-        .select(key, dt)
-        .union(drg_days.select(key, dt))
-        .distinct()
+    merged = (
+        days.select(key, dt, (F.col("assignment") == "d").alias("__d"))
+        .union(drg_days.select(key, dt, F.lit(True).alias("__d")))
+        .groupBy(key, dt)
+        .agg(F.max("__d").alias("__d"))
+    )
+    by_day = Window.partitionBy(key).orderBy(dt)
+    delivery_day = F.when(F.col("__d"), F.col(dt))
+    last = F.max(delivery_day).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    following = F.min(delivery_day).over(by_day.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    covered = F.coalesce(F.col(dt) <= F.add_months("__last", delivery_after), F.lit(False)) | F.coalesce(
+        F.col(dt) >= F.add_months("__next", -before_months), F.lit(False)
+    )
+    return (
+        merged.withColumns({"__last": last, "__next": following})
+        .where(F.col("__d") | ~covered)
         .select(
             key,
             F.add_months(dt, -before_months).alias("exclude_start"),
-            F.add_months(dt, delivery_after).alias("exclude_end"),
+            F.add_months(dt, F.when(F.col("__d"), delivery_after).otherwise(pregnancy_after)).alias("exclude_end"),
         )
     )
-    pregnancies = days.where(F.col("assignment") == "p").select(key, dt)
-    inside = deliveries.select(F.col(key).alias("__key"), "exclude_start", "exclude_end")
-    alone = pregnancies.join(
-        inside,
-        (F.col(key) == F.col("__key")) & F.col(dt).between(F.col("exclude_start"), F.col("exclude_end")),
-        "left_anti",
-    ).select(
-        key,
-        F.add_months(dt, -before_months).alias("exclude_start"),
-        F.add_months(dt, pregnancy_after).alias("exclude_end"),
-    )
-    return alone.unionByName(deliveries)
 
 
 def exclude_in_windows(rows: DataFrame, windows: DataFrame, key: str = "cust_id", dt: str = "index_dt") -> DataFrame:
-    """Rows whose date lies in none of their key's windows."""
-    spans = windows.select(key, "exclude_start", "exclude_end").distinct()
+    """Rows whose date lies in none of their key's windows.
+
+    Rows are labels, one or a few per key; a key's distinct windows are bounded by the calendar.
+    """
+    spans = windows.select(F.col(key).alias("__key"), "exclude_start", "exclude_end").distinct()
     inside = F.col(dt).between(F.col("exclude_start"), F.col("exclude_end"))
-    return spread_join(rows, spans, key, "left_anti", where=inside)
+    return rows.join(spans, (F.col(key) == F.col("__key")) & inside, "left_anti")

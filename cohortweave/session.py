@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -50,3 +50,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="cohortweave-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    For results that several later steps read: they are computed once, survive lost
+    executors, and their real size is known to the planner.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
