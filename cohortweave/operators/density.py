@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortweave.operators.spread import spread_join
@@ -47,6 +47,19 @@ def _measured(df: DataFrame) -> DataFrame:
     return kept
 
 
+SLIVER = 10_000
+
+
+def _bounds(df: DataFrame, by: list[str], value: str, times: Column) -> DataFrame:
+    v = F.col(value).cast("double")
+    return df.where(v.isNotNull()).groupBy(*by).agg(
+        F.min(v).alias("__lo"),
+        F.max(v).alias("__hi"),
+        F.sum(times).cast("long").alias("__n"),
+        (F.sum(v * times) / F.sum(times)).alias("__mean"),
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     by: list[str],
@@ -54,31 +67,36 @@ def exact_quantiles(
     probs: list[float],
     *,
     count: str | None = None,
+    bounds: DataFrame | None = None,
     cells: int = 4096,
-    levels: int = 2,
+    sliver: int = SLIVER,
 ) -> DataFrame:
     """(by.., q0, q1, ..) linearly interpolated quantiles of groups of any size.
 
     ``count`` names a column saying how often a row's value occurs. Counting values in ever
-    finer cells narrows each wanted rank down to a sliver of its group's range; only the
-    values of that sliver are then counted one by one. A task holds cell counts or a
-    sliver's distinct values, never a group.
+    finer cells narrows each wanted rank down to a sliver of its group's range, until it
+    holds at most ``sliver`` values or a single one; only those are then ordered. A task
+    holds cell counts or a sliver, never a group.
     """
     times = F.lit(1) if count is None else F.col(count)
+    bounds = _bounds(df, by, value, times) if bounds is None else bounds
     base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"), times.cast("long").alias("__t"))
-    bounds = base.groupBy(*by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__t").alias("__n"))
     ranks = []
     for p in probs:
         h = (F.col("__n") - 1) * F.lit(float(p))
         ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
     rank = F.explode(F.array_distinct(F.array(*ranks))).alias("__rank")
-    targets = bounds.select(*by, "__lo", "__hi", F.lit(0).cast("long").alias("__below"), "__n", rank)
+    below = F.lit(0).cast("long").alias("__below")
+    targets = bounds.select(*by, "__lo", "__hi", below, "__n", rank, F.col("__n").alias("__size"))
     slot = [*by, "__lo", "__hi", "__below"]
-    for level in range(levels + 1):
+    refine = True
+    while refine:
         targets = _measured(targets)
+        largest = targets.where(F.col("__lo") < F.col("__hi")).agg(F.max("__size")).first()[0] or 0
+        refine = largest > sliver
         slots = targets.select(*slot).distinct()
         inside = base.join(slots, by).where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
-        if level < levels:
+        if refine:
             share = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
             cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * cells), F.lit(cells - 1)).cast("double")
         else:
@@ -86,11 +104,16 @@ def exact_quantiles(
         counted = (
             inside.withColumn("__cell", cell)
             .groupBy(*slot, "__cell")
-            .agg(F.sum("__t").alias("__c"), F.min("__v").alias("__from"), F.max("__v").alias("__to"))
+            .agg(
+                F.sum("__t").alias("__c"),
+                F.min("__v").alias("__from"),
+                F.max("__v").alias("__to"),
+                F.count(F.lit(1)).alias("__size"),
+            )
         )
         order = Window.partitionBy(*slot).orderBy("__cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         counted = counted.withColumn("__upto", F.col("__below") + F.sum("__c").over(order))
-        found = targets.join(counted, slot).where(
+        found = targets.drop("__size").join(counted, slot).where(
             (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__c"))
         )
         targets = found.select(
@@ -100,6 +123,7 @@ def exact_quantiles(
             (F.col("__upto") - F.col("__c")).alias("__below"),
             "__n",
             "__rank",
+            "__size",
         )
     # at most two ranks per probability are left of each group
     table = targets.groupBy(*by, "__n").agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__lo"))).alias("__at"))
@@ -111,24 +135,21 @@ def exact_quantiles(
     return table.select(*by, *outputs)
 
 
-def bandwidths(counted: DataFrame, by: list[str], value: str, count: str) -> DataFrame:
+def bandwidths(counted: DataFrame, by: list[str], value: str, count: str, bounds: DataFrame) -> DataFrame:
     """(by.., n, bw) with bw = 0.9 * min(sd, IQR / 1.34) * n^-0.2, from values and how often each occurs.
 
     Where the smaller spread is 0 the next takes its place: sd, then the size of the
     lowest value, then 1. A single value counts as sd 0.
     """
-    v, times = F.col(value), F.col(count)
-    means = counted.groupBy(*by).agg(
-        F.sum(times).alias("n"), (F.sum(v * times) / F.sum(times)).alias("__mean"), F.min(v).alias("__first")
-    )
-    means = _measured(means)
-    squares = F.sum(times * F.pow(v - F.col("__mean"), F.lit(2.0)))
-    spread = counted.join(means, by).groupBy(*by, "n", "__first").agg(squares.alias("__squares"))
-    joined = spread.join(exact_quantiles(counted, by, value, [0.25, 0.75], count=count), by)
-    sd = F.sqrt(F.coalesce(F.try_divide(F.col("__squares"), F.col("n") - 1), F.lit(0.0)))
+    squares = F.sum(F.col(count) * F.pow(F.col(value) - F.col("__mean"), F.lit(2.0)))
+    spread = counted.join(bounds, by).groupBy(*by, "__n", "__lo").agg(squares.alias("__squares"))
+    quartiles = exact_quantiles(counted, by, value, [0.25, 0.75], count=count, bounds=bounds)
+    joined = spread.join(quartiles, by)
+    sd = F.sqrt(F.coalesce(F.try_divide(F.col("__squares"), F.col("__n") - 1), F.lit(0.0)))
     low = F.least(sd, (F.col("q1") - F.col("q0")) / F.lit(1.34))
-    width = F.when(low > 0, low).when(sd > 0, sd).when(F.abs("__first") > 0, F.abs("__first")).otherwise(F.lit(1.0))
-    return joined.select(*by, "n", (F.lit(0.9) * width * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bw"))
+    width = F.when(low > 0, low).when(sd > 0, sd).when(F.abs("__lo") > 0, F.abs("__lo")).otherwise(F.lit(1.0))
+    n = F.col("__n").cast("double")
+    return joined.select(*by, F.col("__n").alias("n"), (F.lit(0.9) * width * F.pow(n, F.lit(-0.2))).alias("bw"))
 
 
 def weighted_density(
@@ -152,8 +173,9 @@ def weighted_density(
         F.count(F.lit(1)).alias("__times"), F.sum(weight).alias("__weight")
     )
     counted = written(counted, "density-values")
-    widths = _measured(bandwidths(counted, by, "__value", "__times"))
-    ranges = _measured(counted.groupBy(variable).agg(F.min("__value").alias("__lo"), F.max("__value").alias("__hi")))
+    bounds = _measured(_bounds(counted, by, "__value", F.col("__times")))
+    widths = _measured(bandwidths(counted, by, "__value", "__times", bounds))
+    ranges = _measured(bounds.groupBy(variable).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
     step = (F.col("__hi") - F.col("__lo")) / F.lit(n - 1)
     position = F.coalesce(F.try_divide(F.col("__value") - F.col("__lo"), step), F.lit(0.0))
     bin_no = F.least(F.floor(position), F.lit(n - 1)).cast("int")

@@ -13,35 +13,40 @@ from cohortweave.operators.spread import spread_join
 BITS = 60
 
 
-def _add_months(day: dt.date, months: int) -> dt.date:
-    index = day.year * 12 + day.month - 1 + months
-    year, month = divmod(index, 12)
-    last = (dt.date(year + (month == 11), (month + 1) % 12 + 1, 1) - dt.timedelta(days=1)).day
-    return dt.date(year, month + 1, min(day.day, last))
-
-
-def month_marks(first: dt.date, count: int, step: int = 1) -> list[dt.date]:
-    return [_add_months(first, step * i) for i in range(count)]
+def marks_covered(first: dt.date, count: int, start: str, end: str, half_open: bool) -> Column:
+    """Aggregate: number of month marks, ``count`` of them from ``first`` on, that a group's spans cover.
 
+    A span covers a run of marks whose ends follow from its dates by arithmetic. It sets
+    those bits and the group ORs them, so the shuffle carries a long per person and 60
+    marks, and no row is multiplied by the marks.
+    """
+    if first.day > 28:
+        raise ValueError("marks must fall on a day that every month has")
+    base = first.year * 12 + first.month
 
-def marks_covered(marks: list[dt.date], start: str, end: str, half_open: bool) -> Column:
-    """Aggregate: number of different marks that at least one span of the group covers.
+    def month_no(day: Column) -> Column:
+        return F.year(day) * 12 + F.month(day) - base
 
-    Each span sets one bit per covered mark and the group ORs them, so the shuffle carries
-    one or two longs per person and no row is multiplied by the marks.
-    """
+    until = F.date_sub(F.col(end), 1) if half_open else F.col(end)
+    lowest = month_no(F.col(start)) + F.when(F.day(start) > first.day, 1).otherwise(0)
+    highest = month_no(until) - F.when(F.day(until) < first.day, 1).otherwise(0)
+    one = F.lit(1).cast("long")
     counts = []
-    for at in range(0, len(marks), BITS):
-        bits = []
-        for i, mark in enumerate(marks[at : at + BITS]):
-            day = F.lit(mark)
-            ends = F.col(end) > day if half_open else F.col(end) >= day
-            bits.append(F.when((F.col(start) <= day) & ends, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-        mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
+    for at in range(0, count, BITS):
+        low = F.greatest(lowest, F.lit(at))
+        high = F.least(highest, F.lit(min(at + BITS, count) - 1))
+        run = F.call_function("shiftleft", one, high - low + 1) - one
+        known = F.col(start).isNotNull() & F.col(end).isNotNull()
+        mask = F.when(known & (low <= high), F.call_function("shiftleft", run, low - at)).otherwise(F.lit(0).cast("long"))
         counts.append(F.bit_count(F.bit_or(mask)))
     return reduce(lambda a, b: a + b, counts).cast("int")
 
 
+def _months_back(day: dt.date, months: int) -> dt.date:
+    year, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    return day.replace(year=year, month=month + 1)
+
+
 def enrolled_k_of_n(
     spans: DataFrame,
     end_dt: dt.date,
@@ -53,10 +58,8 @@ def enrolled_k_of_n(
     end: str = "end_dt",
 ) -> DataFrame:
     """(key, n_months) of people covered at k or more of the last n month marks, start <= mark < end."""
-    marks = month_marks(end_dt, n, -1)
-    return (
-        spans.groupBy(key).agg(marks_covered(marks, start, end, True).alias("n_months")).where(F.col("n_months") >= k)
-    )
+    covered = marks_covered(_months_back(end_dt, n - 1), n, start, end, True)
+    return spans.groupBy(key).agg(covered.alias("n_months")).where(F.col("n_months") >= k)
 
 
 def months_enrolled(
@@ -69,9 +72,7 @@ def months_enrolled(
     end: str = "end_dt",
 ) -> DataFrame:
     """(key, months_enrolled) over consecutive month marks, both span ends included; people with 0 stay."""
-    return spans.groupBy(key).agg(
-        marks_covered(month_marks(first, months), start, end, False).alias("months_enrolled")
-    )
+    return spans.groupBy(key).agg(marks_covered(first, months, start, end, False).alias("months_enrolled"))
 
 
 def enrolment_thresholds(df: DataFrame, thresholds: dict[str, Column] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from cohortweave.operators.codes import tiered_identify
 from cohortweave.operators.episodes import episode_summary
 from cohortweave.operators.linking import active_span_lookup, link_by_household
 from cohortweave.operators.windows import anchor_and_window
+from cohortweave.session import written
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,12 @@ def outcome_costs(
     rules: MaternityRules,
     columns: costs.ClaimColumns = costs.ClaimColumns(),
 ) -> DataFrame:
-    """All eight delivery costs of every mother of the cohort."""
-    links = infant_links(cohort, membership, persons, rules)
-    anchors = anchor_and_window(cohort, links, max_span=rules.max_claim_span)
+    """All eight delivery costs of every mother of the cohort.
+
+    Cohort, links and anchors are stage tables: several later steps read them, so each is
+    written once instead of being worked out again by every reader.
+    """
+    cohort = written(cohort, "cohort")
+    links = written(infant_links(cohort, membership, persons, rules), "links")
+    anchors = written(anchor_and_window(cohort, links, max_span=rules.max_claim_span), "anchors")
     return costs.assemble_outcomes(anchors, claims, links, columns=columns, null_policy=rules.null_policy)
