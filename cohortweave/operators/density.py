@@ -40,13 +40,6 @@ def density_input(
     return wide.unpivot(["grouping_var", "weight_tract"], variables, "variable", "value")
 
 
-def _measured(df: DataFrame) -> DataFrame:
-    """Keep a small aggregate in the cache, so that Spark knows its size and decides itself whether to broadcast it."""
-    kept = df.persist()
-    kept.count()
-    return kept
-
-
 SLIVER = 10_000
 
 
@@ -76,7 +69,8 @@ def exact_quantiles(
     ``count`` names a column saying how often a row's value occurs. Counting values in ever
     finer cells narrows each wanted rank down to a sliver of its group's range, until it
     holds at most ``sliver`` values or a single one; only those are then ordered. A task
-    holds cell counts or a sliver, never a group.
+    holds cell counts or a sliver, never a group. The ranks in search are written between
+    rounds: that cuts the lineage, and Spark broadcasts them only if the files are small.
     """
     times = F.lit(1) if count is None else F.col(count)
     bounds = _bounds(df, by, value, times) if bounds is None else bounds
@@ -91,7 +85,7 @@ def exact_quantiles(
     slot = [*by, "__lo", "__hi", "__below"]
     refine = True
     while refine:
-        targets = _measured(targets)
+        targets = written(targets, "ranks")
         largest = targets.where(F.col("__lo") < F.col("__hi")).agg(F.max("__size")).first()[0] or 0
         refine = largest > sliver
         slots = targets.select(*slot).distinct()
@@ -173,9 +167,9 @@ def weighted_density(
         F.count(F.lit(1)).alias("__times"), F.sum(weight).alias("__weight")
     )
     counted = written(counted, "density-values")
-    bounds = _measured(_bounds(counted, by, "__value", F.col("__times")))
-    widths = _measured(bandwidths(counted, by, "__value", "__times", bounds))
-    ranges = _measured(bounds.groupBy(variable).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
+    bounds = written(_bounds(counted, by, "__value", F.col("__times")), "density-bounds")
+    widths = written(bandwidths(counted, by, "__value", "__times", bounds), "density-widths")
+    ranges = bounds.groupBy(variable).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
     step = (F.col("__hi") - F.col("__lo")) / F.lit(n - 1)
     position = F.coalesce(F.try_divide(F.col("__value") - F.col("__lo"), step), F.lit(0.0))
     bin_no = F.least(F.floor(position), F.lit(n - 1)).cast("int")
