@@ -20,9 +20,12 @@ def claim_lines(
     date: str = "claim_service_from_dt",
     coding_system: str = PROCEDURE_CODING_SYSTEM,
 ) -> DataFrame:
-    """Headers in a service period with their lines and the two code references, all left joins.
+    """Headers in a service period with their lines and the two code references; nothing matched gives NULL.
 
-    The references carry no hint: Spark broadcasts them when their measured size allows.
+    Lines are the many-row side, so they are joined slice by slice to their header and
+    headers without lines are added: an outer join from the header could not split the
+    lines of one crowded claim. The references carry no hint: Spark broadcasts them when
+    their measured size allows.
     """
     heads = header.where(F.col(date).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     lines = detail
@@ -32,11 +35,14 @@ def claim_lines(
         "medical_procedure_cd_pk", "procedure_cd"
     )
     revenues = revenue_ref.select("medical_revenue_cd_pk", F.col("revenue_cd").alias("revenue_cd2"))
+    lines = lines.withColumnRenamed("claim_header_fk", "claim_header_pk").where(F.col("claim_header_pk").isNotNull())
+    with_lines = spread_join(lines, heads, "claim_header_pk")
+    without = heads.join(lines.select("claim_header_pk").distinct(), "claim_header_pk", "left_anti")
     return (
-        heads.join(lines, heads["claim_header_pk"] == lines["claim_header_fk"], "left")
+        with_lines.unionByName(without, allowMissingColumns=True)
         .join(procedures, F.col("medical_procedure_cd_fk") == F.col("medical_procedure_cd_pk"), "left")
         .join(revenues, F.col("medical_revenue_cd_fk") == F.col("medical_revenue_cd_pk"), "left")
-        .drop("claim_header_fk", "medical_procedure_cd_pk", "medical_revenue_cd_pk")
+        .drop("medical_procedure_cd_pk", "medical_revenue_cd_pk")
     )
 
 
