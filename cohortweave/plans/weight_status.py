@@ -13,7 +13,6 @@ from cohortweave.operators import windows as wi
 from cohortweave.operators.codes import code_flags
 from cohortweave.operators.enrolment import enrolled_k_of_n
 from cohortweave.operators.labels import bmi_label, unambiguous_latest, weight_label
-from cohortweave.operators.spread import spread_join
 
 
 @dataclass(frozen=True)
@@ -52,26 +51,26 @@ def weight_status_labels(
     """(key, index_dt, obese) of eligible people, none of them inside a pregnancy window.
 
     ``diagnoses`` and ``pregnancy_diagnoses`` are one row per (key, date, code), already
-    limited by claim status or by sex and age. Codes are filtered before the eligibility
-    join, and rows shrink to days before anything is ordered.
+    limited by claim status or by sex and age. Rows shrink to one per person and day before
+    they meet the eligible people, so the calendar bounds what a join or window sees of one
+    person, and the window reuses the join's partitioning.
     """
     wanted = sorted({c for codes, _ in rules.families.values() for c in codes})
-    own = _eligible(diagnoses.where(F.col(code_col).isin(wanted)), eligible, key, [dt_col, code_col])
-    daily = code_flags(own, code_col, rules.families, [key, dt_col])
+    coded = diagnoses.where(F.col(code_col).isin(wanted))
+    daily = code_flags(coded, code_col, rules.families, [key, dt_col]).join(eligible, key, "left_semi")
     flags = wi.current_and_prior_flags(daily, list(rules.families), rules.first, rules.last, rules.lookback_days, key=key, dt=dt_col)
     labels = weight_label(flags, None, persons, key=key)
     labels = unambiguous_latest(bmi_label(bmi_records), labels, rules.first, rules.last, key=key)
 
     pregnancy_codes = [*rules.inclusion, *rules.exclusion, *rules.delivery]
-    pregnant = _eligible(
-        pregnancy_diagnoses.where(F.col(code_col).isin(pregnancy_codes)), eligible, key, [dt_col, code_col]
-    )
     days = wi.pregnancy_days(
-        pregnant, list(rules.inclusion), list(rules.exclusion), list(rules.delivery), key=key, dt=dt_col, code_col=code_col
-    )
-    drg_days = _eligible(delivery_drg_days, eligible, key, [dt_col]).distinct()
+        pregnancy_diagnoses.where(F.col(code_col).isin(pregnancy_codes)),
+        list(rules.inclusion),
+        list(rules.exclusion),
+        list(rules.delivery),
+        key=key,
+        dt=dt_col,
+        code_col=code_col,
+    ).join(eligible, key, "left_semi")
+    drg_days = delivery_drg_days.select(key, dt_col).distinct().join(eligible, key, "left_semi")
     return wi.exclude_in_windows(labels, wi.exclusion_windows(days, drg_days, key=key, dt=dt_col), key)
-
-
-def _eligible(rows: DataFrame, eligible: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    return spread_join(rows.where(F.col(key).isNotNull()).select(key, *columns), eligible, key, "left_semi")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NA = "NA"
+HEADER_THREADS = 8
 
 
 def _text_schema(columns: list[str]) -> T.StructType:
@@ -58,11 +60,10 @@ def dates_by_suffix(df: DataFrame, suffix: str = "_dt") -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """Write a stage result: quoted CSV with a header and NA for NULL, or parquet."""
+    """Write a stage result: CSV with a header, NA for NULL and quotes where needed, or parquet."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        # quoteAll would quote the NULL marker too; escapeQuotes keeps embedded quotes readable
-        writer.option("header", True).option("nullValue", NA).option("emptyValue", '""').option("escape", '"').csv(path)
+        writer.option("header", True).option("nullValue", NA).option("escape", '"').csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
@@ -106,12 +107,15 @@ def snapshot_lookup(
     if absent and missing == "error":
         raise FileNotFoundError(f"no snapshot for {absent}")
 
+    paths_of: dict[dt.date, list[str]] = defaultdict(list)
+    for row in needed:
+        if row.path is not None:
+            paths_of[row.snapshot_dt].append(row.path)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = list(pool.map(lambda paths: tuple(_csv(spark).csv(min(paths)).columns), paths_of.values()))
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    headers: dict[dt.date, tuple[str, ...]] = {}
-    for row in sorted((r for r in needed if r.path), key=lambda r: r.path):
-        if row.snapshot_dt not in headers:
-            headers[row.snapshot_dt] = tuple(_csv(spark).csv(row.path).columns)
-        by_header[headers[row.snapshot_dt]].append(row.path)
+    for header, paths in zip(headers, paths_of.values()):
+        by_header[header] += sorted(paths)
 
     columns, prefixes = list(columns or []), tuple(prefixes or ())
     result = None
