@@ -69,7 +69,3 @@ def sum_where(value: str, condition: Column, null_policy: str = PROPAGATE) -> Co
     rows = F.count(F.when(condition, F.lit(1)))
     known = F.count(F.when(condition, F.col(value)))
     return F.when(rows == known, total)
-
-
-def mean_or_null(value: str) -> Column:
-    return F.avg(F.col(value))

@@ -3,7 +3,6 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortweave.operators import density as de
 from cohortweave.operators import features as fe
