@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -44,14 +48,25 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g", app
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named by spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) a temporary folder is used.
+    Where that setting is absent, a local master (tests, a laptop) gets a temporary folder;
+    on a cluster there is no folder that all executors are known to share, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = tempfile.mkdtemp(prefix="cohortweave-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@functools.cache
+def _local_folder() -> str:
+    """One temporary folder per process, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="cohortweave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back.
 
