@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -22,49 +24,61 @@ KEPT_WORDS = 400_000
 
 
 def default_tokenizer() -> str:
-    """The installed byte-level BPE; any tokenizer file that all executors can open will do."""
+    """The installed byte-level BPE as ranks; any such file that all executors can open will do."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def encoder(tokenizer_path: str) -> Callable[[list[str]], list[bytes]]:
-    """Encodes texts to little-endian unsigned 32-bit ids.
+    """Encodes texts to little-endian unsigned 32-bit ids, by a vocabulary given as ranks.
 
-    The tokenizer's pre-tokenizer always cuts before a single space between two characters
-    that are not white space, so a text is the sum of its space-separated words there and
-    each distinct word is encoded once. Any other use of spaces is encoded as a whole text.
+    The ids are those of the same vocabulary's file for the tokenizers library (a test holds
+    one against the other). The pre-tokenizer always cuts before a single space between two
+    characters that are not white space, so a text is the sum of its space-separated words
+    there and a word that was met before need not be encoded again. Texts with any other use
+    of spaces are encoded whole.
     """
-    import re
-
-    from tokenizers import Tokenizer
+    import public_tokenizers
+    import tiktoken
 
-    model = Tokenizer.from_file(tokenizer_path)
-    model.encode_special_tokens = True  # their strings in a text are ordinary text
+    with open(tokenizer_path, "rb") as lines:
+        ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
+    model = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     odd = re.compile(r" (?:(?!\S)|(?<!\S ))")
     known: dict[str, bytes] = {}
-
-    def raw(texts: list[str]) -> list[bytes]:
-        return [np.asarray(x.ids, "<u4").tobytes() for x in model.encode_batch(texts, add_special_tokens=False)]
+    between = ranks[b"\n"]
+
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(model.encode_ordinary(text), "<u4")
+
+    def learn(words: set[str]) -> None:
+        """Encodes new words in one call, with line breaks between those without white space.
+
+        A line break before a space or a letter is a token of its own, so it marks the ends.
+        """
+        plain = [w for w in words if len(w.split()) == 1 and not w[-1].isspace() and (w[0] == " " or not w[0].isspace())]
+        ids = ids_of("\n".join(plain))
+        ends = [*np.flatnonzero(ids == between).tolist(), len(ids)]
+        if len(ends) != len(plain):
+            plain, ends = [], []
+        start, flat = 0, ids.tobytes()
+        for word, end in zip(plain, ends, strict=True):
+            known[word] = flat[4 * start : 4 * end]
+            start = end + 1
+        for word in words.difference(plain):
+            known[word] = ids_of(word).tobytes()
 
     def encode(texts: list[str]) -> list[bytes]:
-        whole = [bool(odd.search(t)) or "\0" in t for t in texts]
-        out: list[bytes] = [b""] * len(texts)
-        lone = [i for i, w in enumerate(whole) if w]
-        for i, ids in zip(lone, raw([texts[i] for i in lone]), strict=True):
-            out[i] = ids
-        for i, text in enumerate(texts):
-            if whole[i] or not text:
-                continue
-            words = text.replace(" ", "\0 ").split("\0")
-            fresh = [w for w in set(words) if w not in known]
-            if fresh:
-                if len(known) + len(fresh) > KEPT_WORDS:
-                    known.clear()
-                    fresh = list(set(words))
-                known.update(zip(fresh, raw(fresh), strict=True))
-            out[i] = b"".join(map(known.__getitem__, words))
-        return out
+        cut = [None if odd.search(t) or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
+        words = set().union(*(c for c in cut if c))
+        fresh = words.difference(known)
+        if fresh:
+            if len(known) + len(fresh) > KEPT_WORDS:
+                known.clear()
+                fresh = words
+            learn(fresh)
+        return [ids_of(t).tobytes() if c is None else b"".join(map(known.__getitem__, c)) for t, c in zip(texts, cut, strict=True)]
 
     return encode
 
@@ -81,7 +95,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         end = np.asarray([end_id], "<u4").tobytes()
         for doc_ids, texts in rows_of(batches):
             out = ([], [], [], [], [])
-            for doc_id, ids in zip(doc_ids, encode([t or "" for t in texts]), strict=True):
+            encoded = (x for i in range(0, len(texts), 64) for x in encode([t or "" for t in texts[i : i + 64]]))
+            for doc_id, ids in zip(doc_ids, encoded, strict=True):
                 ids += end
                 total = len(ids) // 4
                 cuts = [0, *range(total % capacity or min(total, capacity), total + 1, capacity)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import chat, decontam, line_dedup, near_dedup, packing, sharding
+from cohortweave.llm import chat, decontam, language_id, line_dedup, near_dedup, packing, sharding, substring_dedup
 from cohortweave.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination", decontam.CONTAMINATED_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_held_out(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
