@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import chat, decontam, language_id, line_dedup, near_dedup, packing, sharding, substring_dedup
+from cohortweave.llm import (
+    chat,
+    decontam,
+    language_id,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    topk,
+)
 from cohortweave.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +78,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op2_exact_top_k", topk.TOP_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality.classify(documents, labels).select("doc_id", "source", "lang", "p_poor", "p_toxic", "accepted")

@@ -15,12 +15,13 @@ from cohortweave.llm.common import WordHashes, mix, written
 #: Words of a window: a repeat of at least this many words is removed.
 WINDOW = 13
 #: Rounds of pair naming. A symbol of a later round hangs on more than a window of words.
-ROUNDS = 5
+ROUNDS = 3
 #: Words that are parsed together in a task.
 WORDS_AT_ONCE = 200_000
 
 _MARK = np.uint64(0x5851F42D4C957F2D)  # stands between documents
 _ONE = np.uint64(1)
+_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def anchors(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -31,28 +32,33 @@ def anchors(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
     followed by a right one becomes a symbol named by the pair. Names are hashes, so equal
     strings get equal names in every task without a table of names. What a symbol hangs on is
     tracked as a range of words: its own and those of the neighbours that decided its making.
-    A symbol whose range lies inside a window is there in every occurrence of the window, so
-    the longest such symbol (of equal ones, that of the greatest name) is the window's anchor.
-    A window without one, such as part of a long run, is its own anchor.
+    A symbol whose range lies inside a window is there in every occurrence of the window, and
+    so are the words of the range, which a hash of them names. Of a window's symbols of two
+    words or more (or else of all) that with the greatest hash is the window's anchor. A
+    window without any, such as part of a long run, is its own anchor.
 
     Documents may stand in one sequence with marks between and around them; windows over a
     mark have no meaning.
     """
     n = len(words)
     best = np.zeros((window + 1, n), np.uint64)  # by width of the range and its first word
+    # sums of words times powers of an odd base; the inverse powers shift a range to the front
+    sums = np.r_[np.uint64(0), np.cumsum(words * np.multiply.accumulate(np.r_[_ONE, np.full(max(0, n - 1), _BASE)])[:n])]
+    shift = np.multiply.accumulate(np.r_[_ONE, np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))])
 
-    def offer(name: np.ndarray, span: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        width = high - low
-        fits = (width <= window) & (low >= 0) & (high <= n)
-        key = (span[fits].astype(np.uint64) << np.uint64(60)) | (name[fits] >> np.uint64(4))
-        np.maximum.at(best, (width[fits], low[fits]), key)
+    def offer(span: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        fits = (high - low <= window) & (low >= 0) & (high <= n)
+        span, low, high = span[fits], low[fits], high[fits]
+        key = mix((sums[high] - sums[low]) * shift[low] ^ mix((high - low).astype(np.uint64), 8), 9)
+        key = (key >> np.uint64(1)) | ((span > 1).astype(np.uint64) << np.uint64(63))
+        np.maximum.at(best, (high - low, low), key)
 
     starts = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
     ends = np.r_[starts[1:], n]
     length = ends - starts
     name = np.where(length > 1, mix(words[starts] ^ mix(length.astype(np.uint64), 3), 5), words[starts])
     low, high = np.r_[-1, starts[1:] - 1], np.r_[ends[:-1] + 1, n + 1]
-    offer(name, ends - starts, low, high)
+    offer(ends - starts, low, high)
     for turn in range(ROUNDS):
         if len(name) < 2:
             break
@@ -65,7 +71,7 @@ def anchors(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
         new_low[joins], new_high[joins] = low[joins], high[joins + 1]
         name, ends = name.copy(), ends.copy()
         name[joins], ends[joins] = made, ends[joins + 1]
-        offer(made, ends[joins] - starts[joins], low[joins], high[joins + 1])
+        offer(ends[joins] - starts[joins], low[joins], high[joins + 1])
         keep = np.ones(len(name), bool)
         keep[joins + 1] = False
         name, starts, ends, low, high = name[keep], starts[keep], ends[keep], new_low[keep], new_high[keep]
@@ -76,7 +82,7 @@ def anchors(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
     held = held[: max(0, n - window + 1)]
     alone = np.flatnonzero(held == 0)
     if len(alone):
-        held[alone] = (np.uint64(15) << np.uint64(60)) | (window_names(words, window, 1)[alone] >> np.uint64(4))
+        held[alone] = window_names(words, window, 1)[alone]
     return held
 
 
@@ -183,7 +189,6 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     able = table.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     firsts = written(able.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
     lead = able.join(firsts, "digest").where(F.col("doc_id") == F.col("first")).select("doc_id", F.explode("anchors").alias("anchor"))
-    lead = written(lead, "anchors")
     common = lead.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
     shared = lead.join(common, "anchor").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("anchor").alias("_anchors"))
     windows = written(repeated_windows(texts, written(shared, "shared-anchors"), window), "windows")
