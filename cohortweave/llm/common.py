@@ -113,7 +113,12 @@ def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     if n == 0:
         return words
     take = min(size, n)
-    total = np.full(n - take + 1, take, np.uint64)
+    total, times = np.full(n - take + 1, take, np.uint64), factors(take)
     for i in range(take):
-        total += words[i : n - take + 1 + i] * np.uint64((0x9E3779B97F4A7C15 * (2 * i + 3)) & 0xFFFFFFFFFFFFFFFF | 1)
+        total += words[i : n - take + 1 + i] * times[i]
     return mix(total, take)
+
+
+def factors(n: int, seed: int = 0) -> np.ndarray:
+    """n unrelated odd numbers: sums of words times them tell orders apart."""
+    return mix(np.arange(n, dtype=np.uint64), 101 + seed) | np.uint64(1)

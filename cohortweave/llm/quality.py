@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,14 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortweave.llm.common import KEPT_WORDS, written
+from cohortweave.llm.common import KEPT_WORDS, WordHashes, shingle_hashes, written
 
 #: The classifier is fitted on at most so many labelled rows, those of the smallest id hashes.
 LABELLED_ROWS = 20_000
-#: Buckets of the hashed features; the model is two floats for each.
-BUCKET_BITS = 18
-#: Features whose log odds ratio is within so many standard errors of 0 count as nothing.
-LEAST_Z = 4.0
+#: Features whose bad documents are within so many standard deviations of what chance gives
+#: count as nothing. Of 100,000 rare words a few get beyond 5 by chance, more if copies remain.
+LEAST_Z = 8.0
 #: A document is rejected if one of its two posteriors reaches this.
 REJECT = 0.5
 #: Before any label is seen, one document in twenty is taken to be bad.
@@ -27,38 +28,50 @@ PRIOR_BAD, PRIOR_ALL = 1.0, 20.0
 WEIGHT_LOW, WEIGHT_HIGH = 10.0, 10_000.0
 
 TARGETS = ("poor", "toxic")
-_MASK = (1 << BUCKET_BITS) - 1
+#: Stands for all documents among the features.
+EVERY = -1
+def _feature(kind: str, value: str) -> int:
+    """A 63-bit name of a feature."""
+    return xxhash.xxh64_intdigest(f"{kind}\0{value}".encode()) >> 1
 
 
-def _bucket(kind: str, value: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind}\0{value}".encode()) & _MASK
+class Words(dict):
+    """For each word: its letters in lower case and the marks after them, as features, and whether it is in capitals.
 
+    With `chosen`, features are numbered as it says, and 0 stands for those that it lacks.
+    """
 
-class WordFeatures(dict):
-    """For each word: bucket of its letters in lower case, bucket of what follows them, capitals."""
+    def __init__(self, chosen: dict[int, int] | None = None):
+        self.chosen = chosen
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> tuple[int, int, bool]:
         if len(self) >= KEPT_WORDS:
             self.clear()
         core = word.rstrip("".join(c for c in set(word) if not c.isalnum()))
-        upper = len(core) > 1 and core.isupper()
-        value = self[word] = _bucket("word", core.lower()) | _bucket("end", word[len(core) :][-4:]) << BUCKET_BITS | upper << 2 * BUCKET_BITS
+        found = _feature("word", core.lower()), _feature("end", word[len(core) :][-4:])
+        if self.chosen is not None:
+            found = tuple(self.chosen.get(f, 0) for f in found)
+        value = self[word] = (*found, len(core) > 1 and core.isupper())
         return value
 
-    def of(self, text: str | None) -> np.ndarray:
-        """The distinct feature buckets of a document."""
-        words = (text or "").split()
-        n = len(words)
-        codes = np.fromiter(map(self.__getitem__, words), np.int64, n)
-        cores, ends = codes & _MASK, (codes >> BUCKET_BITS) & _MASK
-        distinct = np.unique(cores)
-        shares = {
-            "length": n.bit_length(),
-            "upper": int(10 * (codes >> 2 * BUCKET_BITS).mean()) if n else -1,
-            "again": int(10 * (cores[1:] == cores[:-1]).mean()) if n > 1 else -1,
-            "distinct": int(10 * len(distinct) / n) if n else -1,
-        }
-        return np.unique(np.r_[distinct, np.unique(ends), [_bucket(k, str(v)) for k, v in shares.items()]])
+
+def features_of(text: str | None, words: Words) -> set[int]:
+    """The distinct features of a document: its words, the marks after them, and shares of kinds of words."""
+    split = (text or "").split()
+    n, lowered = len(split), (text or "").lower().split()
+    if n != len(lowered):
+        lowered = split
+    cores, ends, capitals = zip(*map(words.__getitem__, split), strict=True) if n else ((), (), ())
+    shares = {
+        "length": n.bit_length(),
+        "upper": 10 * sum(capitals) // n if n else -1,
+        "again": 10 * sum(map(operator.eq, lowered[1:], lowered)) // (n - 1) if n > 1 else -1,
+        "distinct": 10 * len(set(lowered)) // n if n else -1,
+    }
+    rest = [_feature(k, str(v)) for k, v in shares.items()]
+    if words.chosen is not None:
+        rest = [words.chosen.get(f, 0) for f in rest]
+    return {*cores, *ends, *rest}
 
 
 def _targets() -> list[Column]:
@@ -66,55 +79,71 @@ def _targets() -> list[Column]:
     return [(F.col("quality") == 0).cast("int").alias("poor"), (F.col("toxic") == 1).cast("int").alias("toxic")]
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[np.ndarray, list[float]]:
-    """Weights (target, bucket) and the prior of each target.
+def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[dict[int, tuple[float, ...]], list[float]]:
+    """Weights of the telling features, one for each target, and the prior of each target.
 
     A feature's weight is the log ratio of its frequencies among bad and good documents, both
-    shrunk towards the overall frequency, and 0 unless it is well away from 0. Labels beyond
-    `rows` are not used; the sample is a broadcast of at most so many rows.
+    shrunk towards the overall frequency; 0 where chance could make it. Of labelled documents
+    that share their least shingle, as copies do, one counts, for copies would make any of
+    their words look telling. Labels beyond `rows` are not used: the sample is a broadcast of
+    at most so many rows, and only features that several of its documents hold are collected.
     """
     chosen = labels.where(F.col("doc_id").isNotNull()).select("doc_id", *_targets())
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "poor", "toxic").limit(rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", *TARGETS)
+    labelled = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", *TARGETS)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            least = [int(shingle_hashes(words.of(t)).min(initial=np.uint64(0xFFFFFFFFFFFFFFFF)) >> np.uint64(1)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], names=[*batch.schema.names, "least"])
+
+    keyed = labelled.mapInArrow(marked, T.StructType([*labelled.schema.fields, T.StructField("least", T.LongType())]))
+    one = keyed.groupBy("least", *TARGETS).agg(F.min(F.struct("doc_id", "text")).alias("doc"))
+    sample = one.select("doc.text", *TARGETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, counts = WordFeatures(), np.zeros((4, _MASK + 2), np.int64)  # the last bucket counts documents
+        words, counts = Words(), [Counter() for _ in range(4)]
         for batch in batches:
             for text, *marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.r_[features.of(text), _MASK + 1]
+                own = features_of(text, words) | {EVERY}
                 for t, mark in enumerate(marks):
                     if mark is not None:
-                        counts[2 * t + mark, own] += 1
-        used = np.flatnonzero(counts.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(c[used]) for c in counts)], names=["bucket", "p0", "p1", "t0", "t1"])
+                        counts[2 * t + mark].update(own)
+        used = list(set().union(*counts))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int64()), *(pa.array([c[f] for f in used], pa.int64()) for c in counts)], names=["feature", *columns]
+        )
 
     columns = ["p0", "p1", "t0", "t1"]
-    cells = sample.mapInArrow(run, "bucket long, p0 long, p1 long, t0 long, t1 long")
-    counts = np.zeros((4, _MASK + 2))
-    for bucket, *n in cells.groupBy("bucket").agg(*(F.sum(c) for c in columns)).collect():
-        counts[:, bucket] = n
-    weights, priors = np.zeros((2, _MASK + 1)), []
-    for t in range(2):
-        (good, all_good), (bad, all_bad) = ((c[:-1], c[-1]) for c in counts[2 * t : 2 * t + 2])
+    cells = sample.mapInArrow(run, "feature long, p0 long, p1 long, t0 long, t1 long")
+    counts = written(cells.groupBy("feature").agg(*(F.sum(c).alias(c) for c in columns)), "features")
+    all_of = counts.where(F.col("feature") == EVERY).first() or dict.fromkeys(columns, 0)
+    weights, priors = [], []
+    for t in "pt":
+        good, bad, all_good, all_bad = F.col(f"{t}0"), F.col(f"{t}1"), all_of[f"{t}0"], all_of[f"{t}1"]
+        share = (all_bad + 0.5) / (all_good + all_bad + 1)
+        expected = (good + bad) * share
+        z = F.abs(bad - expected) / F.sqrt(F.greatest(expected * (1 - share), F.lit(1e-9)))
         overall = (good + bad + 0.5) / (all_good + all_bad + 1)
-        ratio = np.log((bad + overall) / (all_bad + 1)) - np.log((good + overall) / (all_good + 1))
-        error = np.sqrt(1 / (bad + overall) + 1 / (good + overall))
-        seen = (good + bad) > 0
-        weights[t] = np.where(seen & (np.abs(ratio) > LEAST_Z * np.minimum(error, 1 / np.sqrt(np.maximum(bad, good) + 1e-9))), ratio, 0)
+        ratio = F.log((bad + overall) / (all_bad + 1)) - F.log((good + overall) / (all_good + 1))
+        weights.append(F.when(z > LEAST_Z, ratio).otherwise(0.0).alias(t))
         priors.append((all_bad + PRIOR_BAD) / (all_good + all_bad + PRIOR_ALL))
-    return weights, priors
+    telling = counts.where(F.col("feature") != EVERY).select("feature", *weights).where("p != 0 OR t != 0")
+    return {r["feature"]: (r["p"], r["t"]) for r in telling.collect()}, priors
 
 
-def with_evidence(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+def with_evidence(docs: DataFrame, weights: dict[int, tuple[float, ...]]) -> DataFrame:
     """docs and the log likelihood ratio of each target, as _poor and _toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     schema = T.StructType([*docs.schema.fields, *(T.StructField(f"_{t}", T.DoubleType()) for t in TARGETS)])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = WordFeatures()
+        words = Words({f: i for i, f in enumerate(sent.value, 1)})
+        table = np.array([(0.0, 0.0), *sent.value.values()])
         for batch in batches:
-            found = [sent.value[:, features.of(t)].sum(1) for t in batch.column("text").to_pylist()]
+            found = [table[list(features_of(t, words))].sum(0) for t in batch.column("text").to_pylist()]
             both = np.array(found).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(both[:, t]) for t in range(2))], names=names)
 

@@ -76,7 +76,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    found = substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"), with_text=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 

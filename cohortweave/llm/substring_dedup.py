@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.common import WordHashes, mix, written
+from cohortweave.llm.common import WordHashes, factors, mix, written
 
 #: Words of a window: a repeat of at least this many words is removed.
 WINDOW = 13
@@ -89,9 +89,9 @@ def anchors(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
 def window_names(words: np.ndarray, window: int, seed: int) -> np.ndarray:
     """A hash of each window's words."""
     n = len(words) - window + 1
-    total = np.zeros(max(0, n), np.uint64)
+    total, times = np.zeros(max(0, n), np.uint64), factors(window, seed)
     for i in range(window if n > 0 else 0):
-        total += words[i : i + n] * np.uint64((0xD1342543DE82EF95 * (2 * i + 1 + 64 * seed)) & 0xFFFFFFFFFFFFFFFF | 1)
+        total += words[i : i + n] * times[i]
     return mix(total, seed)
 
 
@@ -162,25 +162,27 @@ def repeated_windows(docs: DataFrame, shared: DataFrame, window: int = WINDOW) -
                 name, first = np.unique(window_names(own, window, 1)[hit], return_index=True)
                 names.append(name)
                 checks.append(window_names(own, window, 2)[hit][first])
-                ids.append(np.full(len(name), doc_id))
-            arrays = [np.concatenate(x or [np.zeros(0, np.uint64)]) for x in (ids, names, checks)]
-            yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.uint64).view(np.int64)) for a in arrays], names=["doc_id", "name", "check"])
+                ids.append(np.full(len(name), doc_id, np.int64).view(np.uint64))
+            doc, name, check = (np.concatenate(x or [np.zeros(0, np.uint64)]).astype(np.uint64).view(np.int64) for x in (ids, names, checks))
+            short = (check >> 32).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(name), pa.array(short)], names=["doc_id", "name", "check"])
 
     joined = docs.join(shared, docs["doc_id"] == shared["_doc"]).select("doc_id", "text", "_anchors")
-    return joined.mapInArrow(run, "doc_id long, name long, check long")
+    return joined.mapInArrow(run, "doc_id long, name long, check int")
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, kept_sha256) of every row of docs.
 
     Words are the parts of the text between ASCII white space. A word goes if it is in a
     window of 13 consecutive words that also starts in a document with a smaller doc_id,
-    judged on the input. kept: the words left, joined by one space, where any were removed
-    and some are left; else null (nothing removed: the text's own words; all removed: none).
+    judged on the input. kept (only `with_text`): the words left, joined by one space, where
+    any were removed and some are left; else null (nothing removed: the text's own words; all
+    removed: none).
 
     A document whose words all equal those of a smaller doc_id goes as a whole. Among the
-    others, anchors that two documents share lead to windows, which are compared by two 64-bit
-    names. A null text has no words. Rows with a null doc_id neither lose words nor take them
+    others, anchors that two documents share lead to windows, which are compared by names of
+    96 bits. A null text has no words. Rows with a null doc_id neither lose words nor take them
     from others. Rows of one doc_id do not count against each other. Fewer words than a window
     make none. An empty table gives an empty result.
     """
@@ -199,18 +201,20 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy(F.col("doc_id").alias("_doc"))
         .agg(F.collect_set("name").alias("_gone"))
     )
-    cut = written(_without(texts, gone, window), "cut")
+    cut = _without(texts, gone, window)
+    cut = written(cut if with_text else cut.withColumn("kept", F.lit(None).cast("string")), "cut")
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("first").isNotNull() & (F.col("doc_id") > F.col("first"))
     named = cut.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "n_removed", "kept", F.col("kept_sha256").alias("_sha")).distinct()
     whole = table.drop("anchors").join(firsts, "digest", "left")
-    return whole.join(named, (whole["doc_id"] == named["_doc"]) & (whole["digest"] == named["_digest"]), "left").select(
+    result = whole.join(named, (whole["doc_id"] == named["_doc"]) & (whole["digest"] == named["_digest"]), "left").select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(~F.coalesce(copy, F.lit(False)), F.col("kept")).alias("kept"),
         F.when(copy, F.lit(empty)).otherwise(F.coalesce("_sha", "whole_sha256")).alias("kept_sha256"),
     )
+    return result if with_text else result.drop("kept")
 
 
 def _without(texts: DataFrame, gone: DataFrame, window: int) -> DataFrame:
