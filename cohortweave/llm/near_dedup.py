@@ -17,6 +17,8 @@ SIMILARITY = 0.8
 #: 30 bands of 5 registers: a pair of similarity 0.8 shares no band once in 150,000 times.
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
+#: Buckets of up to so many members compare all of their components' members.
+PAIRED = 32
 #: Words whose signatures are computed together in a task.
 WORDS_AT_ONCE = 200_000
 
@@ -145,9 +147,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     a class is a connected component, its id the smallest doc_id in it, which is kept.
 
     Documents of equal words are one from the start. Of the rest, each band's bucket first
-    compares its members with its smallest one; components of the verified links follow.
-    Where a bucket still spans several components, its members of different components are
-    compared, so that only pairs within a component, which add nothing, go unseen.
+    compares its members with its most central one: that whose buckets hold the most, as the
+    original's do among its copies. Components of the verified links follow. A bucket that
+    still spans several of them compares its members of different components: all of them in
+    a bucket of up to PAIRED members; in a larger one, round by round, those with the most
+    central member of a component that has not been compared yet, until a round finds no
+    link. So no step makes pairs with the square of a group, and the one link that may be
+    missed joins two members that share large buckets only and are central in none.
 
     A document without words, or with a null doc_id, is a class of its own (class_id is its
     doc_id). Rows of the same doc_id are in one class if their texts are; otherwise each keeps
@@ -159,15 +165,28 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     firsts = written(copies.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
     own = copies.join(firsts, "digest").where(F.col("doc_id") == F.col("first")).select("first", F.posexplode("bands").alias("band", "value"))
     members = written(own.distinct(), "band-members")
-    buckets = members.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("first").alias("hub")).where("n > 1")
+    buckets = members.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(members.join(buckets, ["band", "value"]), "buckets")
-    stars = shared.where("first != hub").select(F.col("hub").alias("a"), F.col("first").alias("b")).distinct()
-    links = written(verified(stars, texts, similarity), "links")
+    weights = shared.groupBy("first").agg(F.sum("n").alias("weight"))
+    shared = written(shared.join(weights, "first"), "buckets")
+    seen = written(_with_hub(shared), "pairs")
+    links = written(verified(seen, texts, similarity), "links")
     labels = components(links)
-    more = _across(shared, stars, labels)
-    late = written(verified(more, texts, similarity), "links")
-    if late.take(1):
-        labels = components(links.unionByName(late))
+    more = written(_pairs_across(shared.where(F.col("n") <= PAIRED), labels).join(seen, ["a", "b"], "left_anti"), "pairs")
+    found = written(verified(more, texts, similarity), "links")
+    hubs = None
+    while True:
+        links, seen = links.unionByName(found), seen.unionByName(more)
+        if found.take(1):
+            labels = components(links)
+        elif hubs is not None:
+            break
+        named = _labelled(shared.where(F.col("n") > PAIRED), labels)
+        hubs, more = _next_hubs(named, hubs)
+        more = written(more.join(seen, ["a", "b"], "left_anti"), "pairs")
+        if not more.take(1):
+            break
+        found = written(verified(more, texts, similarity), "links")
     named = firsts.join(labels, firsts["first"] == labels["node"], "left").select("digest", F.coalesce("label", "first").alias("class_id"))
     return (
         sketches.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
@@ -177,16 +196,43 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
 
 
-def _across(shared: DataFrame, seen: DataFrame, labels: DataFrame) -> DataFrame:
-    """Unseen pairs (a, b) that share a bucket but not a component."""
-    named = shared.where("n > 2").join(labels, shared["first"] == labels["node"], "left").select(
-        "band", "value", "first", F.coalesce("label", "first").alias("label")
+def _ordered(one: str, two: str) -> list[F.Column]:
+    return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
+
+
+def _with_hub(shared: DataFrame) -> DataFrame:
+    """The pairs (a, b) of each bucket's most central member with its others."""
+    hubs = shared.groupBy("band", "value").agg(F.max(F.struct("weight", "first")).alias("top")).select("band", "value", F.col("top.first").alias("hub"))
+    return shared.join(hubs, ["band", "value"]).where("first != hub").select(*_ordered("first", "hub")).distinct()
+
+
+def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component, in the buckets that span more than one."""
+    named = shared.join(labels, shared["first"] == labels["node"], "left").select(
+        "band", "value", "first", "weight", F.coalesce("label", "first").alias("label")
     )
-    open_buckets = named.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    left = written(named.join(open_buckets.select("band", "value"), ["band", "value"]), "open-buckets")
+    several = named.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    return written(named.join(several.select("band", "value"), ["band", "value"]), "open-buckets")
+
+
+def _pairs_across(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share one of the given small buckets but not a component."""
+    left = _labelled(shared, labels)
     right = left.select("band", "value", F.col("first").alias("b"), F.col("label").alias("label_b"))
-    pairs = left.withColumnRenamed("first", "a").join(right, ["band", "value"]).where("a < b AND label != label_b").select("a", "b").distinct()
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    return left.withColumnRenamed("first", "a").join(right, ["band", "value"]).where("a < b AND label != label_b").select("a", "b").distinct()
+
+
+def _next_hubs(named: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """A new hub for each open bucket, added to those before, and its pairs with other components."""
+    free = named
+    if before is not None:
+        used = before.join(named.select("band", "value", F.col("first").alias("hub"), "label"), ["band", "value", "hub"]).select("band", "value", "label")
+        free = named.join(used, ["band", "value", "label"], "left_anti")
+    top = free.groupBy("band", "value").agg(F.max(F.struct("weight", "first", "label")).alias("top"))
+    hubs = written(top.select("band", "value", F.col("top.first").alias("hub"), F.col("top.label").alias("hub_label")), "hubs")
+    pairs = named.join(hubs, ["band", "value"]).where("label != hub_label").select(*_ordered("first", "hub")).distinct()
+    hubs = hubs.drop("hub_label")
+    return (hubs if before is None else before.unionByName(hubs)), pairs
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
