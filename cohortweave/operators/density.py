@@ -43,9 +43,14 @@ def density_input(
 SLIVER = 10_000
 
 
+def _finite(value: str) -> Column:
+    v = F.col(value).cast("double")
+    return v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf))
+
+
 def _bounds(df: DataFrame, by: list[str], value: str, times: Column) -> DataFrame:
     v = F.col(value).cast("double")
-    return df.where(v.isNotNull()).groupBy(*by).agg(
+    return df.where(_finite(value)).groupBy(*by).agg(
         F.min(v).alias("__lo"),
         F.max(v).alias("__hi"),
         F.sum(times).cast("long").alias("__n"),
@@ -70,11 +75,12 @@ def exact_quantiles(
     finer cells narrows each wanted rank down to a sliver of its group's range, until it
     holds at most ``sliver`` values or a single one; only those are then ordered. A task
     holds cell counts or a sliver, never a group. The ranks in search are written between
-    rounds: that cuts the lineage, and Spark broadcasts them only if the files are small.
+    rounds: that cuts the lineage. They are broadcast, being at most two per probability and
+    group. Values that are null, NaN or infinite take no part.
     """
     times = F.lit(1) if count is None else F.col(count)
     bounds = _bounds(df, by, value, times) if bounds is None else bounds
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"), times.cast("long").alias("__t"))
+    base = df.where(_finite(value)).select(*by, F.col(value).cast("double").alias("__v"), times.cast("long").alias("__t"))
     ranks = []
     for p in probs:
         h = (F.col("__n") - 1) * F.lit(float(p))
@@ -89,9 +95,10 @@ def exact_quantiles(
         largest = targets.where(F.col("__lo") < F.col("__hi")).agg(F.max("__size")).first()[0] or 0
         refine = largest > sliver
         slots = targets.select(*slot).distinct()
-        inside = base.join(slots, by).where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
+        inside = base.join(F.broadcast(slots), by).where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
         if refine:
-            share = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
+            # halves, as the difference of two huge values is infinite
+            share = F.try_divide(F.col("__v") / 2 - F.col("__lo") / 2, F.col("__hi") / 2 - F.col("__lo") / 2)
             cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * cells), F.lit(cells - 1)).cast("double")
         else:
             cell = F.col("__v")
@@ -159,10 +166,11 @@ def weighted_density(
     Equal values are summed up first and that table is written once, since every later step
     reads it: area values repeat for all people of an area. They are then binned linearly
     onto the grid, so each group ends up with at most n weights. Weights are normalised to 1
-    in each group; a group without weight gives no rows.
+    in each group; a group without weight gives no rows. Rows whose value is null, NaN or
+    infinite take no part.
     """
     by = [variable, group]
-    known = df.where(F.col(value).isNotNull() & F.col(weight).isNotNull())
+    known = df.where(_finite(value) & F.col(weight).isNotNull())
     counted = known.groupBy(*by, F.col(value).cast("double").alias("__value")).agg(
         F.count(F.lit(1)).alias("__times"), F.sum(weight).alias("__weight")
     )

@@ -15,11 +15,11 @@ from cohortweave.operators.spread import spread_join, with_group_values
 def join_features(parts: Sequence[DataFrame], key: str = "cust_id") -> DataFrame:
     """Full outer join of feature tables on one key.
 
-    The keys are united first and every part is left-joined to them: the growing side keeps
-    its partitioning on the key, so parts that were grouped by it need no further shuffle.
+    Each part is read once and rows without a key are left out. Parts that were grouped by
+    the key keep that partitioning through the joins and need no further shuffle.
     """
-    keys = reduce(DataFrame.union, [p.select(key) for p in parts]).where(F.col(key).isNotNull()).distinct()
-    return reduce(lambda left, right: left.join(right, key, "left"), parts, keys)
+    keyed = [p.where(F.col(key).isNotNull()) for p in parts]
+    return reduce(lambda left, right: left.join(right, key, "full"), keyed)
 
 
 def feature_templates(

@@ -90,14 +90,14 @@ def snapshot_lookup(
     columns: list[str] | None = None,
     prefixes: list[str] | None = None,
     file_prefix: str = "Feature_df_",
-    missing: str = "skip",
+    missing: str = "error",
 ) -> DataFrame:
     """For each (person, date) the person's row in the snapshot file of that date.
 
     Every needed file is read once with its own header; files with the same header share
     one scan and scans are united by column name, so reordered or absent columns are safe.
     The driver only handles dates and paths (bounded by calendar days), never rows. A date
-    without a file yields no rows, or an error with ``missing="error"``.
+    without a file is an error, or yields no rows with ``missing="skip"``.
     """
     spark = keys.sparkSession
     wanted = keys.select(key, F.col(date).alias("snapshot_dt")).where(F.col(key).isNotNull()).distinct()

@@ -7,6 +7,8 @@ import pytest
 from cohortweave.operators import density as de
 from cohortweave.operators import features as fe
 from cohortweave.operators import modelling as mo
+from cohortweave.catalog import QUERIES
+from cohortweave.operators.density import exact_quantiles
 
 
 def test_join_features_is_a_full_join(spark, rows):
@@ -159,3 +161,19 @@ def test_boosted_trees_and_default_candidates(spark):
     assert len(mo.default_candidates()) <= 50
     with pytest.raises(ValueError):
         mo.model_search(training(spark), ["x"], folds=2, candidates=[mo.Candidate("svm", ())])
+
+
+def test_quantiles_leave_out_values_that_are_not_finite(spark):
+    values = [float(i) for i in range(60)] + [float("nan"), float("inf"), float("-inf"), -1.7e308, 1.7e308]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    found = exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0], cells=8, sliver=5).first()
+    assert (found.q0, found.q1, found.q2) == (-1.7e308, 29.5, 1.7e308)
+
+
+def test_features_join_without_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("class_weights", "assembled_features"):
+            assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -57,7 +57,7 @@ def snapshots(tmp_path):
 def test_snapshot_lookup_reads_each_file_with_its_own_header(spark, tmp_path, rows):
     keys = [("p1", "2024-01-02"), ("p1", "2024-01-03"), ("p2", "2024-01-04"), ("p2", "2024-01-03"), ("p9", "2024-01-05")]
     df = spark.createDataFrame(keys, "person_id string, score_dt string").withColumn("score_dt", F.to_date("score_dt"))
-    got = tables.snapshot_lookup(df, snapshots(tmp_path), columns=["age"], prefixes=["race", "previous"])
+    got = tables.snapshot_lookup(df, snapshots(tmp_path), missing="skip", columns=["age"], prefixes=["race", "previous"])
     assert "other" not in got.columns
     assert rows(got, "person_id", "snapshot_dt", "age", "race_a", "previous_x") == [
         ("p1", dt.date(2024, 1, 2), "30", "1", None),
