@@ -332,14 +332,14 @@ _GROUPED = (
         FROM joined),
     labelled AS (
         SELECT *, CASE WHEN months_enrolled < 6 OR utiliz_99 = 0 THEN 'Not in study'
-            WHEN iltc_4m_99 = 1 AND iltc_4m_9798 = 0 THEN 'ILTC long 2019, start 2019'
-            WHEN iltc_4m_99 = 1 AND iltc_4m_9798 = 1 THEN 'ILTC long 2019, start 17-18'
-            WHEN iltc_99 = 1 AND iltc_9798 = 0 THEN 'ILTC short 2019, start 2019'
-            WHEN iltc_99 = 1 AND iltc_9798 = 1 THEN 'ILTC short 2019, start 17-18'
-            WHEN hltc_99 = 1 AND hltc_9798 = 0 THEN 'HLTC 2019, start 2019'
-            WHEN hltc_99 = 1 AND hltc_9798 = 1 THEN 'HLTC 2019, start 17-18'
-            WHEN iltc_99 = 0 AND hltc_99 = 0 AND iltc_9798 = 0 AND hltc_9798 = 0 THEN 'No LTC 2019, nor 17-18'
-            WHEN iltc_99 = 0 AND hltc_99 = 0 AND (iltc_9798 = 1 OR hltc_9798 = 1) THEN 'No LTC 2019, but LTC in 17-18' END AS ltc_cat
+            WHEN iltc_4m_99 = 1 AND iltc_4m_9798 = 0 THEN 'ILTC long 1999, start 1999'
+            WHEN iltc_4m_99 = 1 AND iltc_4m_9798 = 1 THEN 'ILTC long 1999, start 97-98'
+            WHEN iltc_99 = 1 AND iltc_9798 = 0 THEN 'ILTC short 1999, start 1999'
+            WHEN iltc_99 = 1 AND iltc_9798 = 1 THEN 'ILTC short 1999, start 97-98'
+            WHEN hltc_99 = 1 AND hltc_9798 = 0 THEN 'HLTC 1999, start 1999'
+            WHEN hltc_99 = 1 AND hltc_9798 = 1 THEN 'HLTC 1999, start 97-98'
+            WHEN iltc_99 = 0 AND hltc_99 = 0 AND iltc_9798 = 0 AND hltc_9798 = 0 THEN 'No LTC 1999, nor 97-98'
+            WHEN iltc_99 = 0 AND hltc_99 = 0 AND (iltc_9798 = 1 OR hltc_9798 = 1) THEN 'No LTC 1999, but LTC in 97-98' END AS ltc_cat
         FROM indexed)
     """
 )
@@ -372,4 +372,4 @@ def index_date(spark, sf_dir):
 @query("ltc_category", _GROUPED + "SELECT cust_id, ltc_cat FROM labelled")
 def ltc_category(spark, sf_dir):
     grouped = _grouped(spark, sf_dir)
-    return cg.ltc_category(grouped, "99", "9798", 6).select("cust_id", "ltc_cat")
+    return cg.ltc_category(grouped, "99", "9798", 6, "1999", "97-98").select("cust_id", "ltc_cat")

@@ -241,7 +241,7 @@ GBM = [mo.Candidate("gbm", (("maxIter", 5), ("maxDepth", 3), ("stepSize", 0.1)))
 
 
 def _search(spark, sf_dir, candidates, folds=3):
-    train = fe.class_weights(labelled(spark, sf_dir), (20, 110))
+    train = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[0], (20, 110))
     return mo.model_search(train, feature_list(train.columns), folds=folds, candidates=candidates)
 
 
@@ -252,7 +252,7 @@ def model_leaderboard(spark, sf_dir):
 
 @query("model_evaluation")
 def model_evaluation(spark, sf_dir):
-    test = fe.class_weights(labelled(spark, sf_dir), (2, 110))
+    test = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[1], (2, 110))
     return mo.evaluate(_search(spark, sf_dir, GLM[:1], folds=2).best, test)
 
 
@@ -366,7 +366,7 @@ def _density_sql(rows: str, n: int) -> str:
     """
 
 
-GRID = 128
+GRID = 512
 
 
 def _rounded(df):

@@ -32,7 +32,26 @@ def typed_csv(spark, sf_dir):
     )
     path = shared_path(spark, "orders-csv")
     tables.write_table(orders, path, "csv")
-    return tables.read_typed_csv(spark, path, {"o_totalprice": "double", "o_orderdate": "date"})
+    return tables.read_typed_csv(spark, path, {"o_totalprice": "double", "o_orderdate": "date"}, escaped=True)
+
+
+@query(
+    "written_csv",
+    """
+    SELECT doc_id, text, lang, CASE doc_id % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '  ' || lang || ' '
+           WHEN 4 THEN '"' || lang || '", ' || chr(10) || '\\n' || chr(13) || '\\' ELSE text || chr(10) END AS note
+    FROM documents
+    """,
+)
+def written_csv(spark, sf_dir):
+    note = (
+        "CASE doc_id % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN concat('  ', lang, ' ') "
+        "WHEN 4 THEN concat('\"', lang, '\", ', char(10), char(92), 'n', char(13), char(92)) ELSE concat(text, char(10)) END"
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.expr(note).alias("note"))
+    path = shared_path(spark, "documents-csv")
+    tables.write_table(docs, path, "csv")
+    return tables.read_typed_csv(spark, path, {"doc_id": "bigint"}, escaped=True)
 
 
 @query(
@@ -173,6 +192,17 @@ def matched_code_table(spark, sf_dir):
     return co.match_codes(claims_wide_v(spark, sf_dir), DIAGNOSES, listed)
 
 
+_ANY_HEAD = " OR ".join(
+    f"substr({c}, 1, 7) IN ('Brand#4', 'Brand#5') OR substr({c}, 1, 8) IN ('Brand#21', 'Brand#22', 'Brand#23')" for c in DIAGNOSES
+)
+
+
+@query("matched_code_lengths", f"SELECT * FROM claims_wide_v WHERE {_ANY_HEAD}")
+def matched_code_lengths(spark, sf_dir):
+    listed = codelists.code_ranges(spark, [("short", "Brand#", 4, 5), ("long", "Brand#", 21, 23)])
+    return co.match_codes(claims_wide_v(spark, sf_dir), DIAGNOSES, listed, co.PER_CODE)
+
+
 _IGNORED = ["Brand#1", "Brand#2", "Brand#3"]
 
 

@@ -81,8 +81,15 @@ _ELIGIBLE = """
 """
 
 
+def _swapped(text: str, old: str, new: str) -> str:
+    """The text with `old` replaced; an error if it is not there."""
+    if old not in text:
+        raise ValueError(f"not in the SQL: {old}")
+    return text.replace(old, new)
+
+
 def _limited(text: str) -> str:
-    return text.replace("FROM diagnoses_v", "FROM dx")
+    return _swapped(text, "FROM diagnoses_v", "FROM dx")
 
 
 @query(
@@ -94,8 +101,8 @@ def _limited(text: str) -> str:
             _limited(weight._CURRENT),
             weight._PRIOR,
             weight._LABELS,
-            weight._BMI.replace("FROM bmi_v", "FROM (SELECT * REPLACE (index_dt - 8600 AS index_dt) FROM bmi_v)"),
-            weight._COMBINED.replace("DATE '2024-01-01' AND DATE '2024-01-30'", "DATE '1996-11-01' AND DATE '2000-11-01'"),
+            _swapped(weight._BMI, "FROM bmi_v", "FROM (SELECT * REPLACE (index_dt - 8600 AS index_dt) FROM bmi_v)"),
+            _swapped(weight._COMBINED, "DATE '2024-01-01' AND DATE '2024-01-30'", "DATE '1996-11-01' AND DATE '2000-11-01'"),
             _limited(weight._WINDOWS),
         ]
     )
@@ -138,11 +145,12 @@ _CARE_SELECT = """
 def _care_sql() -> str:
     in_scope = "EXISTS (SELECT 1 FROM xwalk WHERE xwalk.person_id = {0}.person_id)"
     sql = care._GROUPED
-    sql = sql.replace(
+    sql = _swapped(
+        sql,
         "FROM claims_v WHERE year(from_dt) IN (1997, 1998, 1999, 2000)",
         "FROM claims_v WHERE from_dt BETWEEN DATE '1997-01-01' AND DATE '1999-12-31' AND " + in_scope.format("claims_v"),
     )
-    sql = sql.replace("FROM enroll_v LEFT JOIN (SELECT", f"FROM (SELECT * FROM enroll_v WHERE {care._OVERLAP.format('1997-01-01', '1999-12-31')}) LEFT JOIN (SELECT")
+    sql = _swapped(sql, "FROM enroll_v LEFT JOIN (SELECT", f"FROM (SELECT * FROM enroll_v WHERE {care._OVERLAP.format('1997-01-01', '1999-12-31')}) LEFT JOIN (SELECT")
     return sql + _CARE_SELECT
 
 
@@ -166,6 +174,8 @@ def long_term_care_groups(spark, sf_dir):
         before=("1997-01-01", "1998-12-31"),
         suffix_now="99",
         suffix_before="9798",
+        name_now="1999",
+        name_before="97-98",
         last_month="2000-03-01",
         born_by=None,
         min_stay_months=care.MIN_MONTHS,

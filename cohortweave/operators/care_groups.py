@@ -243,7 +243,11 @@ def index_date(
     return df.withColumn("index_dt", F.last_day(chosen))
 
 
-def ltc_category_rules(now: str = "19", before: str = "1718", min_enrolled: int = 20) -> list[tuple[Column, str]]:
+def ltc_category_rules(
+    now: str = "19", before: str = "1718", min_enrolled: int = 20, now_name: str = "2019", before_name: str = "17-18"
+) -> list[tuple[Column, str]]:
+    """The categories in order; ``now`` and ``before`` are column suffixes, their names go into the labels."""
+
     def on(name: str, period: str) -> Column:
         return F.col(f"{name}_{period}") == 1
 
@@ -253,16 +257,18 @@ def ltc_category_rules(now: str = "19", before: str = "1718", min_enrolled: int
     none_now = off("iltc", now) & off("hltc", now)
     return [
         ((F.col("months_enrolled") < min_enrolled) | off("utiliz", now), "Not in study"),
-        (on("iltc_4m", now) & off("iltc_4m", before), "ILTC long 2019, start 2019"),
-        (on("iltc_4m", now) & on("iltc_4m", before), "ILTC long 2019, start 17-18"),
-        (on("iltc", now) & off("iltc", before), "ILTC short 2019, start 2019"),
-        (on("iltc", now) & on("iltc", before), "ILTC short 2019, start 17-18"),
-        (on("hltc", now) & off("hltc", before), "HLTC 2019, start 2019"),
-        (on("hltc", now) & on("hltc", before), "HLTC 2019, start 17-18"),
-        (none_now & off("iltc", before) & off("hltc", before), "No LTC 2019, nor 17-18"),
-        (none_now & (on("iltc", before) | on("hltc", before)), "No LTC 2019, but LTC in 17-18"),
+        (on("iltc_4m", now) & off("iltc_4m", before), f"ILTC long {now_name}, start {now_name}"),
+        (on("iltc_4m", now) & on("iltc_4m", before), f"ILTC long {now_name}, start {before_name}"),
+        (on("iltc", now) & off("iltc", before), f"ILTC short {now_name}, start {now_name}"),
+        (on("iltc", now) & on("iltc", before), f"ILTC short {now_name}, start {before_name}"),
+        (on("hltc", now) & off("hltc", before), f"HLTC {now_name}, start {now_name}"),
+        (on("hltc", now) & on("hltc", before), f"HLTC {now_name}, start {before_name}"),
+        (none_now & off("iltc", before) & off("hltc", before), f"No LTC {now_name}, nor {before_name}"),
+        (none_now & (on("iltc", before) | on("hltc", before)), f"No LTC {now_name}, but LTC in {before_name}"),
     ]
 
 
-def ltc_category(df: DataFrame, now: str = "19", before: str = "1718", min_enrolled: int = 20) -> DataFrame:
-    return label_rules(df, "ltc_cat", ltc_category_rules(now, before, min_enrolled))
+def ltc_category(
+    df: DataFrame, now: str = "19", before: str = "1718", min_enrolled: int = 20, now_name: str = "2019", before_name: str = "17-18"
+) -> DataFrame:
+    return label_rules(df, "ltc_cat", ltc_category_rules(now, before, min_enrolled, now_name, before_name))

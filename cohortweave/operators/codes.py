@@ -12,6 +12,10 @@ from cohortweave.functions.rules import DROP, any_code, flag, head, no_code
 from cohortweave.operators.spread import names, spread_join, with_group_values
 
 
+#: Stands for a length: every code of a list is compared by its own match_len.
+PER_CODE = "per_code"
+
+
 def code_columns(df: DataFrame, pattern: str) -> list[str]:
     return [c for c in df.columns if re.search(pattern, c)]
 
@@ -39,15 +43,36 @@ def melt_codes(
     return long
 
 
+def _met_codes(df: DataFrame, cols: list[str], listed: DataFrame) -> DataFrame:
+    """The codes in df's columns whose first ``match_len`` characters are those of a listed code.
+
+    Only distinct codes are cut into their heads. Position 0 stands for the whole code: it is
+    compared where a listed code has no length or is shorter than its own.
+    """
+    met = df.select(F.explode(F.array(*cols)).alias("code")).where(F.col("code").isNotNull()).distinct()
+    at = F.explode(F.sequence(F.lit(0), F.length("code"))).alias("__at")
+    heads = met.select("code", at).withColumn("__head", F.expr("if(__at = 0, code, left(code, __at))"))
+    wanted = listed.where(F.col("code").isNotNull()).select(
+        F.expr("if(length(code) >= match_len, match_len, 0)").cast("int").alias("__at"),
+        F.expr("if(length(code) >= match_len, left(code, match_len), code)").alias("__head"),
+    )
+    return heads.join(wanted.distinct(), ["__at", "__head"], "left_semi").select("code")
+
+
 def match_codes(
-    df: DataFrame, code_cols: str | list[str], codes: list[str] | DataFrame, match_len: int | None = None
+    df: DataFrame, code_cols: str | list[str], codes: list[str] | DataFrame, match_len: int | str | None = None
 ) -> DataFrame:
     """Rows where any listed column's first ``match_len`` characters (or all) are in the list.
 
     A Python list becomes an IN filter. A DataFrame list (column ``code``) is joined once
-    per column; whether it is broadcast is left to Spark's own size check.
+    per column; whether it is broadcast is left to Spark's own size check. With ``PER_CODE``
+    each code of such a list counts by its own column ``match_len``.
     """
     cols = names(code_cols)
+    if match_len == PER_CODE:
+        if not isinstance(codes, DataFrame):
+            raise ValueError("a length per code needs a list with the columns code and match_len")
+        codes, match_len = _met_codes(df, cols, codes), None
     if not isinstance(codes, DataFrame):
         return df.where(any_code(cols, codes, match_len))
     distinct = codes.select(F.col("code").alias("__code")).where(F.col("code").isNotNull()).distinct()
@@ -76,7 +101,7 @@ def code_tier(
     key: str = "person_id",
     from_dt: str = "from_dt",
     to_dt: str = "to_dt",
-    match_len: int | None = None,
+    match_len: int | str | None = None,
     report: str = "matched",
 ) -> DataFrame:
     """One code system's finds as distinct (key, from_dt, to_dt, id_method, id_code).

@@ -68,6 +68,15 @@ def _learner(candidate: Candidate, label: str, weight: str, seed: int) -> Estima
     raise ValueError(f"unknown algorithm {candidate.algo!r}")
 
 
+def hold_out(df: DataFrame, key: str = "cust_id", parts: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(train, test): every row of one key in ``parts`` is for the test.
+
+    The hash is salted, so it is unrelated to the folds of ``model_search``.
+    """
+    test = F.pmod(F.xxhash64(F.lit("hold out"), F.col(key)), F.lit(parts)) == 0
+    return df.where(~test), df.where(test)
+
+
 def model_search(
     train: DataFrame,
     features: list[str],

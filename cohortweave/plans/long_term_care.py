@@ -21,6 +21,8 @@ class CareRules:
     before: tuple[str, str] = ("2017-01-01", "2018-12-31")
     suffix_now: str = "19"
     suffix_before: str = "1718"
+    name_now: str = "2019"
+    name_before: str = "17-18"
     last_month: str = "2020-03-01"
     born_by: str | None = "1964-01-01"
     min_stay_months: int = 4
@@ -53,7 +55,7 @@ def long_term_care_groups(
 ) -> DataFrame:
     """One row per person enrolled in the year: flags, months, candidate dates, index date, category.
 
-    Claims are read twice, once for all flags and the home-care month and once for the
+    The plan uses claims twice, for all flags with the home-care month and for the
     member-months. Everything after is grouped by the customer id, so the closing joins
     find their inputs partitioned already.
     """
@@ -99,4 +101,4 @@ def long_term_care_groups(
         flags = flags.join(part, cust, "left")
     flags = flags.withColumns({f"iltc_4m_{s}": F.coalesce(f"iltc_4m_{s}", F.lit(0)) for s in (now, before)})
     indexed = cg.index_date(flags, rules.year, key=cust, seed=rules.seed, suffix=now)
-    return cg.ltc_category(indexed, now, before, rules.min_enrolled)
+    return cg.ltc_category(indexed, now, before, rules.min_enrolled, rules.name_now, rules.name_before)

@@ -6,7 +6,7 @@ import datetime as dt
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,19 +22,35 @@ def _csv(spark: SparkSession):
     return spark.read.option("header", True).option("nullValue", NA).option("escape", '"')
 
 
-def read_text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header CSV as text columns; files whose header differs raise instead of shifting values."""
+def _escaped(text: Column) -> Column:
+    """Text on one line that is never the NULL marker; every backslash starts an escape."""
+    plain = F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\b")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    return F.when(text == NA, F.lit("\\" + NA)).otherwise(plain)
+
+
+def _restored(text: Column) -> Column:
+    plain = F.replace(F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")), F.lit("\\b"), F.lit("\\"))
+    return F.when(text == "\\" + NA, F.lit(NA)).otherwise(plain)
+
+
+def read_text_csv(spark: SparkSession, path: str | list[str], escaped: bool = False) -> DataFrame:
+    """Header CSV as text columns; files whose header differs raise instead of shifting values.
+
+    ``escaped`` reads what ``write_table`` wrote: text comes back as it was.
+    """
     first = path if isinstance(path, str) else path[0]
     columns = _csv(spark).csv(first).columns
-    return _csv(spark).schema(_text_schema(columns)).option("enforceSchema", False).csv(path)
+    raw = _csv(spark).schema(_text_schema(columns)).option("enforceSchema", False).csv(path)
+    return raw.select(*[_restored(F.col(c)).alias(c) for c in columns]) if escaped else raw
 
 
-def read_typed_csv(spark: SparkSession, path: str | list[str], types: dict[str, str]) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str | list[str], types: dict[str, str], escaped: bool = False) -> DataFrame:
     """Header CSV with declared types by column name; text that does not fit a type becomes NULL.
 
-    Columns without a declared type stay text, so ids keep their leading zeros.
+    Columns without a declared type stay text, so ids keep their leading zeros. ``escaped``
+    is for files of ``write_table``.
     """
-    raw = read_text_csv(spark, path)
+    raw = read_text_csv(spark, path, escaped)
     missing = set(types) - set(raw.columns)
     if missing:
         raise ValueError(f"columns not in the file: {sorted(missing)}")
@@ -60,12 +76,18 @@ def dates_by_suffix(df: DataFrame, suffix: str = "_dt") -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """Write a stage result: CSV with a header, NA for NULL and quotes where needed, or parquet."""
-    writer = df.write.mode(mode)
+    """Write a stage result: CSV with a header, all values quoted and NA for NULL, or parquet.
+
+    In CSV a line break in text is ``\\n`` or ``\\r``, a backslash ``\\b`` and the text NA
+    ``\\NA``, so files can be read in splits and NULL stays apart from text. Outer blanks and
+    empty text are kept.
+    """
     if fmt == "csv":
-        writer.option("header", True).option("nullValue", NA).option("escape", '"').csv(path)
+        text = {f.name: _escaped(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+        writer = df.withColumns(text).write.mode(mode).options(header=True, nullValue=NA, emptyValue="", escape='"', quoteAll=True)
+        writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     elif fmt == "parquet":
-        writer.parquet(path)
+        df.write.mode(mode).parquet(path)
     else:
         raise ValueError("fmt must be 'csv' or 'parquet'")
 

@@ -36,6 +36,19 @@ def test_match_any_column_by_prefix(spark, wide, rows, as_table):
     assert [r[0] for r in rows(co.match_codes(wide, "diagn3", listed, match_len=3))] == [3]
 
 
+def test_match_by_each_codes_own_length(spark, wide, rows):
+    listed = spark.createDataFrame(
+        [("O80", 3), ("Z37.0", 5), ("X", 4), ("B", None), ("YY", 1), (None, 3)], "code string, match_len int"
+    )
+    got = co.match_codes(wide, ["prdiagcd", "diag2", "diagn3"], listed, co.PER_CODE)
+    assert [r[0] for r in rows(got)] == [1, 3, 4]
+    assert got.columns == wide.columns
+    assert [r[0] for r in rows(co.match_codes(wide, "diag2", listed, co.PER_CODE))] == [4]
+    assert rows(co.match_codes(wide, "prdiagcd", listed.limit(0), co.PER_CODE)) == []
+    with pytest.raises(ValueError):
+        co.match_codes(wide, "diag2", ["O80"], co.PER_CODE)
+
+
 def test_exclude_codes_null_policies(spark, rows):
     df = spark.createDataFrame([(1, None, None), (2, None, "S5100"), (3, "A", "B"), (4, "A", None)], "id int, a string, b string")
     assert [r[0] for r in rows(co.exclude_codes(df, ["a", "b"], ["S5100"]))] == [3]

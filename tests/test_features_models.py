@@ -3,11 +3,12 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
+from cohortweave.catalog import QUERIES
 from cohortweave.operators import density as de
 from cohortweave.operators import features as fe
 from cohortweave.operators import modelling as mo
-from cohortweave.catalog import QUERIES
 from cohortweave.operators.density import exact_quantiles
 
 
@@ -177,3 +178,17 @@ def test_features_join_without_broadcasts(spark):
             assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_held_out_rows_are_a_fifth_of_the_keys_and_apart(spark):
+    df = spark.range(1000).select((F.col("id") % 500).alias("cust_id"), "id")
+    train, test = mo.hold_out(df)
+    assert train.count() + test.count() == 1000
+    assert train.join(test, "cust_id").count() == 0
+    assert 130 < test.count() < 270
+
+
+@pytest.mark.parametrize("name", ["model_evaluation"])
+def test_model_query_is_scored_on_unseen_people(spark, name):
+    row = QUERIES[name](spark, "/root/testdata/sf0.001").first()
+    assert row.n > 0 and row.logloss > 0

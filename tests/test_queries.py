@@ -39,6 +39,6 @@ def test_entry_module(spark):
 def test_one_row_per_person_and_no_label_inside_a_window(spark):
     care = QUERIES["long_term_care_groups"](spark, SF)
     assert care.count() == care.select("cust_id").distinct().count()
-    assert care.where(F.col("ltc_cat") == "ILTC long 2019, start 17-18").count() == 0
+    assert care.where(F.col("ltc_cat") == "ILTC long 1999, start 97-98").count() == 0
     study = QUERIES["study_groups"](spark, SF)
     assert study.count() == study.select("person_id").distinct().count()

@@ -35,10 +35,20 @@ def test_written_table_round_trip(spark, tmp_path, rows, fmt):
     df = spark.createDataFrame([("023", None, 1.5), ('say "hi", then', "b", None), ("line", "", 2.0)], "id string, t string, x double")
     path = str(tmp_path / fmt)
     tables.write_table(df, path, fmt)
-    back = spark.read.parquet(path) if fmt == "parquet" else tables.read_typed_csv(spark, path, {"x": "double"})
+    back = spark.read.parquet(path) if fmt == "parquet" else tables.read_typed_csv(spark, path, {"x": "double"}, escaped=True)
     assert rows(back) == rows(df)
 
 
+@pytest.mark.parametrize(
+    "text", ["a\nb", "a\r\nb", " pad ", "NA", "\\NA", "", None, 'say "hi", then', "\\n", "\\", "\\b\\\\n", '"', ",", "\t", "\\\n", '\\"', "ü x"]
+)
+def test_written_csv_keeps_any_text(spark, tmp_path, text):
+    df = spark.createDataFrame([(1, text, text), (2, "next", None)], "n int, t string, u string")
+    tables.write_table(df, str(tmp_path / "t"))
+    back = tables.read_typed_csv(spark, str(tmp_path / "t"), {"n": "int"}, escaped=True).orderBy("n").collect()
+    assert [tuple(r) for r in back] == [(1, text, text), (2, "next", None)]
+
+
 def test_parquet_dates_by_suffix(spark, tmp_path):
     df = spark.createDataFrame([("2020-02-29", "x", dt.datetime(2021, 5, 6, 7))], "a_dt string, b string, c_dt timestamp")
     df.write.parquet(str(tmp_path / "p"))
