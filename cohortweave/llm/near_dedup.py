@@ -152,8 +152,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     still spans several of them compares its members of different components: all of them in
     a bucket of up to PAIRED members; in a larger one, round by round, those with the most
     central member of a component that has not been compared yet, until a round finds no
-    link. So no step makes pairs with the square of a group, and the one link that may be
-    missed joins two members that share large buckets only and are central in none.
+    link. So no step makes pairs with the square of a group, but links may be missed: those of
+    two members that share large buckets only and never were a hub there.
 
     A document without words, or with a null doc_id, is a class of its own (class_id is its
     doc_id). Rows of the same doc_id are in one class if their texts are; otherwise each keeps
