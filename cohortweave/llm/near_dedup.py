@@ -17,8 +17,10 @@ SIMILARITY = 0.8
 #: 30 bands of 5 registers: a pair of similarity 0.8 shares no band once in 150,000 times.
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
-#: Buckets of up to so many members compare all of their components' members.
-PAIRED = 32
+#: Cells in which shingles are counted to tell rare ones apart; their counts are a broadcast.
+CELLS = 1 << 20
+#: Room for rounding where a bound is compared with the similarity.
+SLACK = 1e-9
 #: Words whose signatures are computed together in a task.
 WORDS_AT_ONCE = 200_000
 
@@ -148,12 +150,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Documents of equal words are one from the start. Of the rest, each band's bucket first
     compares its members with its most central one: that whose buckets hold the most, as the
-    original's do among its copies. Components of the verified links follow. A bucket that
-    still spans several of them compares its members of different components: all of them in
-    a bucket of up to PAIRED members; in a larger one, round by round, those with the most
-    central member of a component that has not been compared yet, until a round finds no
-    link. So no step makes pairs with the square of a group, but links may be missed: those of
-    two members that share large buckets only and never were a hub there.
+    original's do among its copies. Components of the verified links follow. Members of
+    buckets that still span several components are compared across components wherever
+    `rare_prefixes` leave a link possible, so no pair of them is lost and no group is
+    compared with itself; two linked documents can miss each other only by sharing no band.
 
     A document without words, or with a null doc_id, is a class of its own (class_id is its
     doc_id). Rows of the same doc_id are in one class if their texts are; otherwise each keeps
@@ -172,21 +172,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     seen = written(_with_hub(shared), "pairs")
     links = written(verified(seen, texts, similarity), "links")
     labels = components(links)
-    more = written(_pairs_across(shared.where(F.col("n") <= PAIRED), labels).join(seen, ["a", "b"], "left_anti"), "pairs")
+    members = written(_open_members(shared, labels), "open-members")
+    prefixes = rare_prefixes(texts.join(members, texts["doc_id"] == members["first"]).select("first", "label", "text"), similarity)
+    more = written(_pairs_across(prefixes, similarity).join(seen, ["a", "b"], "left_anti"), "pairs")
     found = written(verified(more, texts, similarity), "links")
-    hubs = None
-    while True:
-        links, seen = links.unionByName(found), seen.unionByName(more)
-        if found.take(1):
-            labels = components(links)
-        elif hubs is not None:
-            break
-        named = _labelled(shared.where(F.col("n") > PAIRED), labels)
-        hubs, more = _next_hubs(named, hubs)
-        more = written(more.join(seen, ["a", "b"], "left_anti"), "pairs")
-        if not more.take(1):
-            break
-        found = written(verified(more, texts, similarity), "links")
+    if found.take(1):
+        labels = components(links.unionByName(found))
     named = firsts.join(labels, firsts["first"] == labels["node"], "left").select("digest", F.coalesce("label", "first").alias("class_id"))
     return (
         sketches.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
@@ -206,33 +197,84 @@ def _with_hub(shared: DataFrame) -> DataFrame:
     return shared.join(hubs, ["band", "value"]).where("first != hub").select(*_ordered("first", "hub")).distinct()
 
 
-def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with their component, in the buckets that span more than one."""
-    named = shared.join(labels, shared["first"] == labels["node"], "left").select(
-        "band", "value", "first", "weight", F.coalesce("label", "first").alias("label")
-    )
+def _open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(first, label): members, with their component, of the buckets that span several."""
+    named = shared.join(labels, shared["first"] == labels["node"], "left").select("band", "value", "first", F.coalesce("label", "first").alias("label"))
     several = named.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    return written(named.join(several.select("band", "value"), ["band", "value"]), "open-buckets")
-
-
-def _pairs_across(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share one of the given small buckets but not a component."""
-    left = _labelled(shared, labels)
-    right = left.select("band", "value", F.col("first").alias("b"), F.col("label").alias("label_b"))
-    return left.withColumnRenamed("first", "a").join(right, ["band", "value"]).where("a < b AND label != label_b").select("a", "b").distinct()
-
-
-def _next_hubs(named: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """A new hub for each open bucket, added to those before, and its pairs with other components."""
-    free = named
-    if before is not None:
-        used = before.join(named.select("band", "value", F.col("first").alias("hub"), "label"), ["band", "value", "hub"]).select("band", "value", "label")
-        free = named.join(used, ["band", "value", "label"], "left_anti")
-    top = free.groupBy("band", "value").agg(F.max(F.struct("weight", "first", "label")).alias("top"))
-    hubs = written(top.select("band", "value", F.col("top.first").alias("hub"), F.col("top.label").alias("hub_label")), "hubs")
-    pairs = named.join(hubs, ["band", "value"]).where("label != hub_label").select(*_ordered("first", "hub")).distinct()
-    hubs = hubs.drop("hub_label")
-    return (hubs if before is None else before.unionByName(hubs)), pairs
+    return named.join(several.select("band", "value"), ["band", "value"]).select("first", "label").distinct()
+
+
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(CELLS)).astype(np.int64)
+
+
+def _holders(members: DataFrame) -> np.ndarray:
+    """About how many members hold a shingle of each cell; collects at most CELLS counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, total = WordHashes(), np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(total, _cells(weighted_shingles(words.of(text))[0]), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["cell", "n"])
+
+    counts = members.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    holders = np.zeros(CELLS, np.int64)
+    holders[counts["cell"].to_numpy()] = counts["n"].to_numpy()
+    return holders
+
+
+def rare_prefixes(members: DataFrame, similarity: float) -> DataFrame:
+    """(doc, label, shingle, before): the shingles of members (first, label, text) by which links are found.
+
+    All documents order their shingles alike, those that few members hold first. `before` is
+    the part of a document's weight that comes before a shingle. If x and y first meet in a
+    shingle before which x has weight u and y has v, these parts are not shared, and their
+    similarity is at most (1 - u)(1 - v) / (1 - uv): see `_pairs_across`. So shingles with more
+    than 1 - similarity before them cannot be where a link begins. Counts in cells are never too
+    low, thus a shingle with the count 1 is in no other member; it weighs but is not sent.
+    """
+    members = written(members, "member-texts")
+    holders = members.sparkSession.sparkContext.broadcast(_holders(members))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            rows, shingles, befores = [], [np.zeros(0, np.uint64)], [np.zeros(0)]
+            for text in batch.column(2).to_pylist():
+                shingle, weight = weighted_shingles(words.of(text))
+                held = holders.value[_cells(shingle)]
+                order = np.lexsort((shingle, held))
+                ends = np.cumsum(weight[order])
+                before = (ends - weight[order]) / max(1, weight.sum())
+                sent = (before <= 1 - similarity + SLACK) & (held[order] > 1)
+                rows.append(int(sent.sum()))
+                shingles.append(shingle[order][sent])
+                befores.append(before[sent])
+            at = pa.array(np.repeat(np.arange(len(rows)), rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(befores))],
+                names=["doc", "label", "shingle", "before"],
+            )
+
+    return written(members.mapInArrow(run, "doc long, label long, shingle long, before double"), "prefixes")
+
+
+def _pairs_across(prefixes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of different components that may be linked, by the bound of `rare_prefixes`.
+
+    The members of a shingle's largest component meet those of others only, so a group that is
+    one component already makes no pairs, however large it is.
+    """
+    sizes = prefixes.groupBy("shingle", "label").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("shingle").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).where("labels > 1")
+    spread = written(prefixes.join(top.select("shingle", F.col("top.label").alias("top")), "shingle"), "spread-shingles")
+    left = spread.where("label != top").select("shingle", F.col("doc").alias("first"), F.col("label").alias("label_a"), F.col("before").alias("u"))
+    right = spread.select("shingle", F.col("doc").alias("hub"), "label", "top", F.col("before").alias("v"))
+    possible = f"(1 - u) * (1 - v) >= {similarity - SLACK} * (1 - u * v)"
+    met = left.join(right, "shingle").where(f"label_a != label AND (label = top OR first < hub) AND {possible}")
+    return met.select(*_ordered("first", "hub")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

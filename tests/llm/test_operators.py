@@ -172,6 +172,30 @@ def test_chain_of_near_copies_is_one_class(spark):
     assert {r["class_id"] for r in found} == {0} and sum(r["kept"] for r in found) == 1
 
 
+def test_links_between_members_of_large_groups_are_found(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    table = {}
+    for i in range(120):  # the original is not in the table, and edits of a few words end many links
+        words = [f"x{i}{j}" if rng.random() < rng.choice((0.005, 0.01, 0.02, 0.03)) else w for j, w in enumerate(base)]
+        table[i] = " ".join(words)
+    for i in range(120, 150):  # pairs that are alike, far from all others
+        if i % 2 == 0:
+            words = [f"y{i}{j}" if rng.random() < 0.05 else w for j, w in enumerate(base)]
+        table[i] = " ".join([*words[:-2], f"z{i}", "end"])
+    found = near_dedup.near_duplicates(prepare(spark).createDataFrame(list(table.items()), "doc_id long, text string")).collect()
+    want = brute_classes(table)
+    assert {r["doc_id"]: r["class_id"] for r in found} == want
+    assert len(set(want.values())) > 10
+
+
+def test_pairs_within_one_component_are_not_made(spark):
+    rows = [(d, d // 90, 7, 0.1) for d in range(100)] + [(d, 0, 8, 0.0) for d in range(90)] + [(200, 3, 7, 0.19)]
+    prefixes = prepare(spark).createDataFrame(rows, "doc long, label long, shingle long, before double")
+    pairs = {(r["a"], r["b"]) for r in near_dedup._pairs_across(prefixes, 0.8).collect()}
+    assert pairs == {(a, b) for a in range(90) for b in range(90, 100)}
+
+
 def test_near_duplicates_odd_and_empty(odd_docs, no_docs):
     found = sorted(((r["doc_id"] or 0), r["class_id"] or 0) for r in near_dedup.near_duplicates(odd_docs).collect())
     assert found == [(0, 0), (0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (4, 4), (5, 4), (6, 6)]
