@@ -19,6 +19,8 @@ BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
 #: Cells in which shingles are counted to tell rare ones apart; their counts are a broadcast.
 CELLS = 1 << 20
+#: Classes of a document's shingles whose sizes bound what two documents can share.
+CLASSES = 32
 #: Room for rounding where a bound is compared with the similarity.
 SLACK = 1e-9
 #: Words whose signatures are computed together in a task.
@@ -226,7 +228,7 @@ def _holders(members: DataFrame) -> np.ndarray:
 
 
 def rare_prefixes(members: DataFrame, similarity: float) -> DataFrame:
-    """(doc, label, shingle, before): the shingles of members (first, label, text) by which links are found.
+    """(doc, label, shingle, before, n, weight, classes): shingles of members (first, label, text) that lead to links.
 
     All documents order their shingles alike, those that few members hold first. `before` is
     the part of a document's weight that comes before a shingle. If x and y first meet in a
@@ -234,6 +236,8 @@ def rare_prefixes(members: DataFrame, similarity: float) -> DataFrame:
     similarity is at most (1 - u)(1 - v) / (1 - uv): see `_pairs_across`. So shingles with more
     than 1 - similarity before them cannot be where a link begins. Counts in cells are never too
     low, thus a shingle with the count 1 is in no other member; it weighs but is not sent.
+    n is the document's number of distinct shingles, weight their total, classes the number of
+    those that others may hold, in each of CLASSES by hash.
     """
     members = written(members, "member-texts")
     holders = members.sparkSession.sparkContext.broadcast(_holders(members))
@@ -241,7 +245,7 @@ def rare_prefixes(members: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            rows, shingles, befores = [], [np.zeros(0, np.uint64)], [np.zeros(0)]
+            rows, shingles, befores, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0)], []
             for text in batch.column(2).to_pylist():
                 shingle, weight = weighted_shingles(words.of(text))
                 held = holders.value[_cells(shingle)]
@@ -252,28 +256,41 @@ def rare_prefixes(members: DataFrame, similarity: float) -> DataFrame:
                 rows.append(int(sent.sum()))
                 shingles.append(shingle[order][sent])
                 befores.append(before[sent])
+                sizes.append((len(shingle), weight.sum(), *np.bincount((shingle[held > 1] >> np.uint64(40)) % np.uint64(CLASSES), minlength=CLASSES)))
             at = pa.array(np.repeat(np.arange(len(rows)), rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(befores))],
-                names=["doc", "label", "shingle", "before"],
-            )
+            of_doc = np.array(sizes, np.int64).reshape(len(rows), CLASSES + 2)
+            classes = pa.FixedSizeListArray.from_arrays(pa.array(of_doc[:, 2:].ravel(), pa.int32()), CLASSES).cast(pa.list_(pa.int32()))
+            own = [batch.column(0), batch.column(1), pa.array(of_doc[:, 0]), pa.array(of_doc[:, 1]), classes]
+            doc, label, n, total, classes = (c.take(at) for c in own)
+            flat = pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(befores))
+            yield pa.RecordBatch.from_arrays([doc, label, *flat, n, total, classes], names=names)
 
-    return written(members.mapInArrow(run, "doc long, label long, shingle long, before double"), "prefixes")
+    schema = "doc long, label long, shingle long, before double, n long, weight long, classes array<int>"
+    names = [c.split()[0] for c in schema.split(", ")]
+    return written(members.mapInArrow(run, schema), "prefixes")
 
 
 def _pairs_across(prefixes: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of different components that may be linked, by the bound of `rare_prefixes`.
 
     The members of a shingle's largest component meet those of others only, so a group that is
-    one component already makes no pairs, however large it is.
+    one component already makes no pairs, however large it is. Two documents share no more
+    shingles than the smaller of both holds in each class; every further one weighs at least 1.
     """
     sizes = prefixes.groupBy("shingle", "label").agg(F.count("*").alias("n"))
     top = sizes.groupBy("shingle").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).where("labels > 1")
     spread = written(prefixes.join(top.select("shingle", F.col("top.label").alias("top")), "shingle"), "spread-shingles")
-    left = spread.where("label != top").select("shingle", F.col("doc").alias("first"), F.col("label").alias("label_a"), F.col("before").alias("u"))
-    right = spread.select("shingle", F.col("doc").alias("hub"), "label", "top", F.col("before").alias("v"))
-    possible = f"(1 - u) * (1 - v) >= {similarity - SLACK} * (1 - u * v)"
-    met = left.join(right, "shingle").where(f"label_a != label AND (label = top OR first < hub) AND {possible}")
+    left = spread.where("label != top").select(
+        "shingle",
+        F.col("doc").alias("first"),
+        F.col("label").alias("label_a"),
+        *(F.col(c).alias(f"{c}_a") for c in ("before", "n", "weight", "classes")),
+    )
+    right = spread.withColumnRenamed("doc", "hub")
+    common = "aggregate(zip_with(classes_a, classes, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+    parts = [("before_a", "before"), (f"(n_a - {common}) / weight_a", f"(n - {common}) / weight")]
+    possible = [f"(1 - {u}) * (1 - {v}) >= {similarity - SLACK} * (1 - {u} * {v})" for u, v in parts]
+    met = left.join(right, "shingle").where(" AND ".join(["label_a != label", "(label = top OR first < hub)", *possible]))
     return met.select(*_ordered("first", "hub")).distinct()
 
 

@@ -191,7 +191,9 @@ def test_links_between_members_of_large_groups_are_found(spark):
 
 def test_pairs_within_one_component_are_not_made(spark):
     rows = [(d, d // 90, 7, 0.1) for d in range(100)] + [(d, 0, 8, 0.0) for d in range(90)] + [(200, 3, 7, 0.19)]
-    prefixes = prepare(spark).createDataFrame(rows, "doc long, label long, shingle long, before double")
+    rows = [(*r, 100, 100, [50, 50]) for r in rows] + [(300, 4, 7, 0.0, 100, 100, [30, 70])]
+    schema = "doc long, label long, shingle long, before double, n long, weight long, classes array<int>"
+    prefixes = prepare(spark).createDataFrame(rows, schema)
     pairs = {(r["a"], r["b"]) for r in near_dedup._pairs_across(prefixes, 0.8).collect()}
     assert pairs == {(a, b) for a in range(90) for b in range(90, 100)}
 
