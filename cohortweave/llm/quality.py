@@ -194,8 +194,8 @@ def _prior_weight(groups: DataFrame, n: str, total: str, mean: float) -> float:
     return float(min(max(mean * (1 - mean) / between - 1, WEIGHT_LOW), WEIGHT_HIGH))
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """docs with p_poor, p_toxic and accepted.
+def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", with_text: bool = True) -> DataFrame:
+    """docs with p_poor, p_toxic and accepted; without `with_text` they lack the column text, which saves reading texts twice.
 
     A document's posterior joins the evidence of its text with the rate of its path (the
     documents of one `path` at one `host`), which leaves the document itself out and is
@@ -208,8 +208,13 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     """
     weights, priors = fit(docs, labels)
     site = [F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path")]
-    sites = site_posteriors(with_evidence(docs.select("text", *site), weights), priors)
-    scored = with_evidence(docs.select("*", *site), weights)
+    columns = docs.columns if with_text else [c for c in docs.columns if c != "text"]
+    if with_text:
+        sites = site_posteriors(with_evidence(docs.select("text", *site), weights), priors)
+        scored = with_evidence(docs.select("*", *site), weights)
+    else:
+        scored = written(with_evidence(docs.select("*", *site), weights).drop("text"), "evidence")
+        sites = site_posteriors(scored, priors)
     right = sites.withColumnsRenamed({"_host": "_rh", "_path": "_rp"})
     joined = scored.join(right, F.col("_host").eqNullSafe(F.col("_rh")) & F.col("_path").eqNullSafe(F.col("_rp")))
     chances = []
@@ -218,7 +223,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
         rate = (F.greatest(F.col(f"_s_{t}") - own, F.lit(0.0)) + F.col(f"_w_{t}") * F.col(f"_m_{t}")) / (F.col("_n") - 1 + F.col(f"_w_{t}"))
         bounded = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
         chances.append(_chance(F.col(f"_{t}"), bounded).alias(f"p_{t}"))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), *chances).withColumn(
+    return joined.select(*(F.col(f"`{c}`") for c in columns), *chances).withColumn(
         "accepted", (F.col("p_poor") < REJECT) & (F.col("p_toxic") < REJECT)
     )
 

@@ -88,4 +88,4 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality_classifier")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
-    return quality.classify(documents, labels).select("doc_id", "source", "lang", "p_poor", "p_toxic", "accepted")
+    return quality.classify(documents, labels, with_text=False).select("doc_id", "source", "lang", "p_poor", "p_toxic", "accepted")

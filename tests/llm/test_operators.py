@@ -217,6 +217,14 @@ def test_classifier_finds_held_out_labels(spark):
     assert right > 0.97
 
 
+def test_judgements_without_texts_are_those_with_them(docs, spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    whole, short = quality.classify(docs, labels), quality.classify(docs, labels, with_text=False)
+    assert short.columns == [c for c in whole.columns if c != "text"]
+    judged = [sorted((r["doc_id"], r["accepted"], round(r["p_poor"], 9), round(r["p_toxic"], 9)) for r in t.collect()) for t in (whole, short)]
+    assert judged[0] == judged[1]
+
+
 def test_sparse_paths_shrink_to_their_host(spark):
     schema = "_host string, _path string, _poor double, _toxic double"
     table = [("a", "big", 4.0, -9.0)] * 400 + [("b", "big", -4.0, -9.0)] * 400 + [("a", "tiny", -4.0, -9.0)]
