@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import operator
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +18,10 @@ from cohortweave.llm.common import KEPT_WORDS, WordHashes, shingle_hashes, writt
 
 #: The classifier is fitted on at most so many labelled rows, those of the smallest id hashes.
 LABELLED_ROWS = 20_000
-#: Features whose bad documents are within so many standard deviations of what chance gives
-#: count as nothing. Of 100,000 rare words a few get beyond 5 by chance, more if copies remain.
-LEAST_Z = 8.0
+#: Parts of the labelled rows; the evidence of each is measured with weights of the others.
+FOLDS = 4
+#: A task adds up the features it has met when it holds more than this.
+COUNTED_AT_ONCE = 2_000_000
 #: A document is rejected if one of its two posteriors reaches this.
 REJECT = 0.5
 #: Before any label is seen, one document in twenty is taken to be bad.
@@ -36,21 +38,13 @@ def _feature(kind: str, value: str) -> int:
 
 
 class Words(dict):
-    """For each word: its letters in lower case and the marks after them, as features, and whether it is in capitals.
-
-    With `chosen`, features are numbered as it says, and 0 stands for those that it lacks.
-    """
-
-    def __init__(self, chosen: dict[int, int] | None = None):
-        self.chosen = chosen
+    """For each word: its letters in lower case and the marks after them, as features, and whether it is in capitals."""
 
     def __missing__(self, word: str) -> tuple[int, int, bool]:
         if len(self) >= KEPT_WORDS:
             self.clear()
         core = word.rstrip("".join(c for c in set(word) if not c.isalnum()))
         found = _feature("word", core.lower()), _feature("end", word[len(core) :][-4:])
-        if self.chosen is not None:
-            found = tuple(self.chosen.get(f, 0) for f in found)
         value = self[word] = (*found, len(core) > 1 and core.isupper())
         return value
 
@@ -69,24 +63,86 @@ def features_of(text: str | None, words: Words) -> set[int]:
         "distinct": 10 * len(set(lowered)) // n if n else -1,
     }
     rest = [_feature(k, str(v)) for k, v in shares.items()]
-    if words.chosen is not None:
-        rest = [words.chosen.get(f, 0) for f in rest]
     return {*cores, *ends, *rest}
 
 
+def features_of_all(texts: list[str | None], words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The features of each text in turn, and the place of the text that each is of."""
+    each = [features_of(t, words) for t in texts]
+    sizes = [len(f) for f in each]
+    return np.fromiter(chain.from_iterable(each), np.int64, sum(sizes)), np.repeat(np.arange(len(each)), sizes)
+
+
+def _weights_of(found: np.ndarray, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights of each feature found; 0 for those that are not among the sorted `features`."""
+    if not len(features):
+        return np.zeros((len(found), weights.shape[1]))
+    at = np.minimum(np.searchsorted(features, found), len(features) - 1)
+    return np.where((features[at] == found)[:, None], weights[at], 0.0)
+
+
 def _targets() -> list[Column]:
     """1.0, 0.0 or null (not labelled) for each target."""
     return [(F.col("quality") == 0).cast("int").alias("poor"), (F.col("toxic") == 1).cast("int").alias("toxic")]
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[dict[int, tuple[float, ...]], list[float]]:
-    """Weights of the telling features, one for each target, and the prior of each target.
+def shrunk_ratios(bad: np.ndarray, good: np.ndarray, all_bad: int, all_good: int) -> np.ndarray:
+    """The log ratio of each feature's frequencies among bad and good documents, times the chance that it tells at all.
 
-    A feature's weight is the log ratio of its frequencies among bad and good documents, both
-    shrunk towards the overall frequency; 0 where chance could make it. Of labelled documents
-    that share their least shingle, as copies do, one counts, for copies would make any of
-    their words look telling. Labels beyond `rows` are not used: the sample is a broadcast of
-    at most so many rows, and only features that several of its documents hold are collected.
+    A feature tells nothing, and its bad documents are a binomial draw at the overall share, or
+    it tells, and every share is as likely. How many features tell is found from all of them
+    (empirical Bayes). A rare feature so counts for as much as its few documents can show.
+    """
+    pairs, which, times = np.unique(np.stack([bad, good]), axis=1, return_inverse=True, return_counts=True)
+    (b, g), n, total = pairs, pairs.sum(0), all_bad + all_good
+    share, overall = (all_bad + 0.5) / (total + 1), (n + 0.5) / (total + 1)
+    ratio = np.log((b + overall) / (all_bad + 1)) - np.log((g + overall) / (all_good + 1))
+    logs = [math.lgamma(x + 1) + math.lgamma(y + 1) - math.lgamma(x + y + 2) for x, y in pairs.T.tolist()]
+    gain = np.array(logs) - b * math.log(share) - g * math.log1p(-share)
+    times, part, tells = np.where(n > 0, times, 0), 0.01, np.zeros(len(n))
+    for _ in range(100):
+        tells = np.exp(-np.logaddexp(0, -(gain + math.log(part / (1 - part)))))
+        before, part = part, float((times @ tells + 1) / (times.sum() + 1000))
+        if abs(part - before) < 1e-9:
+            break
+    return np.where(n > 0, tells * ratio, 0.0)[which.ravel()]
+
+
+def calibrated(evidence: np.ndarray, bad: np.ndarray, prior: float) -> tuple[float, float, float]:
+    """Scales of the evidence for and against, and the log odds without any, by logistic regression.
+
+    `evidence` has the two sums of each document. Words come together, so their ratios overstate
+    the odds; the regression says by how much. With few rows it stays near scales of 1 and `prior`.
+    """
+    rows = np.column_stack([evidence, np.ones(len(evidence))])
+    start, weight = np.array([1.0, 1.0, math.log(prior / (1 - prior))]), np.array([1.0, 1.0, 0.01])
+
+    def loss(at: np.ndarray) -> float:
+        return float((np.logaddexp(0, rows @ at) - bad * (rows @ at)).sum() + (weight * (at - start) ** 2).sum() / 2)
+
+    at = start
+    for _ in range(60):
+        p = np.exp(-np.logaddexp(0, -(rows @ at)))
+        step = np.linalg.solve((rows * (p * (1 - p))[:, None]).T @ rows + np.diag(weight), rows.T @ (p - bad) + weight * (at - start))
+        size = 1.0
+        while size > 1e-6 and loss(at - size * step) > loss(at):
+            size /= 2
+        done = loss(at) - loss(at - size * step) < 1e-7
+        at = at - size * step
+        if done:
+            break
+    return max(float(at[0]), 0.0), max(float(at[1]), 0.0), float(at[2])
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], list[float]]:
+    """(features, weights for each target, evidence that every document has), and the prior of each target.
+
+    A feature's weight is its shrunk log ratio (`shrunk_ratios`), times a scale for its sign that
+    is fitted on evidence from the other parts of the labelled rows (`calibrated`). Of labelled
+    documents that share their least shingle, as copies do, one counts, for copies would make
+    any of their words look telling. Labels beyond `rows` are not used: the sample is a broadcast
+    of at most so many rows, and all features of its documents are collected and broadcast, in 24
+    bytes each.
     """
     chosen = labels.where(F.col("doc_id").isNotNull()).select("doc_id", *_targets())
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "poor", "toxic").limit(rows)
@@ -100,52 +156,96 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[
 
     keyed = labelled.mapInArrow(marked, T.StructType([*labelled.schema.fields, T.StructField("least", T.LongType())]))
     one = keyed.groupBy("least", *TARGETS).agg(F.min(F.struct("doc_id", "text")).alias("doc"))
-    sample = one.select("doc.text", *TARGETS)
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc.doc_id"), F.lit(FOLDS)).cast("int").alias("part")
+    sample = written(one.select(part, "doc.text", *TARGETS), "labelled")
+    columns = ["p0", "p1", "t0", "t1"]
+
+    def counted(found: list[np.ndarray], groups: list[np.ndarray]) -> pa.RecordBatch:
+        used, at = np.unique(np.concatenate(found), return_inverse=True)
+        cells = np.bincount(at * 4 * FOLDS + np.concatenate(groups), minlength=len(used) * 4 * FOLDS).reshape(-1, 4)
+        held = np.flatnonzero(cells.any(1))
+        arrays = [pa.array(used[held // FOLDS]), pa.array((held % FOLDS).astype("i4")), *(pa.array(cells[held, i]) for i in range(4))]
+        return pa.RecordBatch.from_arrays(arrays, names=["feature", "part", *columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = Words(), [Counter() for _ in range(4)]
+        words, found, groups, kept = Words(), [], [], 0
         for batch in batches:
-            for text, *marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = features_of(text, words) | {EVERY}
-                for t, mark in enumerate(marks):
-                    if mark is not None:
-                        counts[2 * t + mark].update(own)
-        used = list(set().union(*counts))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), *(pa.array([c[f] for f in used], pa.int64()) for c in counts)], names=["feature", *columns]
-        )
+            own, doc = features_of_all(batch.column("text").to_pylist(), words)
+            own, doc = np.r_[own, np.full(batch.num_rows, EVERY)], np.r_[doc, np.arange(batch.num_rows)]
+            part = batch.column("part").to_numpy().astype(np.int64)
+            for t, target in enumerate(TARGETS):
+                mark = np.array([-1 if m is None else m for m in batch.column(target).to_pylist()], np.int64)
+                known = mark[doc] >= 0
+                found.append(own[known])
+                groups.append((part * 4 + 2 * t + mark)[doc[known]])
+                kept += len(found[-1])
+            if kept > COUNTED_AT_ONCE:
+                yield counted(found, groups)
+                found, groups, kept = [], [], 0
+        if kept:
+            yield counted(found, groups)
+
+    cells = sample.mapInArrow(run, "feature long, part int, p0 long, p1 long, t0 long, t1 long")
+    sums = [F.sum(F.when(F.col("part") == k, F.col(c)).otherwise(0)).cast("int").alias(f"{c}_{k}") for k in range(FOLDS) for c in columns]
+    table = cells.groupBy("feature").agg(*sums).toArrow()
+    features = table.column("feature").to_numpy()
+    order = np.argsort(features)
+    counts = np.stack([table.column(i).to_numpy()[order] for i in range(1, table.num_columns)]).reshape(FOLDS, 4, len(order))
+    features, every = features[order], np.zeros((FOLDS, 4), np.int64)
+    if len(features):  # EVERY is below all others
+        features, every, counts = features[1:], counts[:, :, 0].astype(np.int64), counts[:, :, 1:]
+
+    def ratios(held: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        return np.stack([shrunk_ratios(held[2 * t + 1], held[2 * t], int(whole[2 * t + 1]), int(whole[2 * t])) for t in range(2)], 1)
+
+    held, whole = counts.sum(0), every.sum(0)
+    priors = [float((whole[2 * t + 1] + PRIOR_BAD) / (whole[2 * t] + whole[2 * t + 1] + PRIOR_ALL)) for t in range(2)]
+    weights, evidence = ratios(held, whole), np.zeros(2)
+    others = np.concatenate([ratios(held - counts[k], whole - every[k]) for k in range(FOLDS)], 1).astype("f4")
+    rated = _rated(sample, features, others)
+    for t, prior in enumerate(priors):
+        known = [(r[f"_for_{t}"], r[f"_against_{t}"], r[TARGETS[t]]) for r in rated if r[TARGETS[t]] is not None]
+        seen = np.array(known, float).reshape(-1, 3)
+        up, down, base = calibrated(seen[:, :2], seen[:, 2], prior)
+        weights[:, t] *= np.where(weights[:, t] > 0, up, down)
+        evidence[t] = base - math.log(prior / (1 - prior))
+    return (features, weights, evidence), priors
+
+
+def _rated(sample: DataFrame, features: np.ndarray, others: np.ndarray) -> list[Row]:
+    """The labels of each document of the sample, and its evidence for and against by the weights of the other parts."""
+    sent = sample.sparkSession.sparkContext.broadcast((features, others))
+    names = [f"_{side}_{t}" for t in range(2) for side in ("for", "against")]
 
-    columns = ["p0", "p1", "t0", "t1"]
-    cells = sample.mapInArrow(run, "feature long, p0 long, p1 long, t0 long, t1 long")
-    counts = written(cells.groupBy("feature").agg(*(F.sum(c).alias(c) for c in columns)), "features")
-    all_of = counts.where(F.col("feature") == EVERY).first() or dict.fromkeys(columns, 0)
-    weights, priors = [], []
-    for t in "pt":
-        good, bad, all_good, all_bad = F.col(f"{t}0"), F.col(f"{t}1"), all_of[f"{t}0"], all_of[f"{t}1"]
-        share = (all_bad + 0.5) / (all_good + all_bad + 1)
-        expected = (good + bad) * share
-        z = F.abs(bad - expected) / F.sqrt(F.greatest(expected * (1 - share), F.lit(1e-9)))
-        overall = (good + bad + 0.5) / (all_good + all_bad + 1)
-        ratio = F.log((bad + overall) / (all_bad + 1)) - F.log((good + overall) / (all_good + 1))
-        weights.append(F.when(z > LEAST_Z, ratio).otherwise(0.0).alias(t))
-        priors.append((all_bad + PRIOR_BAD) / (all_good + all_bad + PRIOR_ALL))
-    telling = counts.where(F.col("feature") != EVERY).select("feature", *weights).where("p != 0 OR t != 0")
-    return {r["feature"]: (r["p"], r["t"]) for r in telling.collect()}, priors
-
-
-def with_evidence(docs: DataFrame, weights: dict[int, tuple[float, ...]]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, others = sent.value
+        words = Words()
+        for batch in batches:
+            own, doc = features_of_all(batch.column("text").to_pylist(), words)
+            part, each = batch.column("part").to_numpy()[doc], _weights_of(own, features, others)
+            sums = []
+            for t in range(2):
+                mine = each[np.arange(len(own)), 2 * part + t]
+                sums += [np.bincount(doc, side, batch.num_rows) for side in (np.maximum(mine, 0), np.minimum(mine, 0))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(t) for t in TARGETS), *map(pa.array, sums)], names=[*TARGETS, *names])
+
+    return sample.mapInArrow(run, ", ".join([*(f"{t} int" for t in TARGETS), *(f"{n} double" for n in names)])).collect()
+
+
+def with_evidence(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """docs and the log likelihood ratio of each target, as _poor and _toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     schema = T.StructType([*docs.schema.fields, *(T.StructField(f"_{t}", T.DoubleType()) for t in TARGETS)])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words({f: i for i, f in enumerate(sent.value, 1)})
-        table = np.array([(0.0, 0.0), *sent.value.values()])
+        features, weights, every = sent.value
+        words = Words()
         for batch in batches:
-            found = [table[list(features_of(t, words))].sum(0) for t in batch.column("text").to_pylist()]
-            both = np.array(found).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(both[:, t]) for t in range(2))], names=names)
+            own, doc = features_of_all(batch.column("text").to_pylist(), words)
+            each = _weights_of(own, features, weights)
+            sums = [pa.array(np.bincount(doc, each[:, t], batch.num_rows) + every[t]) for t in range(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sums], names=names)
 
     return docs.mapInArrow(run, schema)
 

@@ -217,6 +217,28 @@ def test_classifier_finds_held_out_labels(spark):
     assert right > 0.97
 
 
+@pytest.mark.parametrize(
+    "sf, least", [("sf0.1", {("poor", None): 0.95, ("toxic", None): 0.85, ("toxic", "es"): 0.5}), ("sf0.01", {("poor", None): 0.7}), ("sf0.001", {})]
+)
+def test_classifier_finds_bad_documents_of_each_target_and_language(spark, sf, least):
+    docs = prepare(spark).read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
+    seen = labels.where(F.xxhash64("doc_id") % 4 != 0)
+    judged = quality.classify(docs, seen, with_text=False).join(labels.subtract(seen), "doc_id").collect()
+    good = [r["accepted"] for r in judged if r["quality"] == 1 and r["toxic"] == 0]
+    assert np.mean(good) > 0.97
+    for (target, lang), want in least.items():
+        bad = [r for r in judged if (r["quality"] == 0 if target == "poor" else r["toxic"] == 1) and lang in (None, r["lang"])]
+        assert np.mean([r[f"p_{target}"] >= 0.5 for r in bad]) >= want, (target, lang, len(bad))
+
+
+def test_a_few_documents_count_by_what_they_show():
+    bad, good = np.array([0, 1, 3, 7, 7, 11]), np.array([2, 0, 0, 0, 7, 89])
+    rest = np.zeros(500, int)
+    ratios = quality.shrunk_ratios(np.r_[bad, rest], np.r_[good, rest + 5], 40, 320)
+    assert 0 < ratios[1] < ratios[2] < ratios[3] and ratios[3] > 2 and abs(ratios[4]) < ratios[3] and abs(ratios[5]) < 0.05
+
+
 def test_judgements_without_texts_are_those_with_them(docs, spark):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     whole, short = quality.classify(docs, labels), quality.classify(docs, labels, with_text=False)
