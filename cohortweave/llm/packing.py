@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,24 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """The added tokens in the vocabulary's file for the tokenizers library, which lies beside the ranks; none without that file."""
+    beside = Path(tokenizer_path).with_suffix(".json")
+    if not beside.exists():
+        return {}
+    found = json.loads(beside.read_text(encoding="utf-8")).get("added_tokens", [])
+    odd = [t["content"] for t in found if t["single_word"] or t["lstrip"] or t["rstrip"]]
+    if odd:
+        raise ValueError(f"added tokens that take spaces or whole words only are not supported: {odd}")
+    return {t["content"]: t["id"] for t in found}
+
+
 def encoder(tokenizer_path: str) -> Callable[[list[str]], list[bytes]]:
     """Encodes texts to little-endian unsigned 32-bit ids, by a vocabulary given as ranks.
 
     The ids are those of the same vocabulary's file for the tokenizers library (a test holds
-    one against the other). The pre-tokenizer always cuts before a single space between two
+    one against the other): each added token found in a text is one id, and the parts between
+    are encoded by the ranks. The pre-tokenizer always cuts before a single space between two
     characters that are not white space, so a text is the sum of its space-separated words
     there and a word that was met before need not be encoded again. Texts with any other use
     of spaces are encoded whole.
@@ -45,6 +60,8 @@ def encoder(tokenizer_path: str) -> Callable[[list[str]], list[bytes]]:
     with open(tokenizer_path, "rb") as lines:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
     model = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = added_tokens(tokenizer_path)
+    marks = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})")
     odd = re.compile(r" (?:(?!\S)|(?<!\S ))")
     known: dict[str, bytes] = {}
     between = ranks[b"\n"]
@@ -70,6 +87,15 @@ def encoder(tokenizer_path: str) -> Callable[[list[str]], list[bytes]]:
             known[word] = ids_of(word).tobytes()
 
     def encode(texts: list[str]) -> list[bytes]:
+        held = [i for i, t in enumerate(texts) if any(x in t for x in added)]
+        if not held:
+            return encode_parts(texts)
+        pieces = {i: [x for x in marks.split(texts[i]) if x] for i in held}
+        parts = iter(encode_parts([x for i, t in enumerate(texts) for x in pieces.get(i, [t]) if i not in pieces or x not in added]))
+        tokens = {t: np.array([n], "<u4").tobytes() for t, n in added.items()}
+        return [b"".join(tokens[x] if x in added else next(parts) for x in pieces[i]) if i in pieces else next(parts) for i in range(len(texts))]
+
+    def encode_parts(texts: list[str]) -> list[bytes]:
         cut = [None if odd.search(t) or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
         words = set().union(*(c for c in cut if c))
         fresh = words.difference(known)

@@ -289,6 +289,18 @@ def test_packing_is_whole_tight_and_true_to_the_tokenizers_library(docs, rows):
     assert len(by_doc) == len(rows) and len(by_sequence) <= 1.03 * sum(r["length"] for r in found) / 1024 + 1
 
 
+def test_added_tokens_in_texts_are_single_ids():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a{mark}b", f"a {mark} b", f"  {mark}\n\n{mark}{mark} it's ", mark, f"{mark} x  y\n", "", "plain text", "<|endoftext|", f"<{mark}>", f"x y{mark}z {mark.upper()}"]
+    texts += [" ".join(random.Random(i).choices(["a", "b's", mark, f"c{mark}", " ", "\n", "12é", "\0"], k=30)) for i in range(40)]
+    got = packing.encoder(packing.default_tokenizer())(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def best_fit_decreasing(lengths, capacity):
     room = []
     for n in sorted(lengths, reverse=True):
