@@ -18,8 +18,9 @@ CONTAINMENT = 0.8
 #: a stretch of 2w, has a Jaccard similarity of 0.19 or more to it: all 64 registers differ
 #: once in 700,000 times.
 REGISTERS = 64
-#: Smallest size class; the next ones double.
-LEAST_CLASS = 8
+#: Items of at most so many shingles are looked up by each of their shingles: four fifths of
+#: them are one at least, and the bound above needs longer stretches.
+FEW_SHINGLES = 8
 #: Shingles of the items that are searched for in one pass over the documents.
 BLOCK_SHINGLES = 1_000_000
 
@@ -42,9 +43,16 @@ class ItemBlock:
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         by_class: dict[int, list[int]] = {}
+        few: list[int] = []
         for k, own in enumerate(self.shingles):
-            if len(own):
-                by_class.setdefault(max(LEAST_CLASS, 1 << int(len(own) - 1).bit_length()), []).append(k)
+            if len(own) > FEW_SHINGLES:
+                by_class.setdefault(1 << int(len(own) - 1).bit_length(), []).append(k)
+            elif len(own):
+                few.append(k)
+                self.table[self._cell(own)] = True
+        values = np.concatenate([np.empty(0, np.uint64), *(self.shingles[k] for k in few)])
+        order = np.argsort(values, kind="stable")
+        self.few = values[order], np.repeat(few, [len(self.shingles[k]) for k in few]).astype(np.int64)[order]
         for width, members in by_class.items():
             sketches = np.stack([_registers(self.shingles[k]) for k in members])
             for k in members:
@@ -60,14 +68,19 @@ class ItemBlock:
     def found(self, shingles: np.ndarray, containment: float) -> list[tuple[int, int, int]]:
         """(item, its shingles, those in the document) for the items that the document contains.
 
-        For each size class the document is cut to stretches of twice the class width that
+        Items of few shingles are candidates if the document holds one of them. For each size
+        class of the others the document is cut to stretches of twice the class width that
         overlap by half; a stretch without any shingle of an item (a bit table tells) has no
         register in common with one and is passed over.
         """
         hits = np.flatnonzero(self.table[self._cell(shingles)])
         if not len(hits):
             return []
+        values, owners = self.few
+        low, high = (np.searchsorted(values, shingles[hits], side) for side in ("left", "right"))
         candidates: set[int] = set()
+        for a, b in set(zip(low[high > low].tolist(), high[high > low].tolist())):
+            candidates.update(owners[a:b].tolist())
         for width, (values, owners) in self.classes.items():
             blocks = hits // width
             for b in np.unique(np.r_[blocks, np.maximum(blocks - 1, 0)]):

@@ -513,6 +513,17 @@ def test_short_items_are_found_inside_long_documents(spark):
     assert {(r["doc_id"], r["item_id"], r["n_shingles"], r["n_shared"]) for r in found.collect()} == brute_contained(texts, items)
 
 
+def test_items_of_five_to_sixteen_words_are_found_at_starts_and_inside():
+    rng = random.Random(6)
+    items = [[f"i{k}x{j}" for j in range(5 + (k % 12 if k % 3 == 0 else 0))] for k in range(1_500)]
+    block, words = decontam.ItemBlock([(k, " ".join(w)) for k, w in enumerate(items)]), WordHashes()
+    for k, item in enumerate(items):
+        rest = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        at = rng.choice((0, rng.randrange(80)))
+        found = block.found(shingle_hashes(words.of(" ".join(rest[:at] + item + rest[at:]))), 0.8)
+        assert [x[0] for x in found] == [k], (k, len(item), at)
+
+
 def test_decontamination_in_blocks_odd_and_empty(spark, docs, odd_docs, no_docs, monkeypatch):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = sorted(tuple(r) for r in decontam.contaminated(docs, benchmark).collect())
