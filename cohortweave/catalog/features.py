@@ -236,30 +236,27 @@ def claims_orders(spark, sf_dir):
 
 # ---- models (no SQL counterpart)
 
-GLM = [mo.Candidate("glm", (("regParam", r), ("elasticNetParam", a))) for r, a in ((0.01, 0.0), (0.1, 0.5))]
-GBM = [mo.Candidate("gbm", (("maxIter", 5), ("maxDepth", 3), ("stepSize", 0.1)))]
 
-
-def _search(spark, sf_dir, candidates, folds=3):
+def _search(spark, sf_dir):
     train = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[0], (20, 110))
-    return mo.model_search(train, feature_list(train.columns), folds=folds, candidates=candidates)
+    return mo.model_search(train, feature_list(train.columns))
 
 
 @query("model_leaderboard")
 def model_leaderboard(spark, sf_dir):
-    return mo.leaderboard(spark, _search(spark, sf_dir, GLM + GBM))
+    return mo.leaderboard(spark, _search(spark, sf_dir))
 
 
 @query("model_evaluation")
 def model_evaluation(spark, sf_dir):
     test = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[1], (2, 110))
-    return mo.evaluate(_search(spark, sf_dir, GLM[:1], folds=2).best, test)
+    return mo.evaluate(_search(spark, sf_dir).best, test)
 
 
 @query("saved_model_scores")
 def saved_model_scores(spark, sf_dir):
     path = shared_path(spark, "adult-model")
-    mo.save_model(_search(spark, sf_dir, GLM[1:], folds=2).best, path)
+    mo.save_model(_search(spark, sf_dir).best, path)
     return mo.score(mo.load_model(path), labelled(spark, sf_dir))
 
 

@@ -192,3 +192,21 @@ def test_held_out_rows_are_a_fifth_of_the_keys_and_apart(spark):
 def test_model_query_is_scored_on_unseen_people(spark, name):
     row = QUERIES[name](spark, "/root/testdata/sf0.001").first()
     assert row.n > 0 and row.logloss > 0
+
+
+@pytest.mark.parametrize("name", ["model_leaderboard", "model_evaluation", "saved_model_scores"])
+def test_registered_model_queries_search_all_candidates(spark, monkeypatch, name):
+    from cohortweave.catalog import QUERIES
+    from cohortweave.catalog import features as registered
+
+    class Called(Exception):
+        pass
+
+    def search(train, features, **options):
+        assert options.get("folds", registered.mo.FOLDS) == 10
+        assert (options.get("candidates") or registered.mo.default_candidates()) == registered.mo.default_candidates()
+        raise Called
+
+    monkeypatch.setattr(registered.mo, "model_search", search)
+    with pytest.raises(Called):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
