@@ -1,4 +1,4 @@
-"""The ten operators on the driver's tables, with SQL where SQL can express them."""
+"""The operators on the driver's tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm import (
+    bpe,
     chat,
     decontam,
     language_id,
@@ -89,3 +90,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     return quality.classify(documents, labels, with_text=False).select("doc_id", "source", "lang", "p_poor", "p_toxic", "accepted")
+
+
+@query("op13_bpe_encoding_and_decoding")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), bpe.default_tokenizer())
