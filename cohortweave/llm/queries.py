@@ -13,6 +13,7 @@ from cohortweave.llm import (
     decontam,
     language_id,
     line_dedup,
+    merkle,
     near_dedup,
     packing,
     quality,
@@ -95,3 +96,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_bpe_encoding_and_decoding")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), bpe.default_tokenizer())
+
+
+@query("op11_merkle_dataset_manifest", merkle.audit_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"), merkle.lower_cased_claims())
