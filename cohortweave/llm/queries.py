@@ -12,6 +12,7 @@ from cohortweave.llm import (
     chat,
     decontam,
     language_id,
+    lexical,
     line_dedup,
     merkle,
     near_dedup,
@@ -101,3 +102,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_merkle_dataset_manifest", merkle.audit_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"), merkle.lower_cased_claims())
+
+
+@query("op12_ranked_lexical_search", lexical.RANKED_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
