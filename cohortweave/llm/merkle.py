@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -25,16 +26,47 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def leaf_of(columns: list[Column]) -> Column:
-    """The digest of the columns, each `-` if null, else its UTF-8 length, a colon and its value."""
-    texts = [c.cast("string") for c in columns]
-    told = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
-    return F.sha2(F.concat(*told).cast("binary"), 256)
+def leaf_of(values: Iterable[bytes | None]) -> str:
+    """The digest of the values, each `-` if null, else its length in bytes, a colon and itself."""
+    made = hashlib.sha256()
+    for value in values:
+        if value is None:
+            made.update(b"-")
+        else:
+            made.update(b"%d:" % len(value))
+            made.update(value)
+    return made.hexdigest()
 
 
-def lowered(text: Column) -> Column:
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(text, upper, upper.lower())
+#: What is shown for a row's doc_id and text (as UTF-8); None where the row is shown as it is.
+Claim = Callable[[int | None, bytes | None], bytes | None]
+
+
+def lower_cased(doc_id: int | None, text: bytes | None) -> bytes | None:
+    """Lower-cases A-Z of every fifth row's text, by the CRC of its doc_id."""
+    if doc_id is None or text is None or zlib.crc32(str(doc_id).encode()) % 5:
+        return None
+    return text.lower()  # of bytes: A-Z only
+
+
+def leaves_of(docs: DataFrame, claim: Claim | None) -> DataFrame:
+    """(grp, tie, doc_id, node, claimed): each row's leaf and the one it is claimed to have, if another is shown."""
+    columns = [F.col(c).cast("string").cast("binary").alias(f"_{i}") for i, c in enumerate(FIELDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaves, claims = [], []
+            for doc_id, *values in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                leaves.append(leaf_of(values))
+                shown = claim and claim(doc_id, values[-1])
+                claims.append(None if shown is None else leaf_of([*values[:-1], shown]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(leaves, pa.string()), pa.array(claims, pa.string())], names=["grp", "tie", "doc_id", "node", "claimed"]
+            )
+
+    tie = F.xxhash64(F.monotonically_increasing_id()).alias("tie")
+    read = docs.select(F.col("source").cast("string").alias("grp"), tie, F.col("doc_id").cast("long"), *columns)
+    return read.mapInArrow(run, "grp string, tie long, doc_id long, node string, claimed string")
 
 
 # ---- places
@@ -250,24 +282,15 @@ def witnessed(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
     return found
 
 
-def witnessed_runs(docs: DataFrame, claim: Column | None = None) -> tuple[DataFrame, str | None]:
+def witnessed_runs(docs: DataFrame, claim: Claim | None = None) -> tuple[DataFrame, str | None]:
     """(runs of up to 16 leaves with their witnesses up to the root, root).
 
     Leaves of one source ascend by doc_id, nulls first, equal ones by leaf; subroots ascend by
-    source, null first. `claim` is the text that someone shows for a row, null where the row is
-    shown as it is; claimed leaves are kept beside the true ones. Only the columns of FIELDS
-    are read. No rows: no runs, and null for the root.
+    source, null first. Leaves of what `claim` shows are kept beside the true ones. Only the
+    columns of FIELDS are read. No rows: no runs, and None for the root.
     """
-    columns = [F.col(c) for c in FIELDS]
-    claim = F.lit(None).cast("string") if claim is None else claim
-    leaves = docs.select(
-        F.col("source").cast("string").alias("grp"),
-        F.col("doc_id").cast("long"),
-        leaf_of(columns).alias("node"),
-        F.when(claim.isNotNull(), leaf_of([*columns[:-1], claim])).alias("claimed"),
-        F.xxhash64(F.monotonically_increasing_id()).alias("tie"),
-    )
-    rounds = grow(placed(written(leaves, "merkle-leaves"), ["doc_id", "node"]), ["doc_id", "claimed"])
+    leaves = written(leaves_of(docs, claim), "merkle-leaves")
+    rounds = grow(placed(leaves, ["doc_id", "node"]), ["doc_id", "claimed"])
     subroots = group_roots(rounds).select(
         F.lit(None).cast("string").alias("grp"), F.col("grp").alias("source"), F.col("node"), F.lit(0).alias("tie")
     )
@@ -301,7 +324,7 @@ def proofs(docs: DataFrame) -> DataFrame:
 _AUDIT = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def audit(docs: DataFrame, claim: Column) -> DataFrame:
+def audit(docs: DataFrame, claim: Claim) -> DataFrame:
     """Each row's leaf, roots and the digest of its proof, and where the claimed row leads.
 
     folded_root is recomputed from the claimed leaf, or the true one where nothing is claimed,
@@ -326,11 +349,6 @@ def audit(docs: DataFrame, claim: Column) -> DataFrame:
     return runs.select("left", "nodes", "doc_id", "claimed", "places", "siblings", "subroot").mapInArrow(run, _AUDIT)
 
 
-def lower_cased_claims() -> Column:
-    """Claims the text in lower case for every fifth row, by the CRC of its doc_id; else nothing."""
-    return F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lowered(F.col("text")))
-
-
 # ---- the same in SQL
 
 
@@ -360,7 +378,7 @@ def _fold_sql(name: str, tree: str, start: str, depth: int) -> str:
 
 
 def audit_sql(depth: int = 6) -> str:
-    """DuckDB SQL of `audit` with `lower_cased_claims`, for at most 16 ** depth rows of a source and sources."""
+    """DuckDB SQL of `audit` with `lower_cased`, for at most 16 ** depth rows of a source and sources."""
 
     def leaf(text: str) -> str:
         fields = [*FIELDS[:-1], text]

@@ -101,7 +101,7 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op11_merkle_dataset_manifest", merkle.audit_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merkle.audit(read_table(spark, sf_dir, "documents"), merkle.lower_cased_claims())
+    return merkle.audit(read_table(spark, sf_dir, "documents"), merkle.lower_cased)
 
 
 @query("op12_ranked_lexical_search", lexical.RANKED_SQL)

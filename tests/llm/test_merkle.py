@@ -71,7 +71,7 @@ def expected(rows):
 
 
 def found(docs):
-    return sorted(map(tuple, merkle.audit(docs, merkle.lower_cased_claims()).collect()), key=repr)
+    return sorted(map(tuple, merkle.audit(docs, merkle.lower_cased).collect()), key=repr)
 
 
 def test_audit_matches_a_tree_built_in_one_go(spark):
