@@ -8,6 +8,7 @@ from cohortweave.catalog.registry import query
 from cohortweave.catalog.views import claims_v, members_v, table
 from cohortweave.operators import density as de
 from cohortweave.operators import features as fe
+from cohortweave.operators import metrics as me
 from cohortweave.operators import modelling as mo
 from cohortweave.session import shared_path
 
@@ -234,12 +235,104 @@ def claims_orders(spark, sf_dir):
     return orders.groupBy(F.col("o_custkey").alias("cust_id")).agg((F.max("o_totalprice") / 500000).alias("p1"))
 
 
+# ---- metrics and folds: the exact parts of model training
+
+_SCORED = """
+    scored AS (
+        SELECT o_orderpriority AS priority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS obese, 1e0 + o_custkey % 3 AS weight,
+               round(1e0 / (1e0 + exp(-(o_totalprice / 250000e0 - 1e0 + CASE WHEN o_orderstatus = 'F' THEN 0.2e0 ELSE 0e0 END))), 4) AS p1
+        FROM orders)
+"""
+
+
+def _scored(spark, sf_dir):
+    """Rows with a fixed logistic formula as their score, rounded so that there are ties."""
+    found = F.col("o_orderstatus") == "F"
+    logit = F.col("o_totalprice") / 250000 - 1 + F.when(found, F.lit(0.2)).otherwise(F.lit(0.0))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("priority"),
+        F.when(found, 1).otherwise(0).alias("obese"),
+        (F.lit(1.0) + F.col("o_custkey") % 3).alias("weight"),
+        F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), 4).alias("p1"),
+    )
+
+
+@query(
+    "exact_auc",
+    "WITH "
+    + _SCORED
+    + """,
+    steps AS (SELECT priority, p1, sum(CASE WHEN obese = 1 THEN weight ELSE 0 END) AS pos, sum(CASE WHEN obese = 0 THEN weight ELSE 0 END) AS neg
+              FROM scored GROUP BY ALL),
+    ranked AS (SELECT *, sum(neg) OVER (PARTITION BY priority ORDER BY p1) - neg AS below FROM steps)
+    SELECT priority, round(sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)), 9) AS auc FROM ranked GROUP BY priority
+    """,
+)
+def exact_auc(spark, sf_dir):
+    return me.weighted_auc(_scored(spark, sf_dir), by=["priority"]).withColumn("auc", F.round("auc", 9))
+
+
+@query(
+    "weighted_losses",
+    "WITH "
+    + _SCORED
+    + """
+    SELECT priority, round(-sum(weight * ln(CASE WHEN obese = 1 THEN p1 ELSE 1 - p1 END)) / sum(weight), 9) AS logloss,
+           round(sum(CASE WHEN (p1 > 0.5) = (obese = 1) THEN weight ELSE 0 END) / sum(weight), 9) AS accuracy, count(*) AS n
+    FROM scored GROUP BY priority
+    """,
+)
+def weighted_losses(spark, sf_dir):
+    losses = me.weighted_losses(_scored(spark, sf_dir), by=["priority"])
+    return losses.withColumns({c: F.round(c, 9) for c in ("logloss", "accuracy")})
+
+
+@query(
+    "score_calibration",
+    "WITH "
+    + _SCORED
+    + """
+    SELECT priority, CAST(least(floor(p1 * 10), 9) AS INT) AS bin, count(*) AS n, round(sum(p1 * weight) / sum(weight), 9) AS mean_score,
+           round(sum(CASE WHEN obese = 1 THEN weight ELSE 0 END) / sum(weight), 9) AS rate
+    FROM scored GROUP BY ALL
+    """,
+)
+def score_calibration(spark, sf_dir):
+    found = me.calibration(_scored(spark, sf_dir), by=["priority"])
+    return found.withColumns({c: F.round(c, 9) for c in ("mean_score", "rate")})
+
+
+def _part_sql(salt: str, key: str, parts: int) -> str:
+    """The SQL of ``modelling.key_hash``."""
+    return f"CAST(('0x' || substr(md5('{salt}:' || {key}), 1, 8))::BIGINT % {parts} AS INT)"
+
+
+@query(
+    "cross_validation_folds",
+    "WITH "
+    + _LABELLED
+    + f"""
+    SELECT cust_id, {_part_sql("hold out", "cust_id", 5)} = 0 AS held_out, {_part_sql("789", "cust_id", 10)} AS fold FROM labelled
+    """,
+)
+def cross_validation_folds(spark, sf_dir):
+    held_out = (mo.key_hash("hold out", "cust_id", 5) == 0).alias("held_out")
+    return labelled(spark, sf_dir).select("cust_id", held_out, mo.fold_of().alias("fold"))
+
+
 # ---- models (no SQL counterpart)
 
+ADULTS = (20, 110)
+_SEARCHES: dict[tuple, mo.SearchResult] = {}
+
 
 def _search(spark, sf_dir):
-    train = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[0], (20, 110))
-    return mo.model_search(train, feature_list(train.columns))
+    """The adult search; one result serves all queries of a session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _SEARCHES:
+        train = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[0], ADULTS)
+        _SEARCHES[at] = mo.model_search(train, feature_list(train.columns))
+    return _SEARCHES[at]
 
 
 @query("model_leaderboard")
@@ -249,7 +342,7 @@ def model_leaderboard(spark, sf_dir):
 
 @query("model_evaluation")
 def model_evaluation(spark, sf_dir):
-    test = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[1], (2, 110))
+    test = fe.class_weights(mo.hold_out(labelled(spark, sf_dir))[1], ADULTS)
     return mo.evaluate(_search(spark, sf_dir).best, test)
 
 
@@ -260,6 +353,14 @@ def saved_model_scores(spark, sf_dir):
     return mo.score(mo.load_model(path), labelled(spark, sf_dir))
 
 
+@query("cross_validated_scores")
+def cross_validated_scores(spark, sf_dir):
+    """One score per training row from the reloaded model of the fold that left the row out."""
+    search, path = _search(spark, sf_dir), shared_path(spark, "fold-models")
+    mo.save_fold_models(search, path)
+    return mo.cross_validated_scores(search, mo.load_fold_models(path))
+
+
 # ---- tract values and densities
 
 _TRACT_YEARS = """

@@ -17,7 +17,7 @@ from cohortweave.catalog.views import (
 from cohortweave.functions.rules import label_rules
 from cohortweave.operators import claims as cl
 from cohortweave.operators import codes as co
-from cohortweave.session import shared_path
+from cohortweave.session import shared_path, written
 from cohortweave.sources import codelists, tables
 
 
@@ -225,36 +225,83 @@ def excluded_codes_keep_null(spark, sf_dir):
     return co.exclude_codes(claim_lines_v(spark, sf_dir), ["proc_cd", "rev_cd"], _IGNORED, null_policy="keep")
 
 
-_ANY_TIER1 = " OR ".join(f"{c} = 'Brand#11'" for c in DIAGNOSES)
+TIERS = ["icd10_1st", "drg", "icd10_2nd", "revenue", "cpt"]
+_FIRST, _SECOND = ["Brand#11"], [("icd10_2nd", "Brand#", 20, 22)]
+
+
+def _diagnosis_finds(method: str, listed: str) -> str:
+    return f"""
+        SELECT person_id, from_dt, to_dt, '{method}' AS id_method, code AS id_code
+        FROM claims_v JOIN (UNPIVOT claims_wide_v ON COLUMNS('^diagnosis_') INTO NAME diag_seq VALUE code) USING (claim_id) WHERE code IN ({listed})"""
+
+
+def _line_finds(method: str, column: str, listed: str) -> str:
+    return f"""
+        SELECT person_id, line_dt AS from_dt, line_dt AS to_dt, '{method}' AS id_method, {column} AS id_code
+        FROM claims_v JOIN claim_lines_v USING (claim_id) WHERE {column} IN ({listed})"""
+
+
 _TIERS = f"""
-    WITH icd AS (
-        SELECT person_id, from_dt, to_dt, 'icd10_1st' AS id_method, code AS id_code
-        FROM claims_v JOIN (SELECT claim_id, 'Brand#11' AS code FROM claims_wide_v WHERE {_ANY_TIER1}) USING (claim_id)),
-    drg AS (
-        SELECT person_id, from_dt, to_dt, 'drg' AS id_method, coalesce(drg, status) AS id_code
-        FROM claims_v WHERE substr(drg, 1, 1) IN ('1') OR substr(status, 1, 1) IN ('1')),
-    rev AS (
-        SELECT person_id, line_dt AS from_dt, line_dt AS to_dt, 'revenue' AS id_method, rev_cd AS id_code
-        FROM claims_v JOIN claim_lines_v USING (claim_id) WHERE rev_cd = 'PROMO'),
-    finds AS (
-        SELECT DISTINCT * FROM icd
-        UNION ALL SELECT DISTINCT * FROM drg WHERE person_id NOT IN (SELECT person_id FROM icd)
-        UNION ALL SELECT DISTINCT * FROM rev WHERE person_id NOT IN (SELECT person_id FROM icd)
-                  AND person_id NOT IN (SELECT person_id FROM drg))
+    WITH all_finds AS (
+        SELECT 0 AS tier, * FROM ({_diagnosis_finds("icd10_1st", "'Brand#11'")})
+        UNION SELECT 1, person_id, from_dt, to_dt, 'drg', coalesce(drg, status)
+              FROM claims_v WHERE substr(drg, 1, 1) IN ('1') OR substr(status, 1, 1) IN ('1')
+        UNION SELECT 2, * FROM ({_diagnosis_finds("icd10_2nd", "SELECT 'Brand#' || n FROM range(20, 23) t(n) UNION SELECT p_brand FROM part WHERE p_type = 'ECONOMY' AND (contains(p_name, 'red ring') OR contains(p_name, 'blue bolt'))")})
+        UNION SELECT 3, * FROM ({_line_finds("revenue", "rev_cd", "SELECT p_type FROM part WHERE p_type = 'PROMO'")})
+        UNION SELECT 4, * FROM ({_line_finds("cpt", "proc_cd", "SELECT p_brand FROM part WHERE p_type = 'SMALL' AND contains(lower(p_name), 'widget')")})),
+    finds AS (SELECT * EXCLUDE (tier) FROM all_finds QUALIFY tier = min(tier) OVER (PARTITION BY person_id))
 """
 
 
+def claim_tables(spark, sf_dir):
+    """The claim headers with their diagnoses and the claim lines, as the five code systems read them.
+
+    Orders, line items and parts are each read once: both tables come from one written table.
+    """
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    claims = claims_v(spark, sf_dir).select("claim_id", "person_id", "from_dt", "to_dt", "drg", "status")
+    joined = claims.join(lines, F.col("claim_id") == F.col("l_orderkey"), "left").select(
+        *claims.columns,
+        F.col("l_linenumber").alias("line_no"),
+        F.col("p_brand").alias("diagnosis"),
+        F.when(F.col("l_partkey") % 10 != 0, F.col("p_brand")).alias("proc_cd"),
+        F.col("p_type").alias("rev_cd"),
+        F.to_date("l_shipdate").alias("line_dt"),
+    )
+    joined = written(joined, "claim-lines")
+    diagnoses = [F.max(F.when(F.col("line_no") == i, F.col("diagnosis"))).alias(f"diagnosis_{i}_cd") for i in range(1, 8)]
+    headers = joined.groupBy("claim_id").agg(*[F.first(c).alias(c) for c in claims.columns if c != "claim_id"], *diagnoses)
+    return headers, joined.where(F.col("line_no").isNotNull())
+
+
 def identified(spark, sf_dir):
-    claims = claims_v(spark, sf_dir)
-    wide = claims.select("claim_id", "person_id", "from_dt", "to_dt").join(claims_wide_v(spark, sf_dir), "claim_id")
-    lines = claim_lines_v(spark, sf_dir).select("claim_id", "line_dt", "rev_cd")
-    lines = claims.select("claim_id", "person_id").join(lines, "claim_id")
-    return co.tiered_identify(
+    part = table(spark, sf_dir, "part")
+    columns = {"type_col": "p_type", "code_col": "p_brand", "definition_col": "p_name"}
+    listed = codelists.code_list(part, "icd10_2nd", code_type="ECONOMY", definition_contains=["red ring", "blue bolt"], **columns)
+    second = codelists.code_ranges(spark, _SECOND).unionByName(listed)
+    revenue = codelists.code_list(part.withColumn("code", F.col("p_type")), "revenue", code_type="PROMO", type_col="p_type")
+    cpt = codelists.code_list(part, "cpt", code_type="SMALL", definition_contains=["widget"], lower=True, **columns)
+    whole = F.col("match_len") + 100  # a list's codes are compared as wholes
+    headers, lines = claim_tables(spark, sf_dir)
+    return co.identify_by_tiers(
         [
-            co.code_tier(wide, "icd10_1st", DIAGNOSES, ["Brand#11"]),
-            co.code_tier(claims, "drg", ["drg", "status"], ["1"], match_len=1, report="first"),
-            co.code_tier(lines, "revenue", "rev_cd", ["PROMO"], from_dt="line_dt", to_dt="line_dt"),
-        ]
+            co.TierTable(
+                headers,
+                (
+                    co.TierRule("icd10_1st", tuple(DIAGNOSES), codelists.code_literals(spark, {"icd10_1st": _FIRST}).withColumn("match_len", whole)),
+                    co.TierRule("drg", ("drg", "status"), codelists.code_literals(spark, {"drg": ["1"]}), "first"),
+                    co.TierRule("icd10_2nd", tuple(DIAGNOSES), second.withColumn("match_len", whole)),
+                ),
+            ),
+            co.TierTable(
+                lines,
+                (co.TierRule("revenue", ("rev_cd",), revenue.withColumn("match_len", whole)), co.TierRule("cpt", ("proc_cd",), cpt.withColumn("match_len", whole))),
+                from_dt="line_dt",
+                to_dt="line_dt",
+            ),
+        ],
+        TIERS,
     )
 
 

@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from cohortweave.catalog import care, cohort, weight
-from cohortweave.catalog.registry import query
+from cohortweave.catalog import care, cohort, features, weight
+from cohortweave.catalog.registry import ORACLES, query
 from cohortweave.catalog.views import base_day, bmi_v, care_lines_v, claims_v, deliveries_v, diagnoses_v, enroll_v, members_v
 from cohortweave.catalog.views import plus, referrals_v, scores_v, table
-from cohortweave.plans import long_term_care, maternity, weight_status
+from cohortweave.operators import features as fe
+from cohortweave.plans import long_term_care, maternity, weight_models, weight_status
+from cohortweave.session import written
 
 # ---- maternity: claims are moved forward by whole years so that they meet the deliveries
 
@@ -190,3 +192,77 @@ def long_term_care_groups(spark, sf_dir):
     )
     membership = care._with_cust(enroll_v(spark, sf_dir))
     return long_term_care.long_term_care_groups(membership, None, lines, deaths, rules)
+
+
+# ---- weight-status models: labels of the weight study where there are any, else a rule on the balance
+
+_MODEL_ROWS = (
+    "WITH "
+    + features._ASSEMBLED
+    + f""",
+    known AS (SELECT cust_id, obese FROM ({ORACLES["weight_status_labels"]})),
+    study AS (
+        SELECT m.person_id AS cust_id, m.person_id % greatest(1, (SELECT count(*) FROM members_v) // 4) AS study_hh, age,
+               coalesce(known.obese, CASE WHEN balance > 4500 THEN 1 ELSE 0 END) AS obese
+        FROM members_v m LEFT JOIN known ON known.cust_id = m.person_id LEFT JOIN allfeats f ON f.cust_id = m.person_id),
+    weighted AS (
+        SELECT *, CASE WHEN age BETWEEN 20 AND 110 THEN 'adults' ELSE 'children' END AS stratum,
+               {features._part_sql("789", "'household ' || study_hh", 10)} AS fold
+        FROM study WHERE age BETWEEN 2 AND 110),
+    ratios AS (SELECT stratum, sum(1 - obese) / sum(obese) AS ratio FROM weighted GROUP BY stratum)
+    """
+)
+
+
+def model_rows(spark, sf_dir):
+    """Everybody's label, household and features, as the stacked models read them."""
+    people = members_v(spark, sf_dir)
+    n = people.agg(F.count(F.lit(1))).scalar()
+    households = F.greatest(F.lit(1), F.floor(n / 4))
+    known = weight_status_labels(spark, sf_dir).select(F.col("cust_id").alias("person_id"), "obese")
+    labels = people.join(known, "person_id", "left").select(
+        F.col("person_id").alias("cust_id"),
+        (F.col("person_id") % households).alias("hh_id"),
+        F.coalesce("obese", F.when(F.col("balance") > 4500, 1).otherwise(0)).alias("obese"),
+    )
+    return fe.labelled_set(labels, features.assembled(spark, sf_dir))
+
+
+@query(
+    "model_strata",
+    _MODEL_ROWS
+    + """
+    SELECT cust_id, stratum, study_hh AS hh_id, obese, round(CASE WHEN obese = 1 THEN ratio ELSE 1e0 END, 9) AS weight, fold
+    FROM weighted JOIN ratios USING (stratum)
+    """,
+)
+def model_strata(spark, sf_dir):
+    rows = weight_models.strata(model_rows(spark, sf_dir))
+    return rows.select("cust_id", "stratum", "hh_id", "obese", F.round("weight", 9).alias("weight"), "fold")
+
+
+@query(
+    "child_training_rows",
+    _MODEL_ROWS
+    + """,
+    means AS (SELECT study_hh, avg(1e0 / (1e0 + exp(1e0 - age / 40e0))) AS m FROM study WHERE age BETWEEN 20 AND 110 GROUP BY study_hh)
+    SELECT cust_id, study_hh AS hh_id, obese, round(CASE WHEN obese = 1 THEN ratio ELSE 1e0 END, 9) AS weight, round(m, 9) AS hh_adult_mean_score
+    FROM weighted JOIN ratios USING (stratum) LEFT JOIN means USING (study_hh) WHERE stratum = 'children'
+    """,
+)
+def child_training_rows(spark, sf_dir):
+    """The child model's rows with household means of a fixed logistic score of the adults' age."""
+    rows = written(model_rows(spark, sf_dir), "model-rows")
+    adults = rows.where(F.col("age").between(20, 110))
+    scores = adults.select("cust_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(1.0) - F.col("age") / 40))).alias("p1"))
+    found = weight_models.child_rows(rows, scores)
+    rounded = [F.round(c, 9).alias(c) for c in ("weight", "hh_adult_mean_score")]
+    return found.select("cust_id", "hh_id", "obese", *rounded)
+
+
+@query("stacked_leaderboards")
+def stacked_leaderboards(spark, sf_dir):
+    rows = written(model_rows(spark, sf_dir), "model-rows")
+    chosen = features.feature_list(rows.columns)
+    adults, children = weight_models.stacked_models(rows, chosen, chosen)
+    return weight_models.leaderboards(adults, children)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.rules import DROP, any_code, flag, head, no_code
 from cohortweave.operators.spread import names, spread_join, with_group_values
+from cohortweave.session import written
 
 
 #: Stands for a length: every code of a list is compared by its own match_len.
 PER_CODE = "per_code"
+#: Codes of a list that may become one filter; beyond, a list stays a table.
+DICTIONARY = 20_000
 
 
 def code_columns(df: DataFrame, pattern: str) -> list[str]:
@@ -43,6 +47,34 @@ def melt_codes(
     return long
 
 
+def code_dictionary(codes: DataFrame, match_len: int | str | None = None) -> dict[int | None, list[str]] | None:
+    """The heads to look for by their length (None: whole codes), or None for a list of more than DICTIONARY codes.
+
+    A listed code of at least ``match_len`` characters counts by its head, a shorter one as a
+    whole. With ``PER_CODE`` the length comes from the list's own column ``match_len``. Only
+    DICTIONARY codes and one more ever reach the driver.
+    """
+    listed = codes.where(F.col("code").isNotNull())
+    if match_len == PER_CODE:
+        head_len = F.expr("if(length(code) >= match_len, match_len, null)").cast("int")
+        heads = listed.select(head_len.alias("at"), F.expr("if(length(code) >= match_len, left(code, match_len), code)").alias("head"))
+    else:
+        heads = listed.select(F.lit(match_len).cast("int").alias("at"), F.col("code").alias("head"))
+    rows = heads.distinct().limit(DICTIONARY + 1).collect()
+    if len(rows) > DICTIONARY:
+        return None
+    found: dict[int | None, list[str]] = {}
+    for at, code in sorted(rows, key=lambda r: (r[0] or 0, r[1])):
+        found.setdefault(at, []).append(code)
+    return found
+
+
+def in_dictionary(columns: list[str], dictionary: dict[int | None, list[str]]) -> Column:
+    """True where any column holds a listed code; not NULL."""
+    tests = [any_code(columns, heads, at) for at, heads in dictionary.items()]
+    return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
+
+
 def _met_codes(df: DataFrame, cols: list[str], listed: DataFrame) -> DataFrame:
     """The codes in df's columns whose first ``match_len`` characters are those of a listed code.
 
@@ -64,17 +96,21 @@ def match_codes(
 ) -> DataFrame:
     """Rows where any listed column's first ``match_len`` characters (or all) are in the list.
 
-    A Python list becomes an IN filter. A DataFrame list (column ``code``) is joined once
-    per column; whether it is broadcast is left to Spark's own size check. With ``PER_CODE``
-    each code of such a list counts by its own column ``match_len``.
+    A list, or a DataFrame list (column ``code``) of at most DICTIONARY codes, becomes one
+    filter over all columns: the claims are neither joined nor moved. A longer DataFrame list
+    is joined per column. With ``PER_CODE`` each code of a DataFrame list counts by its own
+    column ``match_len``.
     """
     cols = names(code_cols)
-    if match_len == PER_CODE:
-        if not isinstance(codes, DataFrame):
-            raise ValueError("a length per code needs a list with the columns code and match_len")
-        codes, match_len = _met_codes(df, cols, codes), None
     if not isinstance(codes, DataFrame):
+        if match_len == PER_CODE:
+            raise ValueError("a length per code needs a list with the columns code and match_len")
         return df.where(any_code(cols, codes, match_len))
+    dictionary = code_dictionary(codes, match_len)
+    if dictionary is not None:
+        return df.where(in_dictionary(cols, dictionary))
+    if match_len == PER_CODE:
+        codes, match_len = _met_codes(df, cols, codes), None
     distinct = codes.select(F.col("code").alias("__code")).where(F.col("code").isNotNull()).distinct()
     if len(cols) == 1:
         return df.join(distinct, head(cols[0], match_len) == F.col("__code"), "left_semi")
@@ -132,6 +168,64 @@ def tiered_identify(tiers: list[DataFrame], key: str = "person_id") -> DataFrame
     return best.where(F.col("__tier") == F.col("__best")).drop("__tier", "__best")
 
 
+@dataclass(frozen=True)
+class TierRule:
+    """How one code system identifies people: its name, the columns it reads and the codes it looks for.
+
+    ``codes`` has the columns code and match_len (see ``sources.codelists``). ``report`` is
+    that of ``code_tier``.
+    """
+
+    method: str
+    columns: tuple[str, ...]
+    codes: DataFrame
+    report: str = "matched"
+
+
+@dataclass(frozen=True)
+class TierTable:
+    """One claims table with the rules that read it."""
+
+    claims: DataFrame
+    rules: tuple[TierRule, ...]
+    from_dt: str = "from_dt"
+    to_dt: str = "to_dt"
+
+
+def tier_finds(table: TierTable, order: list[str], key: str = "person_id") -> DataFrame:
+    """Distinct (key, from_dt, to_dt, id_method, id_code, __tier) of all the table's rules, from one pass over it.
+
+    A row's finds are gathered in an array and only those of its least tier leave the row, as
+    its person cannot be named by a later one.
+    """
+    finds = []
+    for rule in table.rules:
+        dictionary = code_dictionary(rule.codes, PER_CODE)
+        if dictionary is None:
+            raise ValueError(f"{rule.method}: a tier's list may have {DICTIONARY} codes")
+        shown = [(list(rule.columns), F.coalesce(*rule.columns))] if rule.report == "first" else [([c], F.col(c)) for c in rule.columns]
+        for columns, code in shown:
+            find = F.struct(F.lit(order.index(rule.method)).alias("__tier"), F.lit(rule.method).alias("id_method"), code.alias("id_code"))
+            finds.append(F.when(in_dictionary(columns, dictionary), find))
+    ids = [F.col(key), F.col(table.from_dt).alias("from_dt"), F.col(table.to_dt).alias("to_dt")]
+    found = table.claims.where(F.col(key).isNotNull()).select(*ids, F.filter(F.array(*finds), lambda f: f.isNotNull()).alias("__finds"))
+    least = F.array_min(F.transform("__finds", lambda f: f["__tier"]))
+    first = F.filter("__finds", lambda f: f["__tier"] == F.col("__least"))
+    return found.where(F.size("__finds") > 0).withColumn("__least", least).select(key, "from_dt", "to_dt", F.inline(first)).distinct()
+
+
+def identify_by_tiers(tables: list[TierTable], order: list[str], key: str = "person_id") -> DataFrame:
+    """Finds of ordered code systems, each person named by the first that finds them.
+
+    As ``tiered_identify``, but each claims table is read once for all its code systems. The
+    finds are few against the claims; they are written once, and the least tier of each
+    person is joined back to them slice by slice.
+    """
+    finds = written(reduce(DataFrame.unionByName, [tier_finds(t, order, key) for t in tables]), "tier-finds")
+    best = with_group_values(finds, key, __best=F.min("__tier"))
+    return best.where(F.col("__tier") == F.col("__best")).select(key, "from_dt", "to_dt", "id_method", "id_code")
+
+
 def method_counts(df: DataFrame, col: str = "id_method") -> DataFrame:
     """Frequency of a column's values, NULL left out."""
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))

@@ -58,6 +58,24 @@ def _bounds(df: DataFrame, by: list[str], value: str, times: Column) -> DataFram
     )
 
 
+#: Bits of the 64-bit image that each round leaves undecided: twelve are decided at a time.
+UNDECIDED = (52, 40, 28, 16, 4, 0)
+
+
+def ordered_image(value: Column) -> Column:
+    """A long that orders finite doubles as they are ordered; -0.0 and 0.0 share one.
+
+    The bits of a double's size, read from its exact hexadecimal text, ascend with the size;
+    negative numbers get the negative.
+    """
+    text = F.format_string("%a", F.abs(value))
+    fraction = F.substring_index(F.substring_index(text, "p", 1), ".", -1)
+    exponent = F.substring_index(text, "p", -1).cast("long")
+    normal = F.substring(text, 1, 4) == "0x1."
+    bits = F.when(normal, (exponent + 1023) * F.lit(2**52)).otherwise(F.lit(0)) + F.conv(F.rpad(fraction, 13, "0"), 16, 10).cast("long")
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
 def exact_quantiles(
     df: DataFrame,
     by: list[str],
@@ -66,66 +84,51 @@ def exact_quantiles(
     *,
     count: str | None = None,
     bounds: DataFrame | None = None,
-    cells: int = 4096,
     sliver: int = SLIVER,
 ) -> DataFrame:
     """(by.., q0, q1, ..) linearly interpolated quantiles of groups of any size.
 
-    ``count`` names a column saying how often a row's value occurs. Counting values in ever
-    finer cells narrows each wanted rank down to a sliver of its group's range, until it
-    holds at most ``sliver`` values or a single one; only those are then ordered. A task
-    holds cell counts or a sliver, never a group. The ranks in search are written between
-    rounds: that cuts the lineage. They are broadcast, being at most two per probability and
-    group. Values that are null, NaN or infinite take no part.
+    ``count`` names a column saying how often a row's value occurs. Radix selection: each
+    round counts the rows of the cells that still hold a wanted rank by the next twelve bits
+    of the values' 64-bit images, so any finite data takes at most six rounds; as soon as no
+    cell holds more than ``sliver`` rows, the next round is the last and tells values apart.
+    A task holds cell counts, never a group. The ranks in search are written between rounds:
+    that cuts the lineage. They are broadcast, being at most two per probability and group.
+    Values that are null, NaN or infinite take no part.
     """
     times = F.lit(1) if count is None else F.col(count)
     bounds = _bounds(df, by, value, times) if bounds is None else bounds
-    base = df.where(_finite(value)).select(*by, F.col(value).cast("double").alias("__v"), times.cast("long").alias("__t"))
+    v = F.col(value).cast("double")
+    base = df.where(_finite(value)).select(*by, v.alias("__v"), times.cast("long").alias("__t"), ordered_image(v).alias("__image"))
+    base = written(base, "quantile-images")
     ranks = []
     for p in probs:
         h = (F.col("__n") - 1) * F.lit(float(p))
         ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
     rank = F.explode(F.array_distinct(F.array(*ranks))).alias("__rank")
-    below = F.lit(0).cast("long").alias("__below")
-    targets = bounds.select(*by, "__lo", "__hi", below, "__n", rank, F.col("__n").alias("__size"))
-    slot = [*by, "__lo", "__hi", "__below"]
-    refine = True
-    while refine:
+    targets = bounds.select(*by, F.lit(0).cast("long").alias("__cell"), F.lit(0).cast("long").alias("__below"), "__n", rank, F.col("__n").alias("__size"))
+    slot = [*by, "__cell", "__below"]
+    # the cell of all values is 0; a shift by 64 bits is no shift, so it is not one
+    cell, left = F.lit(0).cast("long"), 64
+    while left:
         targets = written(targets, "ranks")
-        largest = targets.where(F.col("__lo") < F.col("__hi")).agg(F.max("__size")).first()[0] or 0
-        refine = largest > sliver
+        largest = targets.agg(F.max("__size")).first()[0] or 0
+        left = 0 if largest <= sliver else next(u for u in UNDECIDED if u < left)
+        finer = F.shiftright("__image", left)
         slots = targets.select(*slot).distinct()
-        inside = base.join(F.broadcast(slots), by).where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
-        if refine:
-            # halves, as the difference of two huge values is infinite
-            share = F.try_divide(F.col("__v") / 2 - F.col("__lo") / 2, F.col("__hi") / 2 - F.col("__lo") / 2)
-            cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * cells), F.lit(cells - 1)).cast("double")
-        else:
-            cell = F.col("__v")
-        counted = (
-            inside.withColumn("__cell", cell)
-            .groupBy(*slot, "__cell")
-            .agg(
-                F.sum("__t").alias("__c"),
-                F.min("__v").alias("__from"),
-                F.max("__v").alias("__to"),
-                F.count(F.lit(1)).alias("__size"),
-            )
+        inside = base.withColumn("__cell", cell).join(F.broadcast(slots), [*by, "__cell"])
+        counted = inside.groupBy(*slot, finer.alias("__finer")).agg(
+            F.sum("__t").alias("__c"), F.min("__v").alias("__value"), F.count(F.lit(1)).alias("__size")
         )
-        order = Window.partitionBy(*slot).orderBy("__cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        order = Window.partitionBy(*slot).orderBy("__finer").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         counted = counted.withColumn("__upto", F.col("__below") + F.sum("__c").over(order))
         found = targets.drop("__size").join(counted, slot).where(
             (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__c"))
         )
         targets = found.select(
-            *by,
-            F.col("__from").alias("__lo"),
-            F.col("__to").alias("__hi"),
-            (F.col("__upto") - F.col("__c")).alias("__below"),
-            "__n",
-            "__rank",
-            "__size",
+            *by, F.col("__finer").alias("__cell"), (F.col("__upto") - F.col("__c")).alias("__below"), "__n", "__rank", "__size", F.col("__value").alias("__lo")
         )
+        cell = finer
     # at most two ranks per probability are left of each group
     table = targets.groupBy(*by, "__n").agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__lo"))).alias("__at"))
     outputs = []

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
-from itertools import islice, product
+from functools import reduce
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortweave.operators.metrics import weighted_auc, weighted_losses
 from cohortweave.session import written
 
 MAX_MODELS, FOLDS, SEED, TOLERANCE, ROUNDS = 50, 10, 789, 0.0001, 5
+#: Fits at a time, and bytes of training rows in a partition.
+PARALLELISM, PART_BYTES = 8, 64 << 20
 
 
 @dataclass(frozen=True)
@@ -26,10 +34,27 @@ class Candidate:
     def describe(self) -> str:
         return ", ".join(f"{k}={v:g}" for k, v in self.params)
 
+    def trees(self) -> int:
+        return int(dict(self.params).get("maxIter", 20))
+
+    def but_trees(self) -> tuple[tuple[str, float], ...]:
+        return tuple(p for p in self.params if p[0] != "maxIter")
+
 
 @dataclass
 class SearchResult:
+    """The best model on all rows, every candidate's loss, and the best one's model of each fold.
+
+    `training` is the written table of the rows searched: key, features, label, weight, fold.
+    """
+
     best: PipelineModel
+    candidate: Candidate
+    fold_models: list[PipelineModel]
+    training: DataFrame
+    key: str
+    label: str
+    weight: str
     rows: list[tuple[int, str, str, float]] = field(default_factory=list)
 
 
@@ -59,8 +84,8 @@ def _preparation(features: list[str]) -> Pipeline:
     )
 
 
-def _learner(candidate: Candidate, label: str, weight: str, seed: int) -> Estimator:
-    common = {"featuresCol": "__features", "labelCol": label, "weightCol": weight, **dict(candidate.params)}
+def _learner(candidate: Candidate, label: str, weight: str, seed: int, **options) -> Estimator:
+    common = {"featuresCol": "__features", "labelCol": label, "weightCol": weight, **dict(candidate.params), **options}
     if candidate.algo == "glm":
         return LogisticRegression(**common)
     if candidate.algo == "gbm":
@@ -68,15 +93,89 @@ def _learner(candidate: Candidate, label: str, weight: str, seed: int) -> Estima
     raise ValueError(f"unknown algorithm {candidate.algo!r}")
 
 
+def key_hash(salt: object, key: str, parts: int) -> Column:
+    """A number below `parts` from the MD5 of salt and key, which SQL engines share."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(salt)), F.col(key).cast("string")).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % parts).cast("int")
+
+
 def hold_out(df: DataFrame, key: str = "cust_id", parts: int = 5) -> tuple[DataFrame, DataFrame]:
     """(train, test): every row of one key in ``parts`` is for the test.
 
     The hash is salted, so it is unrelated to the folds of ``model_search``.
     """
-    test = F.pmod(F.xxhash64(F.lit("hold out"), F.col(key)), F.lit(parts)) == 0
+    test = key_hash("hold out", key, parts) == 0
     return df.where(~test), df.where(test)
 
 
+def fold_of(key: str = "cust_id", folds: int = FOLDS, seed: int = SEED) -> Column:
+    """A row's fold: a hash of its key, so a recomputed partition keeps its folds."""
+    return key_hash(seed, key, folds)
+
+
+class _Fold:
+    """The rows of one fold, prepared from the others; held in memory only while fits use them."""
+
+    def __init__(self, data: DataFrame, features: list[str], label: str, weight: str, number: int):
+        inside = F.col("__fold") == number
+        self.prepare = _preparation(features).fit(data.where(~inside))
+        self.rows = self.prepare.transform(data).select("__features", label, weight, inside.alias("__test"))
+        self.lock, self.users, self.held = Lock(), 0, None
+
+    def __enter__(self) -> DataFrame:
+        with self.lock:
+            self.users += 1
+            if self.held is None:
+                self.held = self.rows.persist()
+            return self.held
+
+    def __exit__(self, *_) -> None:
+        with self.lock:
+            self.users -= 1
+            if self.users == 0:
+                self.held.unpersist()
+                self.held = None
+
+
+def _fit_fold(rows: DataFrame, candidate: Candidate, label: str, weight: str, seed: int, tolerance: float):
+    """The candidate's model of the rows outside the fold.
+
+    Boosting ends early once another tree lowers the loss inside the fold by less than the
+    tolerance, in proportion; the trees up to there are kept.
+    """
+    if candidate.algo == "gbm":
+        learner = _learner(candidate, label, weight, seed, validationIndicatorCol="__test", validationTol=tolerance)
+        return learner.fit(rows)
+    return _learner(candidate, label, weight, seed).fit(rows.where(~F.col("__test")))
+
+
+def _with_local_properties(spark: SparkSession, work):
+    """The function as a thread's target: job groups and the like of this thread hold in that one."""
+    wrap = inheritable_thread_target(spark)
+    return wrap(work) if callable(wrap) else work
+
+
+def _longest(candidate: Candidate, among: list[Candidate]) -> Candidate:
+    """The candidate of most trees that differs in the number of trees only."""
+    if candidate.algo != "gbm":
+        return candidate
+    return max((c for c in among if c.algo == "gbm" and c.but_trees() == candidate.but_trees()), key=lambda c: c.trees())
+
+
+def _fold_losses(model, test: DataFrame, candidates: list[Candidate], label: str, weight: str) -> list[float]:
+    """Weighted logloss of each candidate on the fold that the model has not seen.
+
+    The first trees of a boosted model are the model of fewer trees, so one pass over the rows
+    gives the loss after each tree; a model that ended early stands for more trees too. Spark's
+    loss of boosted trees is twice the logloss.
+    """
+    if candidates[0].algo == "gbm":
+        after = model.evaluateEachIteration(test)
+        return [after[min(c.trees(), len(after)) - 1] / 2 for c in candidates]
+    evaluator = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=label, weightCol=weight)
+    return [evaluator.evaluate(model.transform(test))]
+
+
 def model_search(
     train: DataFrame,
     features: list[str],
@@ -84,52 +183,97 @@ def model_search(
     weight: str = "weight",
     *,
     key: str = "cust_id",
+    fold_key: str | None = None,
     folds: int = FOLDS,
     seed: int = SEED,
     max_models: int = MAX_MODELS,
     tolerance: float = TOLERANCE,
     rounds: int = ROUNDS,
     candidates: list[Candidate] | None = None,
+    parallelism: int = PARALLELISM,
 ) -> SearchResult:
     """Cross-validated search by weighted logloss with early stopping.
 
-    A row's fold is a hash of its key, so a lost and recomputed partition keeps its folds.
-    Candidates run in lots of ``rounds``; the search ends when a lot brings no gain above
-    the tolerance. The best one is fitted on all rows. Training data stays distributed: the
-    driver sees metrics and models only.
+    A row's fold goes by ``fold_key``, the key itself if not given: rows that should never
+    score one another, such as a household's, share one.
+    Candidates run in lots of ``rounds``; the search ends when a lot brings no gain above the
+    tolerance. Candidates that differ in their number of boosted trees only are one fit per
+    fold, which ends early where more trees do not help the fold. At most ``parallelism`` fits
+    run at a time, in order of folds, so few folds are in memory. The best candidate is fitted
+    on all rows, a boosted one with the folds' mean number of trees, and its fold models are
+    kept. Training data stays distributed, in partitions of about PART_BYTES: the driver sees
+    metrics and models only. Every fold must leave rows of both labels to train on.
     """
-    fold = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int")
     data = train.where(F.col(label).isNotNull() & F.col(weight).isNotNull()).select(
+        key,
         *[F.col(f).cast("double").alias(f) for f in features],
         F.col(label).cast("double").alias(label),
         F.col(weight).cast("double").alias(weight),
-        fold.alias("__fold"),
+        fold_of(fold_key or key, folds, seed).alias("__fold"),
     )
-    data = written(data, "training-rows")
-    evaluator = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=label, weightCol=weight)
-    queue = iter((candidates or default_candidates())[:max_models])
-    best, best_loss, rows = None, float("inf"), []
-    while lot := list(islice(queue, rounds)):
-        losses = [0.0] * len(lot)
-        for i in range(folds):
-            prepare = _preparation(features).fit(data.where(F.col("__fold") != i))
-            prepared = prepare.transform(data).select("__features", label, weight, "__fold").persist()
-            for at, candidate in enumerate(lot):
-                model = _learner(candidate, label, weight, seed).fit(prepared.where(F.col("__fold") != i))
-                losses[at] += evaluator.evaluate(model.transform(prepared.where(F.col("__fold") == i))) / folds
-            prepared.unpersist()
-        before = best_loss
-        for candidate, loss in zip(lot, losses):
-            rows.append((len(rows), candidate.algo, candidate.describe(), float(loss)))
-            if loss < best_loss:
-                best, best_loss = candidate, loss
-        if before - best_loss <= tolerance:
-            break
+    training = written(data, "training-rows")
+    parts = max(1, math.ceil(training.count() * (len(features) + 3) * 8 / PART_BYTES))
+    data = training.coalesce(parts)
+    queue = (candidates or default_candidates())[:max_models]
+    best, best_loss, rows, fitted = None, float("inf"), [], {}
+    losses: dict[Candidate, list[float]] = {}
+    with ThreadPool(max(1, parallelism)) as pool:
+
+        def each(work, items: list) -> list:
+            return pool.map(_with_local_properties(train.sparkSession, work), items, chunksize=1)
+
+        parted = each(lambda i: _Fold(data, features, label, weight, i), list(range(folds)))
+
+        def fit(job: tuple[Candidate, int]):
+            candidate, i = job
+            with parted[i] as held:
+                model = _fit_fold(held, candidate, label, weight, seed, tolerance)
+                shorter = [c for c in queue if _longest(c, queue) == candidate]
+                return model, list(zip(shorter, _fold_losses(model, held.where("__test"), shorter, label, weight)))
+
+        for start in range(0, len(queue), rounds):
+            lot = queue[start : start + rounds]
+            wanted = list(dict.fromkeys(_longest(c, queue) for c in lot if c not in losses))
+            jobs = [(c, i) for i in range(folds) for c in wanted]
+            for (candidate, _), (model, found) in zip(jobs, each(fit, jobs)):
+                fitted.setdefault(candidate, []).append(model)
+                for c, loss in found:
+                    losses.setdefault(c, []).append(loss)
+            before = best_loss
+            for candidate in lot:
+                loss = sum(losses[candidate]) / folds
+                rows.append((len(rows), candidate.algo, candidate.describe(), float(loss)))
+                if best is None or loss < best_loss:
+                    best, best_loss = candidate, loss
+            later = queue[start + rounds :]
+            fitted = {c: models for c, models in fitted.items() if c == best or c in later}
+            if before - best_loss <= tolerance:
+                break
+
+        def best_of_fold(i: int):
+            if best in fitted:
+                return fitted[best][i]
+            with parted[i] as held:
+                return _fit_fold(held, best, label, weight, seed, tolerance)
+
+        models = each(best_of_fold, list(range(folds)))
     prepare = _preparation(features).fit(data)
-    prepared = prepare.transform(data).select("__features", label, weight).persist()
-    fitted = _learner(best, label, weight, seed).fit(prepared)
-    prepared.unpersist()
-    return SearchResult(PipelineModel(stages=[*prepare.stages, fitted]), rows)
+    trees = {"maxIter": max(1, round(sum(m.getNumTrees for m in models) / folds))} if best.algo == "gbm" else {}
+    whole = PipelineModel([*prepare.stages, _learner(best, label, weight, seed, **trees).fit(prepare.transform(data))])
+    fold_models = [PipelineModel([*f.prepare.stages, m]) for f, m in zip(parted, models, strict=True)]
+    return SearchResult(whole, best, fold_models, training, key, label, weight, rows)
+
+
+def cross_validated_scores(search: SearchResult, fold_models: list[PipelineModel] | None = None) -> DataFrame:
+    """(key, fold, label, weight, p1): every training row scored by the fold model that has not seen it."""
+    models = fold_models or search.fold_models
+    parts = [
+        model.transform(search.training.where(F.col("__fold") == i)).select(
+            search.key, F.lit(i).alias("fold"), search.label, search.weight, vector_to_array("probability")[1].alias("p1")
+        )
+        for i, model in enumerate(models)
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def leaderboard(spark: SparkSession, search: SearchResult) -> DataFrame:
@@ -146,27 +290,27 @@ def _typed(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "obese", weight: str = "weight") -> DataFrame:
-    """One row of weighted metrics on held-out data."""
-    data = test.where(F.col(label).isNotNull() & F.col(weight).isNotNull())
-    typed = _typed(model, data).withColumns({c: F.col(c).cast("double") for c in (label, weight)})
-    predicted = (
-        model.transform(typed).select(label, weight, "prediction", "probability", "rawPrediction").persist()
-    )
-    common = {"labelCol": label, "weightCol": weight}
-    row = (
-        MulticlassClassificationEvaluator(metricName="logLoss", **common).evaluate(predicted),
-        MulticlassClassificationEvaluator(metricName="accuracy", **common).evaluate(predicted),
-        BinaryClassificationEvaluator(metricName="areaUnderROC", **common).evaluate(predicted),
-        predicted.count(),
-    )
-    predicted.unpersist()
-    return test.sparkSession.createDataFrame([row], "logloss double, accuracy double, auc double, n long")
+    """One row of exact weighted metrics on held-out data: logloss, accuracy, auc, n."""
+    scored = model.transform(_typed(model, test)).select(label, weight, vector_to_array("probability")[1].alias("p1"), F.lit(1).alias("__all"))
+    scored = written(scored, "scored-rows")
+    by = ["__all"]
+    metrics = weighted_losses(scored, label, weight, by=by).join(weighted_auc(scored, label, weight, by=by), by, "left")
+    return metrics.select("logloss", "accuracy", "auc", "n")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_fold_models(search: SearchResult, path: str) -> None:
+    for i, model in enumerate(search.fold_models):
+        save_model(model, f"{path}/fold-{i}")
+
+
+def load_fold_models(path: str, folds: int = FOLDS) -> list[PipelineModel]:
+    return [load_model(f"{path}/fold-{i}") for i in range(folds)]
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

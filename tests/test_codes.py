@@ -1,11 +1,15 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from cohortweave.catalog import QUERIES, sources
+from cohortweave.catalog.views import claims_wide_v
 from cohortweave.functions.rules import label_rules, sum_where
 from cohortweave.operators import claims as cl
 from cohortweave.operators import codes as co
-from pyspark.sql import functions as F
+from cohortweave.session import written
 
 D = dt.date(2022, 1, 1)
 
@@ -49,6 +53,80 @@ def test_match_by_each_codes_own_length(spark, wide, rows):
         co.match_codes(wide, "diag2", ["O80"], co.PER_CODE)
 
 
+@pytest.mark.parametrize("match_len", [None, 3, co.PER_CODE])
+def test_long_lists_are_joined_and_give_the_same(spark, wide, rows, monkeypatch, match_len):
+    listed = spark.createDataFrame([("O80", 3), ("Z37.0", 5), ("B", None), ("YY", 1), (None, 3)], "code string, match_len int")
+    columns = ["prdiagcd", "diag2", "diagn3"]
+    as_filter = co.match_codes(wide, columns, listed, match_len)
+    assert " Join" not in as_filter._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(co, "DICTIONARY", 1)
+    joined = co.match_codes(wide, columns, listed, match_len)
+    assert "Join" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined) == rows(as_filter)
+
+
+def test_listed_codes_do_not_move_the_claims(spark):
+    """A list as a table, seven code columns, no broadcasting: only the claims' own steps shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        claims = claims_wide_v(spark, "/root/testdata/sf0.001")
+        own = claims._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        plan = QUERIES["matched_code_lengths"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == own
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tiers_from_one_pass_equal_tiers_one_by_one(small_tasks, rows):
+    rng = random.Random(6)
+    codes = ["Z37.0", "O80", "O61.1", "540", "541x", "0720", "99", None]
+    header = [(rng.randrange(30) or None, D, D, *(rng.choice(codes) for _ in range(4))) for _ in range(200)] + [(40, D, D, "O61.1", "B", None, None)]
+    lines = [(rng.randrange(45), D, D, rng.choice(codes), rng.choice(codes)) for _ in range(200)]
+    header = small_tasks.createDataFrame(header, "person_id int, from_dt date, to_dt date, d1 string, d2 string, drg string, sub string")
+    lines = small_tasks.createDataFrame(lines, "person_id int, from_dt date, to_dt date, rev string, cpt string")
+
+    def listed(codes, length):
+        return small_tasks.createDataFrame([(c, length) for c in codes], "code string, match_len int")
+
+    order = ["first", "drg", "second", "revenue", "cpt"]
+    one_pass = co.identify_by_tiers(
+        [
+            co.TierTable(
+                header,
+                (
+                    co.TierRule("first", ("d1", "d2"), listed(["Z37"], 3)),
+                    co.TierRule("drg", ("drg", "sub"), listed(["540", "541"], 3), "first"),
+                    co.TierRule("second", ("d1", "d2"), listed(["O61"], 3)),
+                ),
+            ),
+            co.TierTable(lines, (co.TierRule("revenue", ("rev",), listed(["0720"], None)), co.TierRule("cpt", ("cpt",), listed(["99"], None)))),
+        ],
+        order,
+    )
+    one_by_one = co.tiered_identify(
+        [
+            co.code_tier(header, "first", ["d1", "d2"], ["Z37"], match_len=3),
+            co.code_tier(header, "drg", ["drg", "sub"], ["540", "541"], match_len=3, report="first"),
+            co.code_tier(header, "second", ["d1", "d2"], ["O61"], match_len=3),
+            co.code_tier(lines, "revenue", "rev", ["0720"]),
+            co.code_tier(lines, "cpt", "cpt", ["99"]),
+        ]
+    )
+    assert rows(one_pass) == rows(one_by_one) and {r.id_method for r in one_pass.collect()} == set(order)
+
+
+def test_each_claims_table_is_read_once_for_all_tiers(spark, monkeypatch):
+    """Scans of base tables in every table written on the way to the finds."""
+    plans = []
+    for module in (co, sources):
+        monkeypatch.setattr(module, "written", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df, name))
+    QUERIES["tiered_identify"](spark, "/root/testdata/sf0.001")
+    assert sum(p.count("l_shipdate#") > 0 for p in plans) == 1 and sum(p.count("o_orderpriority#") > 0 for p in plans) == 1
+    base, finds = plans
+    assert base.count("Relation") == 3  # orders, line items, parts
+    assert finds.count("Relation") == 2  # the written lines, as headers and as lines
+
+
 def test_exclude_codes_null_policies(spark, rows):
     df = spark.createDataFrame([(1, None, None), (2, None, "S5100"), (3, "A", "B"), (4, "A", None)], "id int, a string, b string")
     assert [r[0] for r in rows(co.exclude_codes(df, ["a", "b"], ["S5100"]))] == [3]

@@ -1,15 +1,21 @@
 import math
 import random
 import statistics
+import struct
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from cohortweave.catalog import QUERIES
+from cohortweave.catalog import features as registered
 from cohortweave.operators import density as de
 from cohortweave.operators import features as fe
+from cohortweave.operators import metrics as me
 from cohortweave.operators import modelling as mo
 from cohortweave.operators.density import exact_quantiles
+from cohortweave.plans import weight_models as wm
+from cohortweave.session import written
 
 
 def test_join_features_is_a_full_join(spark, rows):
@@ -101,7 +107,7 @@ def test_exact_quantiles_at_any_refinement(spark, sliver):
     groups = {"skewed": [rng.expovariate(1) ** 3 for _ in range(301)], "copies": [1.5] * 50 + [2.5] * 3, "one": [4.0], "neg": [-rng.random() for _ in range(20)]}
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("one", None)], "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {r[0]: r[1:] for r in de.exact_quantiles(df, ["g"], "v", probs, cells=8, sliver=sliver).collect()}
+    got = {r[0]: r[1:] for r in de.exact_quantiles(df, ["g"], "v", probs, sliver=sliver).collect()}
     for g, vs in groups.items():
         assert list(got[g]) == pytest.approx([quantile(vs, p) for p in probs])
 
@@ -164,10 +170,42 @@ def test_boosted_trees_and_default_candidates(spark):
         mo.model_search(training(spark), ["x"], folds=2, candidates=[mo.Candidate("svm", ())])
 
 
+def test_images_keep_the_order_of_doubles(spark):
+    rng = random.Random(3)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3_000)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308, 1.0, 0.1]
+    values = [v for v in values if math.isfinite(v)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", de.ordered_image(F.col("v")).alias("i")).collect()
+    for r in got:
+        size = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.i == (-size if r.v < 0 else size)
+    assert [r.v for r in sorted(got, key=lambda r: r.i)] == sorted(values)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [0.0] * 20 + [5e-324] * 20,
+        [-0.0] * 9 + [0.0] * 9 + [-5e-324] * 9,
+        [5e-324 * i for i in range(60)],
+        [-1.7976931348623157e308] * 15 + [1.7976931348623157e308] * 16,
+        [1.0 + i * 2.0**-52 for i in range(50)] + [-1e300, 1e300],
+        [(-1) ** i * 2.0 ** (40 * i - 1000) for i in range(50)],
+    ],
+)
+def test_quantiles_of_any_finite_values_take_at_most_six_rounds(spark, values, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(de, "written", lambda df, name: rounds.append(name) or written(df, name))
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    found = de.exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0], sliver=1).first()
+    assert list(found)[1:] == [quantile(values, p) for p in (0.0, 0.5, 1.0)]
+    assert rounds.count("ranks") <= 6
+
+
 def test_quantiles_leave_out_values_that_are_not_finite(spark):
     values = [float(i) for i in range(60)] + [float("nan"), float("inf"), float("-inf"), -1.7e308, 1.7e308]
     df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
-    found = exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0], cells=8, sliver=5).first()
+    found = exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0], sliver=5).first()
     assert (found.q0, found.q1, found.q2) == (-1.7e308, 29.5, 1.7e308)
 
 
@@ -188,25 +226,116 @@ def test_held_out_rows_are_a_fifth_of_the_keys_and_apart(spark):
     assert 130 < test.count() < 270
 
 
-@pytest.mark.parametrize("name", ["model_evaluation"])
-def test_model_query_is_scored_on_unseen_people(spark, name):
-    row = QUERIES[name](spark, "/root/testdata/sf0.001").first()
-    assert row.n > 0 and row.logloss > 0
-
-
-@pytest.mark.parametrize("name", ["model_leaderboard", "model_evaluation", "saved_model_scores"])
-def test_registered_model_queries_search_all_candidates(spark, monkeypatch, name):
-    from cohortweave.catalog import QUERIES
-    from cohortweave.catalog import features as registered
-
-    class Called(Exception):
-        pass
-
-    def search(train, features, **options):
-        assert options.get("folds", registered.mo.FOLDS) == 10
-        assert (options.get("candidates") or registered.mo.default_candidates()) == registered.mo.default_candidates()
-        raise Called
-
-    monkeypatch.setattr(registered.mo, "model_search", search)
-    with pytest.raises(Called):
-        QUERIES[name](spark, "/root/testdata/sf0.001")
+def brute_auc(rows):
+    pos, neg = [(s, w) for y, w, s in rows if y == 1], [(s, w) for y, w, s in rows if y == 0]
+    if not pos or not neg:
+        return None
+    wins = sum(wp * wn * (1.0 if sp > sn else 0.5 if sp == sn else 0.0) for sp, wp in pos for sn, wn in neg)
+    return wins / (sum(w for _, w in pos) * sum(w for _, w in neg))
+
+
+def test_weighted_auc_and_losses_match_all_pairs(spark):
+    rng = random.Random(9)
+    groups = {g: [(rng.randint(0, 1), rng.choice([0.5, 1.0, 3.0]), round(rng.random(), 1 + g % 2)) for _ in range(90)] for g in range(4)}
+    groups[7] = [(1, 1.0, 0.5)] * 3
+    groups[None] = [(1, 2.0, 1.0), (0, 1.0, 0.0), (0, 1.0, 1.0)]
+    rows = [(g, *r) for g, rs in groups.items() for r in rs]
+    odd = [(0, None, 1.0, 0.3), (0, 1, None, 0.3), (0, 1, 1.0, None), (0, 1, 1.0, float("nan"))]
+    df = spark.createDataFrame(rows + odd, "g int, obese int, weight double, p1 double")
+    auc = {r.g: r.auc for r in me.weighted_auc(df, by=["g"]).collect()}
+    losses = {r.g: r for r in me.weighted_losses(df, by=["g"]).collect()}
+    assert set(auc) == set(groups) == set(losses)
+    for g, rs in groups.items():
+        assert auc[g] == (None if brute_auc(rs) is None else pytest.approx(brute_auc(rs)))
+        total = sum(w for _, w, _ in rs)
+        clipped = [(y, w, min(max(s, me.EPSILON), 1 - me.EPSILON)) for y, w, s in rs]
+        loss = -sum(w * math.log(s if y else 1 - s) for y, w, s in clipped) / total
+        assert losses[g].logloss == pytest.approx(loss) and losses[g].n == len(rs)
+        assert losses[g].accuracy == pytest.approx(sum(w for y, w, s in rs if (s > 0.5) == (y == 1)) / total)
+    assert me.weighted_auc(df.limit(0)).first().auc is None
+
+
+def test_first_trees_are_the_model_of_fewer_trees(spark):
+    """Losses after 2 of 5 trees equal those of a model of 2 trees, by Spark's own evaluator."""
+    rows = mo._preparation(["x", "n"]).fit(training(spark)).transform(training(spark)).withColumns({c: F.col(c).cast("double") for c in ("obese", "weight")})
+    rows = rows.withColumn("__test", F.pmod(F.hash("cust_id"), F.lit(3)) == 0).persist()
+    few, many = (mo.Candidate("gbm", (("maxDepth", 3), ("stepSize", 0.1), ("maxIter", i))) for i in (2, 5))
+    evaluator = MulticlassClassificationEvaluator(metricName="logLoss", labelCol="obese", weightCol="weight")
+    test = rows.where("__test")
+    long = mo._learner(many, "obese", "weight", 1).fit(rows.where("not __test"))
+    short = mo._learner(few, "obese", "weight", 1).fit(rows.where("not __test"))
+    told = mo._fold_losses(long, test, [few, many], "obese", "weight")
+    assert told == pytest.approx([evaluator.evaluate(short.transform(test)), evaluator.evaluate(long.transform(test))])
+    ended = mo._fit_fold(rows, mo.Candidate("gbm", (("maxDepth", 3), ("stepSize", 0.1), ("maxIter", 30))), "obese", "weight", 1, 0.2)
+    assert 1 <= ended.getNumTrees < 30
+    cut = mo._learner(mo.Candidate("gbm", (("maxDepth", 3), ("stepSize", 0.1), ("maxIter", ended.getNumTrees))), "obese", "weight", 1).fit(rows.where("not __test"))
+    assert mo._fold_losses(ended, test, [many], "obese", "weight")[0] == pytest.approx(evaluator.evaluate(cut.transform(test)))
+
+
+def test_training_rows_are_scored_by_models_that_have_not_seen_them(spark, tmp_path):
+    df = training(spark).withColumn("home", F.concat(F.lit("h"), F.substring("cust_id", 2, 1)))
+    result = mo.model_search(df, ["x", "n"], fold_key="home", folds=3, candidates=[mo.Candidate("glm", (("regParam", 0.01), ("elasticNetParam", 0.0)))])
+    scores = mo.cross_validated_scores(result)
+    rows = {r.cust_id: r for r in scores.collect()}
+    assert len(rows) == 240 and {r.fold for r in rows.values()} == {0, 1, 2}
+    homes = {r.cust_id: r.home for r in df.collect()}
+    assert len({(homes[c], r.fold) for c, r in rows.items()}) == len(set(homes.values()))
+    for fold in range(3):
+        rest = [c for c, r in rows.items() if r.fold != fold]
+        prepare = mo._preparation(["x", "n"]).fit(df.where(F.col("cust_id").isin(rest)).withColumns({c: F.col(c).cast("double") for c in ("x", "n")}))
+        assert list(prepare.stages[0].surrogateDF.first()) == pytest.approx(list(result.fold_models[fold].stages[0].surrogateDF.first()))
+    mo.save_fold_models(result, str(tmp_path / "folds"))
+    again = mo.cross_validated_scores(result, mo.load_fold_models(str(tmp_path / "folds"), 3))
+    assert {r.cust_id: r.p1 for r in again.collect()} == {c: r.p1 for c, r in rows.items()}
+
+
+def test_folds_are_the_same_in_sql(spark):
+    import duckdb
+
+    ids = [str(i) for i in range(300)] + ["ä", ""]
+    got = {r.k: r.f for r in spark.createDataFrame([(i,) for i in ids], "k string").select("k", mo.fold_of("k").alias("f")).collect()}
+    for k in ids:
+        assert got[k] == duckdb.execute("SELECT ('0x' || substr(md5('789:' || ?), 1, 8))::BIGINT % 10", [k]).fetchone()[0]
+
+
+def test_stacked_children_see_no_score_of_a_model_trained_on_their_household(spark):
+    rng = random.Random(2)
+    people = [(f"p{i}", i % 40 if i % 9 else None, rng.choice([10, 40]), rng.randint(0, 1), rng.random()) for i in range(240)]
+    labelled = spark.createDataFrame(people, "cust_id string, hh_id int, age int, obese int, x double")
+    rules = wm.ModelRules(search={"folds": 4, "candidates": [mo.Candidate("glm", (("regParam", 0.01), ("elasticNetParam", 0.0)))]})
+    adults, children = wm.stacked_models(labelled, ["x"], ["x"], rules)
+    scores = {r.cust_id: r for r in mo.cross_validated_scores(adults).collect()}
+    home = {p[0]: p[1] for p in people}
+    assert set(scores) == {p[0] for p in people if p[2] == 40}
+    for h in {h for h in home.values() if h is not None}:
+        assert len({r.fold for c, r in scores.items() if home[c] == h}) <= 1
+    means = {}
+    for c, r in scores.items():
+        if home[c] is not None:
+            means.setdefault(home[c], []).append(r.p1)
+    for r in children.training.collect():
+        wanted = means.get(home[r.cust_id])
+        assert r[wm.HOUSEHOLD_SCORE] == (pytest.approx(sum(wanted) / len(wanted)) if wanted else None)
+    board = wm.leaderboards(adults, children).collect()
+    assert {r.stratum for r in board} == {wm.ADULTS, wm.CHILDREN}
+
+
+def test_registered_model_queries_end_with_all_candidates_and_folds(spark):
+    """Whole searches, run to their end: 10 folds, every default candidate until a lot brings no gain."""
+    sf = "/root/testdata/sf0.001"
+    board = QUERIES["model_leaderboard"](spark, sf).collect()
+    (search,) = [s for (_, d), s in registered._SEARCHES.items() if d == sf]
+    assert len(search.fold_models) == mo.FOLDS == 10 and len(mo.default_candidates()) == 21
+    names = [(c.algo, c.describe()) for c in mo.default_candidates()]
+    assert [(algo, params) for _, algo, params, _ in search.rows] == names[: len(board)]
+    ended = len(board)
+    if ended < 21:
+        losses = [r[3] for r in search.rows]
+        assert ended % mo.ROUNDS == 0 and min(losses[: -mo.ROUNDS]) - min(losses) <= mo.TOLERANCE
+    row = QUERIES["model_evaluation"](spark, sf).first()
+    ages = fe.class_weights(mo.hold_out(registered.labelled(spark, sf))[1], (20, 110))
+    assert row.n == ages.where("obese IS NOT NULL").count() and row.logloss > 0
+    scores = {r.cust_id: r.p1 for r in QUERIES["saved_model_scores"](spark, sf).collect()}
+    assert len(scores) == 150 and all(0 <= p <= 1 for p in scores.values())
+    folds = QUERIES["cross_validated_scores"](spark, sf)
+    assert folds.count() == search.training.count() == folds.select("cust_id").distinct().count()
