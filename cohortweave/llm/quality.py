@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import operator
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,38 +33,61 @@ WEIGHT_LOW, WEIGHT_HIGH = 10.0, 10_000.0
 TARGETS = ("poor", "toxic")
 #: Stands for all documents among the features.
 EVERY = -1
-def _feature(kind: str, value: str) -> int:
+#: Letters of a stem.
+STEM = 4
+
+
+#: Kinds of features, the low three bits of a feature's name: by how many of them tell, they differ.
+WORD, END, SHARE, STEM_ONCE, STEM_TWICE, STEM_OFTEN = range(6)
+KINDS = 8
+
+
+def _feature(kind: int, value: str) -> int:
     """A 63-bit name of a feature."""
-    return xxhash.xxh64_intdigest(f"{kind}\0{value}".encode()) >> 1
+    return (xxhash.xxh64_intdigest(value.encode(), kind) >> 1) & ~(KINDS - 1) | kind
 
 
 class Words(dict):
-    """For each word: its letters in lower case and the marks after them, as features, and whether it is in capitals."""
+    """For each word: its letters in lower case with their stem, and the marks after them, as features, and whether it is in capitals."""
 
-    def __missing__(self, word: str) -> tuple[int, int, bool]:
+    def __missing__(self, word: str) -> tuple[tuple[int, int], int, bool]:
         if len(self) >= KEPT_WORDS:
             self.clear()
         core = word.rstrip("".join(c for c in set(word) if not c.isalnum()))
-        found = _feature("word", core.lower()), _feature("end", word[len(core) :][-4:])
-        value = self[word] = (*found, len(core) > 1 and core.isupper())
+        named = _feature(WORD, core.lower()), _feature(STEM_ONCE, core.lower()[:STEM])
+        value = self[word] = (named, _feature(END, word[len(core) :][-4:]), len(core) > 1 and core.isupper())
         return value
 
 
 def features_of(text: str | None, words: Words) -> set[int]:
-    """The distinct features of a document: its words, the marks after them, and shares of kinds of words."""
+    """The distinct features of a document: its words, their stems, the marks after them, and shares of kinds of words.
+
+    A stem is a word's first letters. It is one feature if the document has a word of it, another
+    if it has two different ones, a third if four: words of one family count even if no labelled
+    document has just these.
+    """
     split = (text or "").split()
     n, lowered = len(split), (text or "").lower().split()
     if n != len(lowered):
         lowered = split
-    cores, ends, capitals = zip(*map(words.__getitem__, split), strict=True) if n else ((), (), ())
+    named, ends, capitals = zip(*map(words.__getitem__, split), strict=True) if n else ((), (), ())
     shares = {
         "length": n.bit_length(),
         "upper": 10 * sum(capitals) // n if n else -1,
         "again": 10 * sum(map(operator.eq, lowered[1:], lowered)) // (n - 1) if n > 1 else -1,
         "distinct": 10 * len(set(lowered)) // n if n else -1,
     }
-    rest = [_feature(k, str(v)) for k, v in shares.items()]
-    return {*cores, *ends, *rest}
+    rest = [_feature(SHARE, f"{k} {v}") for k, v in shares.items()]
+    distinct = set(named)
+    found = {*ends, *rest}
+    found.update(map(operator.itemgetter(0), distinct))
+    for stem, count in Counter(map(operator.itemgetter(1), distinct)).items():
+        found.add(stem)
+        if count > 1:
+            found.add(stem - STEM_ONCE + STEM_TWICE)
+            if count > 3:
+                found.add(stem - STEM_ONCE + STEM_OFTEN)
+    return found
 
 
 def features_of_all(texts: list[str | None], words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -86,6 +110,16 @@ def _targets() -> list[Column]:
     return [(F.col("quality") == 0).cast("int").alias("poor"), (F.col("toxic") == 1).cast("int").alias("toxic")]
 
 
+def ratios_by_kind(features: np.ndarray, bad: np.ndarray, good: np.ndarray, all_bad: int, all_good: int) -> np.ndarray:
+    """`shrunk_ratios` of the features of each kind by themselves."""
+    ratios = np.zeros(len(features))
+    for kind in range(KINDS):
+        of_kind = features % KINDS == kind
+        if of_kind.any():
+            ratios[of_kind] = shrunk_ratios(bad[of_kind], good[of_kind], all_bad, all_good)
+    return ratios
+
+
 def shrunk_ratios(bad: np.ndarray, good: np.ndarray, all_bad: int, all_good: int) -> np.ndarray:
     """The log ratio of each feature's frequencies among bad and good documents, times the chance that it tells at all.
 
@@ -108,22 +142,38 @@ def shrunk_ratios(bad: np.ndarray, good: np.ndarray, all_bad: int, all_good: int
     return np.where(n > 0, tells * ratio, 0.0)[which.ravel()]
 
 
-def calibrated(evidence: np.ndarray, bad: np.ndarray, prior: float) -> tuple[float, float, float]:
-    """Scales of the evidence for and against, and the log odds without any, by logistic regression.
+def signs(weights: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """What the odds of each document are read from, given the weights of its features.
+
+    The sums of weights for and against and the number of features, all three by their
+    logarithms, as words come together: the tenth telling word adds less than the first, and
+    a long document has more of everything. Beside them the largest weight.
+    """
+    up, down = np.bincount(doc, np.maximum(weights, 0), docs), np.bincount(doc, np.minimum(weights, 0), docs)
+    top = np.zeros(docs)
+    np.maximum.at(top, doc, weights)
+    return np.column_stack([np.log1p(up), -np.log1p(-down), np.log1p(np.bincount(doc, minlength=docs)), top, np.ones(docs)])
+
+
+#: Where the regression of the odds starts, and how strongly it is held there: weight for and against, size, largest weight.
+START, HELD = (1.0, 1.0, 0.0, 0.0), (1.0, 1.0, 1.0, 1.0)
+
+
+def calibrated(seen: np.ndarray, bad: np.ndarray, prior: float) -> np.ndarray:
+    """The scale of each of the documents' `signs`, by logistic regression.
 
-    `evidence` has the two sums of each document. Words come together, so their ratios overstate
-    the odds; the regression says by how much. With few rows it stays near scales of 1 and `prior`.
+    Words come together, so their ratios overstate the odds; the regression says by how much.
+    With few rows it stays near its start and the odds near `prior`.
     """
-    rows = np.column_stack([evidence, np.ones(len(evidence))])
-    start, weight = np.array([1.0, 1.0, math.log(prior / (1 - prior))]), np.array([1.0, 1.0, 0.01])
+    start, weight = np.array([*START, math.log(prior / (1 - prior))]), np.array([*HELD, 0.01])
 
     def loss(at: np.ndarray) -> float:
-        return float((np.logaddexp(0, rows @ at) - bad * (rows @ at)).sum() + (weight * (at - start) ** 2).sum() / 2)
+        return float((np.logaddexp(0, seen @ at) - bad * (seen @ at)).sum() + (weight * (at - start) ** 2).sum() / 2)
 
     at = start
     for _ in range(60):
-        p = np.exp(-np.logaddexp(0, -(rows @ at)))
-        step = np.linalg.solve((rows * (p * (1 - p))[:, None]).T @ rows + np.diag(weight), rows.T @ (p - bad) + weight * (at - start))
+        p = np.exp(-np.logaddexp(0, -(seen @ at)))
+        step = np.linalg.solve((seen * (p * (1 - p))[:, None]).T @ seen + np.diag(weight), seen.T @ (p - bad) + weight * (at - start))
         size = 1.0
         while size > 1e-6 and loss(at - size * step) > loss(at):
             size /= 2
@@ -131,14 +181,15 @@ def calibrated(evidence: np.ndarray, bad: np.ndarray, prior: float) -> tuple[flo
         at = at - size * step
         if done:
             break
-    return max(float(at[0]), 0.0), max(float(at[1]), 0.0), float(at[2])
+    return at
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], list[float]]:
-    """(features, weights for each target, evidence that every document has), and the prior of each target.
+    """(features, weights for each target, scales of each target), and the prior of each target.
 
-    A feature's weight is its shrunk log ratio (`shrunk_ratios`), times a scale for its sign that
-    is fitted on evidence from the other parts of the labelled rows (`calibrated`). Of labelled
+    A feature's weight is its shrunk log ratio (`shrunk_ratios`). The scales turn a document's
+    sums of weights for and against into log odds; they are fitted on evidence from the other
+    parts of the labelled rows (`calibrated`). Of labelled
     documents that share their least shingle, as copies do, one counts, for copies would make
     any of their words look telling. Labels beyond `rows` are not used: the sample is a broadcast
     of at most so many rows, and all features of its documents are collected and broadcast, in 24
@@ -196,26 +247,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[
         features, every, counts = features[1:], counts[:, :, 0].astype(np.int64), counts[:, :, 1:]
 
     def ratios(held: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        return np.stack([shrunk_ratios(held[2 * t + 1], held[2 * t], int(whole[2 * t + 1]), int(whole[2 * t])) for t in range(2)], 1)
+        return np.stack([ratios_by_kind(features, held[2 * t + 1], held[2 * t], int(whole[2 * t + 1]), int(whole[2 * t])) for t in range(2)], 1)
 
     held, whole = counts.sum(0), every.sum(0)
     priors = [float((whole[2 * t + 1] + PRIOR_BAD) / (whole[2 * t] + whole[2 * t + 1] + PRIOR_ALL)) for t in range(2)]
-    weights, evidence = ratios(held, whole), np.zeros(2)
+    weights, scales = ratios(held, whole), []
     others = np.concatenate([ratios(held - counts[k], whole - every[k]) for k in range(FOLDS)], 1).astype("f4")
     rated = _rated(sample, features, others)
     for t, prior in enumerate(priors):
-        known = [(r[f"_for_{t}"], r[f"_against_{t}"], r[TARGETS[t]]) for r in rated if r[TARGETS[t]] is not None]
-        seen = np.array(known, float).reshape(-1, 3)
-        up, down, base = calibrated(seen[:, :2], seen[:, 2], prior)
-        weights[:, t] *= np.where(weights[:, t] > 0, up, down)
-        evidence[t] = base - math.log(prior / (1 - prior))
-    return (features, weights, evidence), priors
+        known = [(*r[f"_signs_{t}"], r[TARGETS[t]]) for r in rated if r[TARGETS[t]] is not None]
+        seen = np.array(known, float).reshape(-1, len(START) + 2)
+        at = calibrated(seen[:, :-1], seen[:, -1], prior)
+        at[-1] -= math.log(prior / (1 - prior))
+        scales.append(at)
+    return (features, weights, np.array(scales)), priors
 
 
 def _rated(sample: DataFrame, features: np.ndarray, others: np.ndarray) -> list[Row]:
     """The labels of each document of the sample, and its evidence for and against by the weights of the other parts."""
     sent = sample.sparkSession.sparkContext.broadcast((features, others))
-    names = [f"_{side}_{t}" for t in range(2) for side in ("for", "against")]
+    names = [f"_signs_{t}" for t in range(2)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, others = sent.value
@@ -223,13 +274,11 @@ def _rated(sample: DataFrame, features: np.ndarray, others: np.ndarray) -> list[
         for batch in batches:
             own, doc = features_of_all(batch.column("text").to_pylist(), words)
             part, each = batch.column("part").to_numpy()[doc], _weights_of(own, features, others)
-            sums = []
-            for t in range(2):
-                mine = each[np.arange(len(own)), 2 * part + t]
-                sums += [np.bincount(doc, side, batch.num_rows) for side in (np.maximum(mine, 0), np.minimum(mine, 0))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(t) for t in TARGETS), *map(pa.array, sums)], names=[*TARGETS, *names])
+            read = [signs(each[np.arange(len(own)), 2 * part + t], doc, batch.num_rows) for t in range(2)]
+            lists = [pa.array(list(r), pa.list_(pa.float64())) for r in read]
+            yield pa.RecordBatch.from_arrays([*(batch.column(t) for t in TARGETS), *lists], names=[*TARGETS, *names])
 
-    return sample.mapInArrow(run, ", ".join([*(f"{t} int" for t in TARGETS), *(f"{n} double" for n in names)])).collect()
+    return sample.mapInArrow(run, ", ".join([*(f"{t} int" for t in TARGETS), *(f"{n} array<double>" for n in names)])).collect()
 
 
 def with_evidence(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
@@ -239,13 +288,13 @@ def with_evidence(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray, np.nda
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, weights, every = sent.value
+        features, weights, scales = sent.value
         words = Words()
         for batch in batches:
             own, doc = features_of_all(batch.column("text").to_pylist(), words)
             each = _weights_of(own, features, weights)
-            sums = [pa.array(np.bincount(doc, each[:, t], batch.num_rows) + every[t]) for t in range(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *sums], names=names)
+            odds = [signs(each[:, t], doc, batch.num_rows) @ scales[t] for t in range(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, odds)], names=names)
 
     return docs.mapInArrow(run, schema)
 
@@ -295,7 +344,7 @@ def _prior_weight(groups: DataFrame, n: str, total: str, mean: float) -> float:
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", with_text: bool = True) -> DataFrame:
-    """docs with p_poor, p_toxic and accepted; without `with_text` they lack the column text, which saves reading texts twice.
+    """docs with p_poor, p_toxic and accepted; without `with_text` they lack the column text, which then need not be written.
 
     A document's posterior joins the evidence of its text with the rate of its path (the
     documents of one `path` at one `host`), which leaves the document itself out and is
@@ -309,12 +358,9 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     weights, priors = fit(docs, labels)
     site = [F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path")]
     columns = docs.columns if with_text else [c for c in docs.columns if c != "text"]
-    if with_text:
-        sites = site_posteriors(with_evidence(docs.select("text", *site), weights), priors)
-        scored = with_evidence(docs.select("*", *site), weights)
-    else:
-        scored = written(with_evidence(docs.select("*", *site), weights).drop("text"), "evidence")
-        sites = site_posteriors(scored, priors)
+    scored = with_evidence(docs.select("*", *site), weights)
+    scored = written(scored if with_text else scored.drop("text"), "evidence")
+    sites = site_posteriors(scored, priors)
     right = sites.withColumnsRenamed({"_host": "_rh", "_path": "_rp"})
     joined = scored.join(right, F.col("_host").eqNullSafe(F.col("_rh")) & F.col("_path").eqNullSafe(F.col("_rp")))
     chances = []

@@ -218,20 +218,37 @@ def test_classifier_finds_held_out_labels(spark):
 
 
 @pytest.mark.parametrize(
-    "sf, least", [("sf0.1", {("poor", None): 0.95, ("toxic", None): 0.85, ("toxic", "es"): 0.5}), ("sf0.01", {("poor", None): 0.7}), ("sf0.001", {})]
+    "sf, parts, least",
+    [
+        ("sf0.1", 1, {("poor", None): 0.97, ("toxic", None): 0.93, ("toxic", "en"): 0.9, ("toxic", "de"): 0.95, ("toxic", "fr"): 0.95, ("toxic", "es"): 0.75}),
+        # a held-out part leaves three to five toxic documents of each other language to learn from
+        ("sf0.01", 4, {("poor", None): 0.97, ("toxic", "en"): 0.85, ("toxic", "de"): 0.4}),
+        ("sf0.001", 4, {}),
+    ],
 )
-def test_classifier_finds_bad_documents_of_each_target_and_language(spark, sf, least):
+def test_classifier_finds_bad_documents_of_each_target_and_language(spark, sf, parts, least):
+    """Every labelled document of the parts, judged by labels of the other parts of four."""
     docs = prepare(spark).read.parquet(f"/root/testdata/{sf}/documents.parquet")
     labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
-    seen = labels.where(F.xxhash64("doc_id") % 4 != 0)
-    judged = quality.classify(docs, seen, with_text=False).join(labels.subtract(seen), "doc_id").collect()
+    judged = []
+    for part in range(parts):
+        seen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(4)) != part)
+        judged += quality.classify(docs, seen, with_text=False).join(labels.subtract(seen), "doc_id").collect()
     good = [r["accepted"] for r in judged if r["quality"] == 1 and r["toxic"] == 0]
-    assert np.mean(good) > 0.97
+    assert np.mean(good) > (0.98 if sf != "sf0.001" else 0.94)
     for (target, lang), want in least.items():
         bad = [r for r in judged if (r["quality"] == 0 if target == "poor" else r["toxic"] == 1) and lang in (None, r["lang"])]
         assert np.mean([r[f"p_{target}"] >= 0.5 for r in bad]) >= want, (target, lang, len(bad))
 
 
+def test_words_of_a_family_count_by_their_stem():
+    words = quality.Words()
+    found = quality.features_of("Trashing, trashed x trash-can", words)
+    stem = quality._feature(quality.STEM_ONCE, "tras")
+    assert {stem, stem - quality.STEM_ONCE + quality.STEM_TWICE} <= found and stem - quality.STEM_ONCE + quality.STEM_OFTEN not in found
+    assert stem - quality.STEM_ONCE + quality.STEM_TWICE not in quality.features_of("trash trash Trash", words)
+
+
 def test_a_few_documents_count_by_what_they_show():
     bad, good = np.array([0, 1, 3, 7, 7, 11]), np.array([2, 0, 0, 0, 7, 89])
     rest = np.zeros(500, int)
