@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.session import tune, written
 
-__all__ = ["mix", "prepare", "ranked_within", "read_table", "rows_of", "slots_frame", "written"]
+__all__ = ["mix", "prepare", "ranked_within", "read_table", "rows_of", "slots_frame", "unused", "written"]
 
 #: Rows of one Arrow batch: whole documents, so few of them.
 BATCH_ROWS = 500
@@ -30,6 +30,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores before it until no column has it, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser over unsigned longs: every input bit reaches every output bit."""
     x = values + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)

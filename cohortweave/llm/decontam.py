@@ -39,19 +39,29 @@ class ItemBlock:
     def __init__(self, items: list[tuple[int | None, str | None]]):
         words = WordHashes()
         self.ids = [i for i, _ in items]
-        self.shingles = [np.unique(shingle_hashes(words.of(t))) for _, t in items]
+        texts = [words.of(t) for _, t in items]
+        self.sizes = [len(t) for t in texts]
+        self.shingles = [np.unique(shingle_hashes(t)) for t in texts]
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         by_class: dict[int, list[int]] = {}
         few: list[int] = []
         for k, own in enumerate(self.shingles):
+            if self.sizes[k] < SHINGLE:
+                continue
             if len(own) > FEW_SHINGLES:
                 by_class.setdefault(1 << int(len(own) - 1).bit_length(), []).append(k)
-            elif len(own):
+            else:
                 few.append(k)
                 self.table[self._cell(own)] = True
         values = np.concatenate([np.empty(0, np.uint64), *(self.shingles[k] for k in few)])
         order = np.argsort(values, kind="stable")
+        #: Items of fewer words than a shingle has: their one shingle, by their number of words.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in range(1, SHINGLE):
+            own = [(int(self.shingles[k][0]), k) for k in range(len(items)) if self.sizes[k] == size]
+            if own:
+                self.short[size] = np.array([h for h, _ in sorted(own)], np.uint64), np.array([k for _, k in sorted(own)])
         self.few = values[order], np.repeat(few, [len(self.shingles[k]) for k in few]).astype(np.int64)[order]
         for width, members in by_class.items():
             sketches = np.stack([_registers(self.shingles[k]) for k in members])
@@ -65,17 +75,26 @@ class ItemBlock:
     def _cell(shingles: np.ndarray) -> np.ndarray:
         return (shingles & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
 
-    def found(self, shingles: np.ndarray, containment: float) -> list[tuple[int, int, int]]:
-        """(item, its shingles, those in the document) for the items that the document contains.
+    def found(self, words: np.ndarray, containment: float) -> list[tuple[int, int, int]]:
+        """(item, its shingles, those in the document) for the items that the document of these words contains.
 
-        Items of few shingles are candidates if the document holds one of them. For each size
+        Items of fewer words than a shingle has are looked for among the document's runs of as
+        many words. Items of few shingles are candidates if the document holds one of them. For each size
         class of the others the document is cut to stretches of twice the class width that
         overlap by half; a stretch without any shingle of an item (a bit table tells) has no
         register in common with one and is passed over.
         """
+        out = []
+        for size, (values, owners) in self.short.items():
+            if len(words) >= size:
+                runs = np.unique(shingle_hashes(words, size))
+                low, high = (np.searchsorted(values, runs, side) for side in ("left", "right"))
+                for a, b in zip(low[high > low].tolist(), high[high > low].tolist()):
+                    out += [(int(k), 1, 1) for k in owners[a:b]]
+        shingles = shingle_hashes(words)
         hits = np.flatnonzero(self.table[self._cell(shingles)])
         if not len(hits):
-            return []
+            return out
         values, owners = self.few
         low, high = (np.searchsorted(values, shingles[hits], side) for side in ("left", "right"))
         candidates: set[int] = set()
@@ -89,8 +108,8 @@ class ItemBlock:
                 for i in np.flatnonzero(high > low):
                     candidates.update(owners[low[i] : high[i]].tolist())
         if not candidates:
-            return []
-        own, out = np.unique(shingles), []
+            return out
+        own = np.unique(shingles)
         for k in sorted(candidates):
             shared = int(np.isin(self.shingles[k], own, assume_unique=True).sum())
             if shared >= containment * len(self.shingles[k]):
@@ -119,8 +138,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CON
     """(doc_id, item_id, n_shingles, n_shared, containment) of every item that a document contains.
 
     Shingles are five lower-cased words between ASCII white space, each counted once. An item
-    of fewer words is one shingle of all of them and is contained only in a document that
-    consists of these words; items or documents without words take no part. Each row of docs
+    of fewer words is one shingle of all of them and is contained in a document that has these
+    words in a row; items or documents without words take no part. Each row of docs
     and of benchmark is judged on its own, whether ids repeat or are null. The benchmark goes
     to the tasks in blocks of a bounded size, each with a pass of its own over docs.
     """
@@ -134,7 +153,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CON
             for batch in batches:
                 out = ([], [], [], [], [])
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    for k, n, shared in items.found(shingle_hashes(words.of(text)), containment):
+                    for k, n, shared in items.found(words.of(text), containment):
                         for column, value in zip(out, (doc_id, items.ids[k], n, shared, shared / n), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
@@ -156,7 +175,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, containment: float = CO
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items, words = ItemBlock(sent.value), WordHashes()
             for batch in batches:
-                clean = [not items.found(shingle_hashes(words.of(t)), containment) for t in batch.column("text").to_pylist()]
+                clean = [not items.found(words.of(t), containment) for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
@@ -169,9 +188,11 @@ WITH both_tables AS (
 ), words AS (
   SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w : w <> '') AS w
   FROM both_tables
+), lengths AS (
+  SELECT DISTINCT least(len(w), {SHINGLE}) AS k FROM words WHERE kind = 1 AND len(w) > 0
 ), shingles AS (
-  SELECT DISTINCT kind, id, array_to_string(list_slice(w, i, i + {SHINGLE - 1}), ' ') AS s, least(len(w), {SHINGLE}) AS k
-  FROM words, range(1, greatest(len(w) - {SHINGLE - 1}, least(len(w), 1)) + 1) AS r(i)
+  SELECT DISTINCT kind, id, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s, k
+  FROM words JOIN lengths ON len(w) >= k AND (kind = 0 OR k = least(len(w), {SHINGLE})), range(1, len(w) - k + 2) AS r(i)
 ), sizes AS (
   SELECT id AS item_id, count(*) AS n_shingles FROM shingles WHERE kind = 1 GROUP BY id
 ), shared AS (

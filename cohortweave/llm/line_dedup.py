@@ -5,24 +5,25 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortweave.llm.common import rows_of, written
+from cohortweave.llm.common import rows_of, unused, written
 from cohortweave.llm.cuckoo import CuckooFilter
+from cohortweave.session import shared_path
 
 #: Shortest key, in code points, that counts as a repeat; least documents that hold it.
 MIN_CHARS = 20
 MIN_DOCS = 3
-#: Shards of the key space; a key's shard is its hash modulo this number.
-SHARDS = 64
-#: Filters up to this size together are sent to the tasks that read lines. Beyond it, lines
-#: meet the reference counts in the join without passing a filter first: the same rows.
+#: Least shards of the key space, and keys of a shard: a filter of 4 to 8 MB.
+SHARDS, SHARD_KEYS = 64, 1_000_000
+#: Filters that are sent to the tasks at a time.
 FILTER_BYTES = 64 << 20
 
 _REFS = "key binary, n_docs long, max_doc long"
@@ -45,40 +46,60 @@ def _counts_as_repeat(key: bytes, min_chars: int) -> bool:
     return len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode()) >= min_chars)
 
 
-def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS, filters: dict[int, bytes] | None = None) -> DataFrame:
-    """(doc_id, key): the distinct long-enough line keys of every row of docs, as 16-byte digests.
-
-    With `filters` (shard -> filter), only keys that their shard's filter may hold.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(filters) if filters is not None else None
+def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, key): the distinct long-enough line keys of every row of docs, as 16-byte digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {s: CuckooFilter.of_bytes(b) for s, b in sent.value.items()} if sent is not None else None
         for doc_ids, texts in rows_of(batches):
             ids, keys = [], []
             for doc_id, text in zip(doc_ids, texts, strict=True):
                 own = {_digest(k) for k in map(line_key, (text or "").split("\n")) if _counts_as_repeat(k, min_chars)}
                 keys.extend(own)
                 ids.extend([doc_id] * len(own))
-            if held is not None and keys:
-                hashes = _hash(keys)
-                shard, maybe = (hashes % np.uint64(SHARDS)).astype(np.int64), np.zeros(len(keys), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, key binary")
+
+
+def _maybe_held(keys: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """The keys (doc_id, key) that the filters (shard, filter) of their shards may hold."""
+    sent = keys.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in filters.collect()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {s: CuckooFilter.of_bytes(b) for s, b in sent.value.items()}
+        for batch in batches:
+            own = batch.column("key").to_pylist()
+            maybe = np.zeros(len(own), bool)
+            if own:
+                hashes = _hash(own)
+                shard = (hashes % np.uint64(shards)).astype(np.int64)
                 for s in np.unique(shard):
                     if s in held:
                         maybe[shard == s] = held[s].contains(hashes[shard == s])
-                ids, keys = [ids[i] for i in np.flatnonzero(maybe)], [keys[i] for i in np.flatnonzero(maybe)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
+            yield batch.select(["doc_id", "key"]).filter(pa.array(maybe))
+
+    return keys.select("doc_id", "key").mapInArrow(run, "doc_id long, key binary")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, key binary")
+
+def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    """`line_keys`, each key once for every doc_id: rows that share an id are one document, those without are each their own."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    again = written(ids.where(F.col("id").isNotNull()).groupBy("id").count().where("count > 1").select("id"), "repeated-ids")
+    if not again.take(1):
+        return line_keys(docs, min_chars)
+    narrow = docs.select(F.col("doc_id").cast("long"), "text")
+    one, several = (narrow.join(again, F.col("doc_id") == F.col("id"), how) for how in ("left_anti", "left_semi"))
+    return line_keys(one, min_chars).unionByName(line_keys(several, min_chars).distinct())
 
 
 def _counted(keys: DataFrame) -> DataFrame:
     return keys.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
 
 
-def _shard() -> F.Column:
-    """The shard of a key: its first eight bytes, little-endian, modulo the shards."""
-    return F.pmod(F.conv(F.hex(F.substring("key", 1, 1)), 16, 10).cast("int"), F.lit(SHARDS))
+def _shard(shards: int) -> Column:
+    """The shard of a key: its first bytes, little-endian, modulo the shards, a power of two up to 2 ** 24."""
+    byte = [F.conv(F.hex(F.substring("key", i, 1)), 16, 10).cast("int") for i in (1, 2, 3)]
+    return F.pmod(byte[0] + byte[1] * 256 + byte[2] * 65536, F.lit(shards))
 
 
 @dataclass
@@ -87,13 +108,15 @@ class LineState:
 
     refs: exact reference counts (key, n_docs, max_doc), a written table.
     filters: (shard, filter), one cuckoo filter per shard over the keys that `min_docs`
-    documents or more hold.
+    documents or more hold; `shards` grow with these keys, so that one task builds a filter
+    of about SHARD_KEYS at most.
     """
 
     refs: DataFrame
     filters: DataFrame
     min_chars: int = MIN_CHARS
     min_docs: int = MIN_DOCS
+    shards: int = SHARDS
 
     @classmethod
     def empty(cls, spark: SparkSession, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> LineState:
@@ -102,15 +125,19 @@ class LineState:
     def _with(self, refs: DataFrame, before: DataFrame | None) -> LineState:
         """The state over new counts. Filters change by the keys whose standing changed."""
         refs = written(refs, "line-refs")
-        now = refs.where(F.col("n_docs") >= self.min_docs)
+        now, shards = refs.where(F.col("n_docs") >= self.min_docs), self.shards
         if before is None:
             changes = now.select("key", F.lit(1).alias("step"))
+            shards = SHARDS
+            keys = now.count()
+            while shards * SHARD_KEYS < keys and shards < 1 << 24:
+                shards *= 2
         else:
             was = before.where(F.col("n_docs") >= self.min_docs)
             changes = now.join(was, "key", "left_anti").select("key", F.lit(1).alias("step")).unionByName(
                 was.join(now, "key", "left_anti").select("key", F.lit(-1).alias("step"))
             )
-        changes = changes.withColumn("shard", _shard())
+        changes = changes.withColumn("shard", _shard(shards))
 
         def update(key, old: pd.DataFrame, steps: pd.DataFrame) -> pd.DataFrame:
             hashes, step = _hash(list(steps["key"])), steps["step"].to_numpy()
@@ -120,7 +147,7 @@ class LineState:
                 if len(steps):
                     kept.delete(hashes[step < 0])
                 if not kept.insert(added):
-                    raise RuntimeError("a shard's filter is full: rebuild() the state")
+                    return pd.DataFrame({"shard": [key[0]], "filter": [None]})
             else:
                 kept = CuckooFilter.build(added, 2 * len(added))
             return pd.DataFrame({"shard": [key[0]], "filter": [kept.to_bytes()]})
@@ -131,11 +158,17 @@ class LineState:
             )
         else:
             filters = self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(update, "shard int, filter binary")
-        return LineState(refs, written(filters, "line-filters"), self.min_chars, self.min_docs)
+        filters = written(filters, "line-filters")
+        if filters.where(F.col("filter").isNull()).take(1):  # a filter is full: build them with more room
+            return self._with(refs, None)
+        return LineState(refs, filters, self.min_chars, self.min_docs, shards)
 
     def insert(self, docs: DataFrame) -> LineState:
-        """The state with the lines of more documents; each row of docs is a document."""
-        new = _counted(line_keys(docs, self.min_chars))
+        """The state with the lines of more documents, none of which is in it yet.
+
+        Rows of docs that share a doc_id are one document; each row without one is its own.
+        """
+        new = _counted(document_keys(docs, self.min_chars))
         if not self.refs.take(1):
             return self._with(new, None)
         both = self.refs.unionByName(new).groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
@@ -147,7 +180,7 @@ class LineState:
         Counts go down by what the documents held. Where the largest holder leaves, the next
         one is looked up among the remaining documents' lines.
         """
-        gone = _counted(line_keys(docs, self.min_chars)).select("key", F.col("n_docs").alias("less"), F.col("max_doc").alias("left_doc"))
+        gone = _counted(document_keys(docs, self.min_chars)).select("key", F.col("n_docs").alias("less"), F.col("max_doc").alias("left_doc"))
         touched = self.refs.join(gone, "key", "left")
         orphaned = touched.where((F.col("left_doc") == F.col("max_doc")) & (F.col("n_docs") > F.col("less"))).select("key")
         heirs = line_keys(remaining, self.min_chars).join(orphaned, "key", "left_semi").groupBy("key").agg(F.max("doc_id").alias("heir"))
@@ -169,14 +202,36 @@ class LineState:
     def repeated_lines(self, docs: DataFrame) -> DataFrame:
         """(doc_id, key) of the lines to drop: repeated, and the document is not their largest holder.
 
-        The filters pass the lines that may be repeated; the reference counts decide.
+        The filters pass the lines that may be repeated; the reference counts decide. Filters
+        go to the tasks in lots of at most FILTER_BYTES (or one filter). Where there are several
+        lots, lines are taken from the texts once and written by lot, so each is tested once.
         """
-        size = self.filters.agg(F.sum(F.length("filter"))).first()[0] or 0
-        filters = {r["shard"]: bytes(r["filter"]) for r in self.filters.collect()} if size <= FILTER_BYTES else None
+        sizes = self.filters.select("shard", F.length("filter").alias("n")).orderBy("shard").toLocalIterator()
+        lots, held = [[]], 0
+        for shard, n in sizes:
+            if lots[-1] and held + n > FILTER_BYTES:
+                lots.append([])
+                held = 0
+            lots[-1].append(shard)
+            held += n
+        keys = line_keys(docs, self.min_chars)
+        if len(lots) == 1:
+            maybe = _maybe_held(keys, self.filters, self.shards)
+        else:
+            last = F.array(*[F.lit(lot[-1]) for lot in lots])
+            lot_of = F.size(F.filter(last, lambda upto: upto < F.col("shard")))
+            keys = keys.withColumn("shard", _shard(self.shards)).withColumn("lot", lot_of)
+            path = shared_path(keys.sparkSession, "lines-by-lot")
+            keys.write.partitionBy("lot").parquet(path)
+            dealt = keys.sparkSession.read.schema(keys.schema).parquet(path)
+            parts = []
+            for i, lot in enumerate(lots):
+                filters = self.filters.where(F.col("shard").between(lot[0], lot[-1]))
+                parts.append(written(_maybe_held(dealt.where(F.col("lot") == i), filters, self.shards), "maybe-repeated"))
+            maybe = reduce(DataFrame.unionByName, parts)
         repeated = self.refs.where(F.col("n_docs") >= self.min_docs).select("key", "max_doc")
-        held = line_keys(docs, self.min_chars, filters)
         return (
-            held.join(repeated, "key")
+            maybe.join(repeated, "key")
             .where(F.col("max_doc").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") < F.col("max_doc"))))
             .select("doc_id", "key")
         )
@@ -189,12 +244,13 @@ class LineState:
         to any document with an id. Other columns of docs stay, whatever their names, but for
         the three added ones, which must be free.
         """
+        own, gone = unused("_doc", docs.columns), unused("_drop", docs.columns)
         drops = (
             self.repeated_lines(docs)
-            .groupBy(F.col("doc_id").alias("_doc"))
-            .agg(F.collect_set("key").alias("_drop"))
+            .groupBy(F.col("doc_id").alias(own))
+            .agg(F.collect_set("key").alias(gone))
         )
-        joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+        joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col(own)), "left").drop(own)
         added = T.StructType().add("n_lines", "long").add("n_dropped", "long").add("kept_sha256", "string")
         schema = T.StructType([*docs.schema.fields, *added.fields])
         columns = docs.columns
@@ -202,12 +258,12 @@ class LineState:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 n_lines, n_dropped, shas, texts = [], [], [], []
-                for text, drop in zip(batch.column("text").to_pylist(), batch.column("_drop").to_pylist(), strict=True):
+                for text, drop in zip(batch.column("text").to_pylist(), batch.column(gone).to_pylist(), strict=True):
                     lines = (text or "").split("\n")
                     kept = lines
                     if drop:
-                        gone = set(drop)
-                        kept = [x for x in lines if _digest(line_key(x)) not in gone]
+                        dropped = set(drop)
+                        kept = [x for x in lines if _digest(line_key(x)) not in dropped]
                     left = "\n".join(kept)
                     texts.append(text if len(kept) == len(lines) else left)
                     n_lines.append(len(lines))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.common import WordHashes, mix, shingle_hashes, written
+from cohortweave.llm.common import WordHashes, mix, shingle_hashes, unused, written
 from cohortweave.llm.components import components
 
 SIMILARITY = 0.8
@@ -298,8 +298,9 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     """docs with one document of each class; see `near_duplicates`.
 
     Rows that share a doc_id are one document: they go if none of them is kept. Documents
-    without words or id all stay. Other columns of docs are passed through.
+    without words or id all stay. Other columns of docs are passed through, whatever their names.
     """
-    stays = near_duplicates(docs, similarity).groupBy(F.col("doc_id").alias("_doc")).agg(F.max("kept").alias("_kept"))
-    gone = stays.where(~F.col("_kept")).select("_doc")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left_anti")
+    key = unused("_doc", docs.columns)
+    stays = near_duplicates(docs, similarity).groupBy(F.col("doc_id").alias(key)).agg(F.max("kept").alias("_kept"))
+    gone = stays.where(~F.col("_kept")).select(key)
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left_anti")

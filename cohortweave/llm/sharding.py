@@ -68,13 +68,16 @@ def shard_rows(rows: DataFrame, key: str, n_shards: int, slack: float = 0.0, vir
     A row's key hashes to a point of the ring and belongs to the next virtual node clockwise.
     A shard holds at most its capacity (mean and `slack`); the rest goes on clockwise. With
     no slack, counts differ by at most one. What crosses the driver is one count per virtual
-    node; arcs with many rows (one key may hold a third of them) are ranked in slices.
+    node; arcs with many rows (one key may hold a third of them) are ranked in slices. Ranks go
+    by a hash of the row's values, so the same rows get the same shards in whatever order they
+    come; rows that are equal in all of them are interchangeable.
 
     Null keys share one point of the ring; repeated rows are rows of their own; an empty table
     gives an empty result. `shard`, `slot` and names with a leading underscore are reserved
     in `rows`, everything else is passed through. `rows` is written once, so pass few columns.
     """
     spark = rows.sparkSession
+    hashed = [F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
     nodes = ring(spark, n_shards, virtual_nodes)
     positions = [at for at, _ in nodes]
     cells = []
@@ -90,7 +93,7 @@ def shard_rows(rows: DataFrame, key: str, n_shards: int, slack: float = 0.0, vir
         .join(lookup, "_cell")
         .withColumn("_arc", F.filter("_nodes", lambda x: x["upto"] >= F.col("_at"))[0]["arc"])
         .drop("_cell", "_nodes", "_at")
-        .withColumn("_tie", F.monotonically_increasing_id())
+        .withColumn("_tie", F.xxhash64(F.lit("row"), key, *hashed))
     )
     placed = written(placed, "shard-rows")
     counts = {r["_arc"]: r["n"] for r in placed.groupBy("_arc").agg(F.count("*").alias("n")).collect()}

@@ -41,7 +41,7 @@ def _matrix(vectors: list[np.ndarray], width: int) -> np.ndarray:
     return out
 
 
-def sorted_access_top(queries: np.ndarray, items: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
+def sorted_access_top(queries: np.ndarray, items: np.ndarray, own: np.ndarray, k: int, slack: float = 0.0) -> list[np.ndarray]:
     """For each query the items that may be among its k best: all others have a lower score.
 
     There is a list per component and direction, sorted by the component: a query reads it
@@ -49,7 +49,8 @@ def sorted_access_top(queries: np.ndarray, items: np.ndarray, own: np.ndarray, k
     score is at least what its read components give with the worst of every unread one, and
     at most the same with the list's value at t. A query stops once the k-th largest lower
     bound is above the bound of an item that no list has shown; what is left are the items
-    whose upper bound reaches the k-th lower one. own: the query's own item, or -1.
+    whose upper bound reaches the k-th lower one. own: the query's own item, or -1. slack: how
+    far a bound may be off by rounding.
     """
     n = len(items)
     order = np.sort(items, axis=0)
@@ -67,6 +68,7 @@ def sorted_access_top(queries: np.ndarray, items: np.ndarray, own: np.ndarray, k
         mine = np.flatnonzero(own[active] >= 0)
         lower[own[active][mine], mine] = upper[own[active][mine], mine] = -np.inf
         kth = np.partition(lower, n - k, axis=0)[n - k] if n >= k else np.full(len(active), -np.inf)
+        kth = kth - 2 * slack
         done = (unseen < kth) | (depth == n)
         for j in np.flatnonzero(done):
             keep = upper[:, j] >= kth[j]
@@ -80,15 +82,16 @@ def _block_top(queries: pd.DataFrame, items: pd.DataFrame, k: int) -> pd.DataFra
     if len(queries) and len(items):
         width = max(map(len, [*queries["vector"], *items["vector"]]), default=0)
         q, c = _matrix(list(queries["vector"]), width), _matrix(list(items["vector"]), width)
-        if np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * max(width, 1) >= 2.0**53:
-            raise ValueError("components are too large for exact scores")
+        # beyond 2**53 sums of doubles round: bounds get room for it, and scores are summed as longs
+        most = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * max(width, 1)
+        slack, whole = (most * 2.0**-50, (q.astype(np.int64), c.astype(np.int64))) if most >= 2.0**53 else (0.0, (q, c))
         at = {r: i for i, r in enumerate(items["row"])}
         own = np.array([at.get(r, -1) for r in queries["row"]])
         ids, item_rows = items["vec_id"].to_numpy(), items["row"].to_numpy()
         for a in range(0, len(q), QUERY_BATCH):
             part = slice(a, a + QUERY_BATCH)
-            for i, found in enumerate(sorted_access_top(q[part], c, own[part], k), a):
-                scores = c[found] @ q[i]
+            for i, found in enumerate(sorted_access_top(q[part], c, own[part], k, slack), a):
+                scores = whole[1][found] @ whole[0][i]
                 best = np.lexsort((item_rows[found], ids[found], -scores))[:k]
                 rows.extend((queries["row"].iloc[i], queries["vec_id"].iloc[i], ids[found[b]], int(scores[b])) for b in best)
     return pd.DataFrame(rows, columns=["row", "query_id", "vec_id", "score"], dtype="int64")
@@ -103,8 +106,8 @@ def top_inner_products(table: DataFrame, every: int = 50, k: int = TOP) -> DataF
 
     Vectors that are null or hold a null or non-finite component take no part; missing last
     components count as 0. Rows with a null vec_id are left out. Rows that repeat a vec_id are
-    queries and candidates of their own, each with its own results. Scores beyond 2**53 are
-    an error. Other columns are not read; an empty table gives an empty result.
+    queries and candidates of their own, each with its own results. Scores are exact as long
+    as they fit a long. Other columns are not read; an empty table gives an empty result.
     """
     vectors = written(integer_vectors(table.where(F.col("vec_id").isNotNull())), "vectors")
     queries = vectors.where(F.col("vec_id") % every == 0)
