@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from cohortweave.catalog import care, cohort, features, weight
+from cohortweave.catalog import care, cohort, features, sources, weight
 from cohortweave.catalog.registry import ORACLES, query
 from cohortweave.catalog.views import base_day, bmi_v, care_lines_v, claims_v, deliveries_v, diagnoses_v, enroll_v, members_v
 from cohortweave.catalog.views import plus, referrals_v, scores_v, table
@@ -14,6 +14,13 @@ from cohortweave.operators import features as fe
 from cohortweave.plans import long_term_care, maternity, weight_models, weight_status
 from cohortweave.session import written
 
+def _swapped(text: str, old: str, new: str) -> str:
+    """The text with `old` replaced; an error if it is not there."""
+    if old not in text:
+        raise ValueError(f"not in the SQL: {old}")
+    return text.replace(old, new)
+
+
 # ---- maternity: claims are moved forward by whole years so that they meet the deliveries
 
 SHIFT = 8400
@@ -49,14 +56,32 @@ def _maternity_sql() -> str:
     return f"{_MATERNITY} SELECT mother_id, {columns} FROM anchors {joins}"
 
 
+def _from_claims_sql() -> str:
+    """The same with deliveries from the five code systems, and 40 weeks to find one in."""
+    finds = f"""
+    delivs AS (SELECT person_id, from_dt + {SHIFT} AS from_dt, to_dt + {SHIFT} AS to_dt, id_code FROM finds),"""
+    sql = _swapped(_maternity_sql(), "FROM deliveries_v", "FROM delivs")
+    sql = _swapped(sql, "BETWEEN score_dt AND score_dt + 14", "BETWEEN score_dt AND score_dt + 280")
+    return sources._TIERS + "," + finds + sql.strip().removeprefix("WITH ")
+
+
 @query("maternity_outcome_costs", _maternity_sql())
 def maternity_outcome_costs(spark, sf_dir):
+    return _maternity_costs(spark, sf_dir, deliveries_v(spark, sf_dir), 2)
+
+
+@query("maternity_costs_from_claims", _from_claims_sql())
+def maternity_costs_from_claims(spark, sf_dir):
+    """The study from its first step: deliveries identified in the claims by five code systems."""
+    finds = sources.identified(spark, sf_dir).withColumns({c: F.date_add(c, SHIFT) for c in ("from_dt", "to_dt")})
+    return _maternity_costs(spark, sf_dir, finds, 40)
+
+
+def _maternity_costs(spark, sf_dir, deliveries, weeks):
     rules = maternity.MaternityRules(
-        "2024-01-01", "2024-01-28", cut=0.2, pair_days=10, episode_gap=3, delivery_weeks=2, engaged_days=3
-    )
-    study = maternity.study_cohort(
-        scores_v(spark, sf_dir), referrals_v(spark, sf_dir), [deliveries_v(spark, sf_dir)], rules, ties=cohort.TIES
+        "2024-01-01", "2024-01-28", cut=0.2, pair_days=10, episode_gap=3, delivery_weeks=weeks, engaged_days=3
     )
+    study = maternity.study_cohort(scores_v(spark, sf_dir), referrals_v(spark, sf_dir), deliveries, rules, ties=cohort.TIES)
     k = F.col("person_id")
     people = members_v(spark, sf_dir)
     membership = people.select(
@@ -83,13 +108,6 @@ _ELIGIBLE = """
 """
 
 
-def _swapped(text: str, old: str, new: str) -> str:
-    """The text with `old` replaced; an error if it is not there."""
-    if old not in text:
-        raise ValueError(f"not in the SQL: {old}")
-    return text.replace(old, new)
-
-
 def _limited(text: str) -> str:
     return _swapped(text, "FROM diagnoses_v", "FROM dx")
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cohortweave.operators import care_groups as cg
 from cohortweave.operators import enrolment as en
+from cohortweave.operators import timeline as tl
+from cohortweave.session import written
 
 
 @dataclass(frozen=True)
@@ -55,50 +57,34 @@ def long_term_care_groups(
 ) -> DataFrame:
     """One row per person enrolled in the year: flags, months, candidate dates, index date, category.
 
-    The plan uses claims twice, for all flags with the home-care month and for the
-    member-months. Everything after is grouped by the customer id, so the closing joins
-    find their inputs partitioned already.
+    The claims are read once, into one row of month bitmaps per person; flags, first months and
+    long stays are functions of these. Membership is written once, as several steps read it.
     """
     now, before = rules.suffix_now, rules.suffix_before
-    members = en.members_in_period(membership, persons, rules.before[0], rules.now[1], rules.born_by, key=person)
+    periods = {now: rules.now, before: rules.before}
+    members = written(en.members_in_period(membership, persons, rules.before[0], rules.now[1], rules.born_by, key=person), "members")
     current = en.members_in_period(members, None, *rules.now)
-    flags = cg.period_flags(
-        current,
-        members,
-        claims,
-        rules.conditions,
-        {now: rules.now, before: rules.before},
-        first_months={"min_hltc_month": rules.conditions["hltc"]},
-        cust=cust,
-        person=person,
-        date=start,
-    )
+    first, last = dt.date(rules.years[0], 1, 1), dt.date.fromisoformat(rules.last_month)
+    months = (last.year - first.year) * 12 + last.month
     in_scope = claims.where(F.col(start).between(F.lit(rules.before[0]).cast("date"), F.lit(rules.now[1]).cast("date")))
-    months = cg.member_months(
-        in_scope,
-        key=person,
-        start=start,
-        end=end,
-        snf=rules.snf,
-        nh=rules.nh,
-        from_years=rules.years,
-        last_month=rules.last_month,
+    stays = {"__snf": rules.snf, "__nh": rules.nh}
+    timelines = tl.care_timeline(in_scope, rules.conditions, stays, first, months, key=person, start=start, end=end)
+    timelines = tl.merged(timelines, members, cust, person)
+    starts = tl.long_stay_starts(F.col("__snf"), F.col("__nh"), rules.min_stay_months)
+    timelines = timelines.withColumn("__long", starts if rules.per_stay else tl.earliest(starts))
+    masks = {suffix: tl.mask(period, first, months) for suffix, period in periods.items()}
+    kinds = {**{name: name for name in rules.conditions}, "iltc_4m": "__long"}
+    people = current.select(cust).distinct().join(timelines, cust, "left")
+    flags = people.select(
+        cust,
+        *[tl.any_in(F.col(bits), wanted).alias(f"{name}_{suffix}") for name, bits in kinds.items() for suffix, wanted in masks.items()],
+        tl.first_month(F.col("hltc"), first).alias("min_hltc_month"),
+        tl.first_month(F.col("__nh"), first).alias("min_iltc_month"),
+        tl.first_month(F.col("__long"), first).alias("min_iltc4_month"),
     )
-    months = cg.months_by_cust(months, members, cust=cust, person=person)
-    stays = cg.long_stays(months, rules.min_stay_months, key=cust, per_stay=rules.per_stay)
-    before_years = list(range(int(rules.before[0][:4]), int(rules.before[1][:4]) + 1))
-    stay_flags = cg.long_stay_flags(stays, {now: [rules.year], before: before_years}, key=cust)
-    first_long = stays.groupBy(cust).agg(F.min("min_iltc4_month").alias("min_iltc4_month"))
     spans = members.select(cust, "eff_dt", "end_dt").distinct()
     enrolled = en.months_enrolled(spans, rules.enrolled_from, 24, key=cust, start="eff_dt", end="end_dt")
-    parts = [
-        stay_flags,
-        en.enrolment_thresholds(enrolled),
-        cg.first_institution_month(months, first_long, key=cust),
-        cg.events_by_text(disenrolment, rules.year, rules.death_patterns, key=cust),
-    ]
-    for part in parts:
-        flags = flags.join(part, cust, "left")
-    flags = flags.withColumns({f"iltc_4m_{s}": F.coalesce(f"iltc_4m_{s}", F.lit(0)) for s in (now, before)})
+    flags = flags.join(en.enrolment_thresholds(enrolled), cust, "left")
+    flags = flags.join(cg.events_by_text(disenrolment, rules.year, rules.death_patterns, key=cust), cust, "left")
     indexed = cg.index_date(flags, rules.year, key=cust, seed=rules.seed, suffix=now)
     return cg.ltc_category(indexed, now, before, rules.min_enrolled, rules.name_now, rules.name_before)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cohortweave.operators import cohort as ch
 from cohortweave.operators import costs
-from cohortweave.operators.codes import tiered_identify
 from cohortweave.operators.episodes import episode_summary
 from cohortweave.operators.linking import active_span_lookup, link_by_household
 from cohortweave.operators.windows import anchor_and_window
@@ -37,14 +36,16 @@ SPANS = [("eff_dt", "end_dt"), ("benefit_eff_dt", "benefit_end_dt")]
 
 
 def study_cohort(
-    scores: DataFrame, tracking: DataFrame, delivery_tiers: list[DataFrame], rules: MaternityRules, ties: list[str] | None = None
+    scores: DataFrame, tracking: DataFrame, deliveries: DataFrame, rules: MaternityRules, ties: list[str] | None = None
 ) -> DataFrame:
-    """One row per person with a high score followed by exactly one delivery, with its study group."""
+    """One row per person with a high score followed by exactly one delivery, with its study group.
+
+    ``deliveries`` are finds as ``operators.codes.identify_by_tiers`` gives them.
+    """
     high = ch.high_scores(scores, rules.first_score, rules.last_score, rules.cut)
     sent = tracking.where(F.col("population") == rules.population).drop("population")
     pool = ch.dedupe_by_policy(ch.score_referral(high, sent, rules.referral_days), max_days=rules.pair_days, ties=ties)
-    found = delivery_tiers[0] if len(delivery_tiers) == 1 else tiered_identify(delivery_tiers)
-    episodes = episode_summary(found, max_gap=rules.episode_gap)
+    episodes = episode_summary(deliveries, max_gap=rules.episode_gap)
     matched = ch.attach_event_in_window(pool, episodes, rules.delivery_weeks)
     return ch.study_groups(matched, rules.program, rules.engaged_days)
 

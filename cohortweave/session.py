@@ -8,6 +8,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,8 +48,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g", app
     return spark
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder named by spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir.
 
     Where that setting is absent, a local master (tests, a laptop) gets a temporary folder;
     on a cluster there is no folder that all executors are known to share, so it is an error.
@@ -56,7 +59,69 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return base.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder.
+
+    It belongs to the innermost open `stage_tables`, or else to the process, and is deleted
+    when its owner ends.
+    """
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _OWNERS[-1].paths.append(path)
+    return path
+
+
+@dataclass(eq=False)
+class StageTables:
+    """The owner of stage tables: it knows their folders and deletes them, in whatever store they are."""
+
+    paths: list[str] = field(default_factory=list)
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """Leaves a written table to the owner around this one."""
+        path = table.stage_path
+        self.paths.remove(path)
+        _OWNERS[_OWNERS.index(self) - 1].paths.append(path)
+        return table
+
+    def delete(self, spark: SparkSession) -> None:
+        hadoop = spark._jsc.hadoopConfiguration()
+        while self.paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(hadoop).delete(path, True)
+
+
+#: Owners from the process to the innermost open one.
+_OWNERS: list[StageTables] = [StageTables()]
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[StageTables]:
+    """Deletes the tables written inside when it ends, also by an error.
+
+    Read what depends on them before the end, or `keep` a written result:
+
+        with stage_tables(spark) as tables:
+            docs = tables.keep(written(stage(docs), "stage"))
+    """
+    owner = StageTables()
+    _OWNERS.append(owner)
+    try:
+        yield owner
+    finally:
+        _OWNERS.remove(owner)
+        owner.delete(spark)
+
+
+@atexit.register
+def _delete_the_rest() -> None:
+    """What nobody owned goes when the process ends while its session is still running."""
+    with suppress(Exception):  # the store or the JVM may be gone before the process
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            _OWNERS[0].delete(spark)
 
 
 @functools.cache
@@ -75,4 +140,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stage_path = path
+    return table

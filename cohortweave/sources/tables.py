@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
@@ -93,14 +92,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
 
 
 def snapshot_files(spark: SparkSession, folder: str, file_prefix: str) -> DataFrame:
-    """(snapshot_dt, path) of every file below ``folder`` named ``<prefix>MMDDYYYY.csv``.
+    """(snapshot_dt, path, sample) of every file or folder of part files named ``<prefix>MMDDYYYY.csv`` below ``folder``.
 
-    A name may also be a folder of part files, as Spark writes it. Only the listing is
-    read, never the content.
+    One row per date and place, however many part files there are; ``sample`` is one of them.
+    Only the listing is read, never the content.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    root = F.regexp_extract("path", f"^(.*{file_prefix}(\\d{{8}})\\.csv)", 1)
     stamp = F.regexp_extract("path", f"{file_prefix}(\\d{{8}})\\.csv", 1)
-    return listed.where(stamp != "").select(F.to_date(stamp, "MMddyyyy").alias("snapshot_dt"), "path")
+    found = listed.where(stamp != "").groupBy(F.to_date(stamp, "MMddyyyy").alias("snapshot_dt"), root.alias("root"))
+    return found.agg(F.min("path").alias("sample")).withColumnRenamed("root", "path")
 
 
 def snapshot_lookup(
@@ -116,10 +117,11 @@ def snapshot_lookup(
 ) -> DataFrame:
     """For each (person, date) the person's row in the snapshot file of that date.
 
-    Every needed file is read once with its own header; files with the same header share
-    one scan and scans are united by column name, so reordered or absent columns are safe.
-    The driver only handles dates and paths (bounded by calendar days), never rows. A date
-    without a file is an error, or yields no rows with ``missing="skip"``.
+    Every needed file is read once with its own header, which all part files of a date share;
+    dates with the same header share one scan and scans are united by column name, so
+    reordered or absent columns are safe. The driver handles one row per date and place,
+    bounded by calendar days, never part files or rows. A date without a file is an error, or
+    yields no rows with ``missing="skip"``.
     """
     spark = keys.sparkSession
     wanted = keys.select(key, F.col(date).alias("snapshot_dt")).where(F.col(key).isNotNull()).distinct()
@@ -129,19 +131,17 @@ def snapshot_lookup(
     if absent and missing == "error":
         raise FileNotFoundError(f"no snapshot for {absent}")
 
-    paths_of: dict[dt.date, list[str]] = defaultdict(list)
-    for row in needed:
-        if row.path is not None:
-            paths_of[row.snapshot_dt].append(row.path)
+    present = [row for row in needed if row.path is not None]
     with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        headers = list(pool.map(lambda paths: tuple(_csv(spark).csv(min(paths)).columns), paths_of.values()))
+        headers = list(pool.map(lambda row: tuple(_csv(spark).csv(row.sample).columns), present))
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for header, paths in zip(headers, paths_of.values()):
-        by_header[header] += sorted(paths)
+    for header, row in zip(headers, present):
+        by_header[header].append(row.path)
 
     columns, prefixes = list(columns or []), tuple(prefixes or ())
     result = None
     for header, paths in sorted(by_header.items()):
+        paths = sorted(paths)
         chosen = [c for c in header if c != key and (c in columns or (prefixes and c.startswith(prefixes)))]
         scan = (
             _csv(spark)

@@ -4,9 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cohortweave.catalog import QUERIES
 from cohortweave.functions.fixed_values import DAY_CARE_PROCEDURES
 from cohortweave.operators import care_groups as cg
 from cohortweave.operators import labels as la
+from cohortweave.operators import timeline as tl
 from cohortweave.operators import windows as wi
 
 LINE = (
@@ -247,3 +249,58 @@ def test_exclude_in_windows_includes_both_ends(spark, rows):
     labels = spark.createDataFrame([("a", d("2021-01-01")), ("a", d("2021-02-01")), ("a", d("2021-02-02")), ("b", d("2021-01-15"))], "cust_id string, index_dt date")
     wins = spark.createDataFrame([("a", d("2021-01-01"), d("2021-02-01")), ("a", d("2021-01-01"), d("2021-02-01"))], "cust_id string, exclude_start date, exclude_end date")
     assert rows(wi.exclude_in_windows(labels, wins)) == [("a", d("2021-02-02")), ("b", d("2021-01-15"))]
+
+
+def months_of(bits):
+    return [i for i in range(64) if bits >> i & 1]
+
+
+def test_month_bitmaps_agree_with_months_and_stays(spark):
+    """Random claims: months, first months and long stays of the timelines against the row-wise operators."""
+    rng = random.Random(12)
+    claims = []
+    for p in range(150):
+        for _ in range(rng.randrange(1, 14)):
+            a = dt.date(2017, 1, 1) + dt.timedelta(rng.randrange(1_000))
+            b = rng.choice([a + dt.timedelta(rng.randrange(120)), None, a])
+            claims.append((p, a, b, rng.random() < 0.45, rng.random() < 0.45))
+    df = spark.createDataFrame(claims, "person_id int, a date, b date, snf boolean, nh boolean")
+    first, count = dt.date(2017, 1, 1), 39
+    for endpoints_only in (True, False):
+        months = cg.member_months(df, start="a", end="b", snf=F.col("snf"), nh=F.col("nh"), endpoints_only=endpoints_only)
+        timelines = tl.care_timeline(df, {"any": F.lit(True)}, {"s": F.col("snf"), "n": F.col("nh")}, first, count, start="a", end="b", endpoints_only=endpoints_only)
+        told = {}
+        for r in months.collect():
+            for kind in ("snf", "nh"):
+                if r[kind]:
+                    told.setdefault((r.person_id, kind), set()).add((r.yr - 2017) * 12 + r.mo - 1)
+        for r in timelines.collect():
+            assert set(months_of(r.s)) == told.get((r.person_id, "snf"), set()) and set(months_of(r.n)) == told.get((r.person_id, "nh"), set())
+        for least in (1, 2, 4):
+            starts = tl.long_stay_starts(F.col("s"), F.col("n"), least)
+            got = {(r.person_id, i) for r in timelines.select("person_id", starts.alias("x")).collect() for i in months_of(r.x)}
+            stays = cg.long_stays(months, least, per_stay=True).collect()
+            assert got == {(r.person_id, (r.yr_start - 2017) * 12 + r.min_iltc4_month.month - 1) for r in stays}
+            earliest = timelines.select("person_id", tl.first_month(starts, first).alias("m")).where("m IS NOT NULL")
+            assert {tuple(r) for r in earliest.collect()} == {(r.person_id, r.min_iltc4_month) for r in cg.long_stays(months, least).collect()}
+
+
+def test_periods_are_masks_of_whole_months(spark):
+    first = dt.date(2017, 1, 1)
+    assert months_of(tl.mask(("2017-03-01", "2017-05-31"), first, 39)) == [2, 3, 4]
+    assert months_of(tl.mask(("2016-11-01", "2017-01-31"), first, 39)) == [0] and tl.mask(("2030-01-01", "2030-12-31"), first, 39) == 0
+    with pytest.raises(ValueError, match="begin and end with a month"):
+        tl.mask(("2017-03-02", "2017-05-31"), first, 39)
+    with pytest.raises(ValueError):
+        tl.care_timeline(spark.range(1), {}, {}, first, 61)
+    row = spark.sql("SELECT 6L AS b, 0L AS z, CAST(NULL AS BIGINT) AS n").select(
+        *[tl.any_in(F.col(c), 2).alias(f"any_{c}") for c in "bzn"], *[tl.first_month(F.col(c), first).alias(f"first_{c}") for c in "bzn"]
+    )
+    assert tuple(row.first()) == (1, 0, 0, dt.date(2017, 2, 1), None, None)
+
+
+def test_care_plan_reads_the_claims_once(spark):
+    plan = QUERIES["long_term_care_groups"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bit_or(") > 0 and plan.count("Window") == 0
+    # one scan of the lines, one of the claim status that stands beside them, one of the disenrolments
+    assert plan.count("Relation [l_") <= 1 and plan.count("Relation [o_") <= 3

@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cohortweave import session
+from cohortweave.catalog import QUERIES
 from cohortweave.sources import codelists, tables
 
 
@@ -82,6 +84,38 @@ def test_snapshot_lookup_can_insist_on_a_file(spark, tmp_path):
         tables.snapshot_lookup(df, snapshots(tmp_path), columns=["age"], missing="error")
 
 
+def test_part_files_of_a_date_are_one_row_on_the_driver(spark, tmp_path, rows):
+    """Two dates as folders of 300 part files each, one with its columns in another order."""
+    folder = tmp_path / "parts"
+    for i in range(300):
+        write(folder / "Feature_df_01022024.csv" / f"part-{i:05}.csv", f"person_id,age,race_a\nq{i},{i},x\n")
+        write(folder / "Feature_df_01032024.csv" / f"part-{i:05}.csv", f"age,person_id\n{i + 1},q{i}\n")
+    listed = tables.snapshot_files(spark, str(folder), "Feature_df_").collect()
+    assert len(listed) == 2 and {r.path.rsplit("/", 1)[1] for r in listed} == {"Feature_df_01022024.csv", "Feature_df_01032024.csv"}
+    df = spark.createDataFrame([(f"q{i}", dt.date(2024, 1, 2 + i % 2)) for i in range(0, 300, 7)], "person_id string, score_dt date")
+    got = tables.snapshot_lookup(df, str(folder), columns=["age"], prefixes=["race"])
+    assert rows(got, "person_id", "age", "race_a") == sorted((f"q{i}", str(i + i % 2), None if i % 2 else "x") for i in range(0, 300, 7))
+
+
+def test_stage_tables_go_with_their_owner(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    with session.stage_tables(spark) as outer:
+        with session.stage_tables(spark) as inner:
+            kept = inner.keep(session.written(spark.range(5), "kept"))
+            session.written(spark.range(3), "gone")
+            assert len(list(tmp_path.iterdir())) == 2
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["kept"] and kept.count() == 5 and len(outer.paths) == 1
+    assert not list(tmp_path.iterdir())
+    with pytest.raises(ZeroDivisionError), session.stage_tables(spark):
+        session.written(spark.range(3), "gone")
+        raise ZeroDivisionError
+    assert not list(tmp_path.iterdir())
+    for name in ("exact_quantiles", "snapshot_features", "tiered_identify", "long_term_care_groups", "child_training_rows"):
+        with session.stage_tables(spark):
+            assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0 and list(tmp_path.iterdir())
+        assert not list(tmp_path.iterdir()), name
+
+
 def test_code_list_filters_dots_and_drops_null(spark, rows):
     ref = spark.createDataFrame(
         [("ICD", "O9902", "Anemia complicating Childbirth"), ("ICD", "O80", "in childbirth"), ("ICD", None, "in childbirth"),
