@@ -6,7 +6,7 @@ import math
 import operator
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortweave.llm.common import KEPT_WORDS, WordHashes, shingle_hashes, written
+from cohortweave.llm.common import WordHashes, shingle_hashes, written
 
 #: The classifier is fitted on at most so many labelled rows, those of the smallest id hashes.
 LABELLED_ROWS = 20_000
@@ -35,6 +35,8 @@ TARGETS = ("poor", "toxic")
 EVERY = -1
 #: Letters of a stem.
 STEM = 4
+#: Words whose features a task keeps; beyond it the table starts anew.
+KEPT_WORDS = 500_000
 
 
 #: Kinds of features, the low three bits of a feature's name: by how many of them tell, they differ.
@@ -48,14 +50,28 @@ def _feature(kind: int, value: str) -> int:
 
 
 class Words(dict):
-    """For each word: its letters in lower case with their stem, and the marks after them, as features, and whether it is in capitals."""
+    """For each word: its letters in lower case, their stem and the marks after them, as features, and whether it is in capitals."""
 
-    def __missing__(self, word: str) -> tuple[tuple[int, int], int, bool]:
+    def __init__(self) -> None:
+        self.stems: dict[str, int] = {}
+        self.ends: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> tuple[int, int, int, bool]:
         if len(self) >= KEPT_WORDS:
             self.clear()
-        core = word.rstrip("".join(c for c in set(word) if not c.isalnum()))
-        named = _feature(WORD, core.lower()), _feature(STEM_ONCE, core.lower()[:STEM])
-        value = self[word] = (named, _feature(END, word[len(core) :][-4:]), len(core) > 1 and core.isupper())
+        if len(self.stems) + len(self.ends) >= KEPT_WORDS:
+            self.stems, self.ends = {}, {}
+        n = len(word)
+        while n and not word[n - 1].isalnum():
+            n -= 1
+        core, marks = word[:n], word[n:][-4:]
+        lower = core.lower()
+        stem, end = self.stems.get(lower[:STEM]), self.ends.get(marks)
+        if stem is None:
+            stem = self.stems[lower[:STEM]] = _feature(STEM_ONCE, lower[:STEM])
+        if end is None:
+            end = self.ends[marks] = _feature(END, marks)
+        value = self[word] = (_feature(WORD, lower), stem, end, n > 1 and core.isupper())
         return value
 
 
@@ -70,23 +86,20 @@ def features_of(text: str | None, words: Words) -> set[int]:
     n, lowered = len(split), (text or "").lower().split()
     if n != len(lowered):
         lowered = split
-    named, ends, capitals = zip(*map(words.__getitem__, split), strict=True) if n else ((), (), ())
+    distinct = set(split)
+    cores, stems, ends, in_capitals = zip(*map(words.__getitem__, distinct), strict=True) if n else ((), (), (), ())
+    capitals = set(compress(distinct, in_capitals))
+    stem_of = dict(zip(cores, stems))
     shares = {
         "length": n.bit_length(),
-        "upper": 10 * sum(capitals) // n if n else -1,
+        "upper": 10 * sum(map(capitals.__contains__, split)) // n if capitals else 0 if n else -1,
         "again": 10 * sum(map(operator.eq, lowered[1:], lowered)) // (n - 1) if n > 1 else -1,
         "distinct": 10 * len(set(lowered)) // n if n else -1,
     }
-    rest = [_feature(SHARE, f"{k} {v}") for k, v in shares.items()]
-    distinct = set(named)
-    found = {*ends, *rest}
-    found.update(map(operator.itemgetter(0), distinct))
-    for stem, count in Counter(map(operator.itemgetter(1), distinct)).items():
-        found.add(stem)
-        if count > 1:
-            found.add(stem - STEM_ONCE + STEM_TWICE)
-            if count > 3:
-                found.add(stem - STEM_ONCE + STEM_OFTEN)
+    of_stem = Counter(stem_of.values())
+    found = {*stem_of, *ends, *of_stem, *(_feature(SHARE, f"{k} {v}") for k, v in shares.items())}
+    found.update([stem - STEM_ONCE + STEM_TWICE for stem, count in of_stem.items() if count > 1])
+    found.update([stem - STEM_ONCE + STEM_OFTEN for stem, count in of_stem.items() if count > 3])
     return found
 
 
