@@ -282,7 +282,7 @@ def identified(spark, sf_dir):
     second = codelists.code_ranges(spark, _SECOND).unionByName(listed)
     revenue = codelists.code_list(part.withColumn("code", F.col("p_type")), "revenue", code_type="PROMO", type_col="p_type")
     cpt = codelists.code_list(part, "cpt", code_type="SMALL", definition_contains=["widget"], lower=True, **columns)
-    whole = F.col("match_len") + 100  # a list's codes are compared as wholes
+    whole = F.lit(None).cast("int")  # codes are compared as wholes
     headers, lines = claim_tables(spark, sf_dir)
     return co.identify_by_tiers(
         [

@@ -17,6 +17,7 @@ MULTIPLE_Z = [
     "Z38.3", "Z38.4", "Z38.5", "Z38.6", "Z38.7", "Z38.8",
 ]
 CHILDBIRTH_TEXTS = ["in childbirth", "complicating childbirth"]
+DELIVERY_TEXTS = ["delivery"]
 EPISODE_GAP_DAYS = 140
 
 # weight status
@@ -31,10 +32,6 @@ LOW_ADULT_BMI = ["Z68.1"]
 # long-term care
 SNF_PLACE = ["31"]
 NURSING_HOME_PLACES = ["32", "33", "13"]
-INSTITUTION_PLACES = ["31", "32", "33", "13"]
-INSTITUTION_PROCEDURES = [
-    "99301", "99302", "99303", "99311", "99312", "99313", "99315", "99316", "99379", "99380", "G0066",
-]
 DAY_CARE_PROCEDURES = [
     "55100", "S5100", "S5101", "S5102", "S5103", "S5105",
     "A0080", "T2001", "T2002", "T2003", "T2004", "T2005", "T2007",

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortweave.functions import fixed_values as fixed
+from cohortweave.operators import codes as co
 from cohortweave.operators import cohort as ch
 from cohortweave.operators import costs
 from cohortweave.operators.episodes import episode_summary
 from cohortweave.operators.linking import active_span_lookup, link_by_household
 from cohortweave.operators.windows import anchor_and_window
 from cohortweave.session import written
+from cohortweave.sources import codelists
 
 
 @dataclass(frozen=True)
@@ -32,6 +35,52 @@ class MaternityRules:
     null_policy: str = "propagate"
 
 
+#: The code systems that tell a delivery, the surest first.
+DELIVERY_TIERS = ["icd10_1st", "drg", "icd10_2nd", "revenue", "cpt"]
+
+
+def delivery_lists(spark: SparkSession, pregnancy_codes: DataFrame, delivery_room_codes: DataFrame) -> dict[str, DataFrame]:
+    """The code list of each system, from the fixed lists and two reference tables (type, code, definition).
+
+    Diagnoses and DRGs count by the head that a list names, revenue and procedure codes as wholes.
+    """
+    whole = F.lit(None).cast("int")
+    prefix, low, high = fixed.DELIVERY_ICD_COMPLICATION_RANGE
+    texts = codelists.code_list(
+        pregnancy_codes, "icd10_2nd", code_type="ICD-10-CM", definition_contains=fixed.CHILDBIRTH_TEXTS, dotted=True
+    )
+    procedures = codelists.code_list(pregnancy_codes, "cpt", code_type="CPT", definition_contains=fixed.DELIVERY_TEXTS, lower=True)
+    return {
+        "icd10_1st": codelists.code_literals(spark, {"icd10_1st": fixed.DELIVERY_ICD_FIRST}),
+        "drg": codelists.code_literals(spark, {"drg": fixed.DELIVERY_DRG}),
+        "icd10_2nd": codelists.code_ranges(spark, [("icd10_2nd", prefix, low, high)]).unionByName(texts),
+        "revenue": codelists.code_list(delivery_room_codes, "revenue", code_type="UBREV").withColumn("match_len", whole),
+        "cpt": procedures.withColumn("match_len", whole),
+    }
+
+
+def delivery_finds(
+    headers: DataFrame,
+    lines: DataFrame,
+    services: DataFrame,
+    lists: dict[str, DataFrame],
+    *,
+    diagnoses: list[str],
+    drgs: tuple[str, str] = ("diagnosis_related_group_cd", "claim_header_sub_drg_cd"),
+    revenue: str = "revenue_cd",
+    procedure: str = "service_cd",
+) -> DataFrame:
+    """Deliveries of every person by the surest system that finds one; each of the three claims tables is read once."""
+    by_diagnosis = [co.TierRule(m, tuple(diagnoses), lists[m]) for m in ("icd10_1st", "icd10_2nd")]
+    drg = co.TierRule("drg", drgs, lists["drg"], "first")
+    tables = [
+        co.TierTable(headers, (*by_diagnosis, drg), "claim_service_from_dt", "claim_service_to_dt"),
+        co.TierTable(lines, (co.TierRule("revenue", (revenue,), lists["revenue"]),), "claim_line_service_start_dt", "claim_line_service_end_dt"),
+        co.TierTable(services, (co.TierRule("cpt", (procedure,), lists["cpt"]),), "claim_ln_service_from_dt", "claim_ln_service_to_dt"),
+    ]
+    return co.identify_by_tiers(tables, DELIVERY_TIERS)
+
+
 SPANS = [("eff_dt", "end_dt"), ("benefit_eff_dt", "benefit_end_dt")]
 
 

@@ -9,6 +9,7 @@ from cohortweave.catalog.views import claims_wide_v
 from cohortweave.functions.rules import label_rules, sum_where
 from cohortweave.operators import claims as cl
 from cohortweave.operators import codes as co
+from cohortweave.plans import maternity
 from cohortweave.session import written
 
 D = dt.date(2022, 1, 1)
@@ -115,6 +116,28 @@ def test_tiers_from_one_pass_equal_tiers_one_by_one(small_tasks, rows):
     assert rows(one_pass) == rows(one_by_one) and {r.id_method for r in one_pass.collect()} == set(order)
 
 
+def test_deliveries_by_five_code_systems(small_tasks, rows):
+    """One person per system, one that an earlier system names, one that none does."""
+    ref = small_tasks.createDataFrame(
+        [("ICD-10-CM", "O9902", "Anemia complicating childbirth"), ("ICD-10-CM", "Z331", "Pregnant"), ("CPT", "59400", "Vaginal Delivery"), ("CPT", "1", "x")],
+        "type string, code string, definition string",
+    )
+    rooms = small_tasks.createDataFrame([("UBREV", "0720", "room"), ("CPT", "2", "x")], "type string, code string, definition string")
+    when = "date, claim_service_to_dt date"
+    headers = small_tasks.createDataFrame(
+        [(1, D, D, "Z37.0", "O99.02", None, None), (2, D, D, None, None, "111", "540"), (3, D, D, "X", "O99.021", None, None), (4, D, D, "O77", None, None, None), (7, D, D, "Z331", None, "5", None)],
+        f"person_id int, claim_service_from_dt {when}, d1 string, d2 string, diagnosis_related_group_cd string, claim_header_sub_drg_cd string",
+    )
+    lines = small_tasks.createDataFrame([(5, D, D, "0720"), (1, D, D, "0720"), (7, D, D, "07201")], "person_id int, claim_line_service_start_dt date, claim_line_service_end_dt date, revenue_cd string")
+    services = small_tasks.createDataFrame([(6, D, D, "59400"), (5, D, D, "59400"), (7, D, D, "594001")], "person_id int, claim_ln_service_from_dt date, claim_ln_service_to_dt date, service_cd string")
+    lists = maternity.delivery_lists(small_tasks, ref, rooms)
+    assert set(lists) == set(maternity.DELIVERY_TIERS)
+    got = maternity.delivery_finds(headers, lines, services, lists, diagnoses=["d1", "d2"])
+    assert rows(got, "person_id", "id_method", "id_code") == [
+        (1, "icd10_1st", "Z37.0"), (2, "drg", "111"), (3, "icd10_2nd", "O99.021"), (4, "icd10_2nd", "O77"), (5, "revenue", "0720"), (6, "cpt", "59400"),
+    ]
+
+
 def test_each_claims_table_is_read_once_for_all_tiers(spark, monkeypatch):
     """Scans of base tables in every table written on the way to the finds."""
     plans = []
