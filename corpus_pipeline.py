@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.llm import decontam, line_dedup, near_dedup, packing, quality
 from cohortweave.llm.common import prepare, read_table, written
+from cohortweave.session import stage_tables
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +53,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of all documents that the stages keep.
+
+    Each stage's result is written; the tables written on the way to it go as soon as it is
+    there. Nulls, empty and repeated documents are treated as each stage's operator states; an
+    empty table gives an empty result.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with stage_tables(spark) as tables:
+            docs = tables.keep(written(stage(spark, docs, sf_dir), name))
     return docs
 
 
