@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +46,11 @@ def child_rows(labelled: DataFrame, adult_scores: DataFrame, rules: ModelRules =
 
 def stacked_models(
     labelled: DataFrame, adult_features: list[str], child_features: list[str], rules: ModelRules = ModelRules()
-) -> tuple[SearchResult, SearchResult]:
+) -> tuple[SearchResult, SearchResult | None]:
     """(adult search, child search) over one labelled table with cust_id, hh_id, age, obese and features.
 
+    Without children of both labels there is no child search.
+
     Adult scores are out of fold, and folds go by household: the score a child row sees comes
     from a model that was trained without its household, as will be the case for new people.
     """
@@ -55,11 +58,13 @@ def stacked_models(
     adults = model_search(class_weights(folded, rules.adult_ages), adult_features, fold_key="fold_id", **rules.search)
     scores = cross_validated_scores(adults).select("cust_id", "p1")
     children = child_rows(folded, scores, rules)
+    if children.where(F.col("obese").isNotNull()).select("obese").distinct().count() < 2:
+        return adults, None
     return adults, model_search(children, [*child_features, HOUSEHOLD_SCORE], fold_key="fold_id", **rules.search)
 
 
-def leaderboards(adults: SearchResult, children: SearchResult) -> DataFrame:
-    """Both leaderboards, best models first within each stratum."""
+def leaderboards(adults: SearchResult, children: SearchResult | None) -> DataFrame:
+    """Both leaderboards, best models first within each stratum; only the adults' where there is no child search."""
     spark = adults.training.sparkSession
-    parts = [leaderboard(spark, s).select(F.lit(n).alias("stratum"), "*") for n, s in ((ADULTS, adults), (CHILDREN, children))]
-    return parts[0].unionByName(parts[1])
+    searches = [(ADULTS, adults), *([(CHILDREN, children)] if children else [])]
+    return reduce(DataFrame.unionByName, [leaderboard(spark, s).select(F.lit(n).alias("stratum"), "*") for n, s in searches])

@@ -318,6 +318,8 @@ def test_stacked_children_see_no_score_of_a_model_trained_on_their_household(spa
         assert r[wm.HOUSEHOLD_SCORE] == (pytest.approx(sum(wanted) / len(wanted)) if wanted else None)
     board = wm.leaderboards(adults, children).collect()
     assert {r.stratum for r in board} == {wm.ADULTS, wm.CHILDREN}
+    adults, children = wm.stacked_models(labelled.where("age = 40"), ["x"], ["x"], rules)
+    assert children is None and {r.stratum for r in wm.leaderboards(adults, children).collect()} == {wm.ADULTS}
 
 
 def test_registered_model_queries_end_with_all_candidates_and_folds(spark):
