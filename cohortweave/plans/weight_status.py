@@ -13,6 +13,7 @@ from cohortweave.operators import windows as wi
 from cohortweave.operators.codes import code_flags
 from cohortweave.operators.enrolment import enrolled_k_of_n
 from cohortweave.operators.labels import bmi_label, unambiguous_latest, weight_label
+from cohortweave.session import written
 
 
 @dataclass(frozen=True)
@@ -53,13 +54,16 @@ def weight_status_labels(
     ``diagnoses`` and ``pregnancy_diagnoses`` are one row per (key, date, code), already
     limited by claim status or by sex and age. Rows shrink to one per person and day before
     they meet the eligible people, so the calendar bounds what a join or window sees of one
-    person, and the window reuses the join's partitioning.
+    person, and the window reuses the join's partitioning. Eligible people, diagnosis labels
+    and exclusion windows are written: no task holds the sorts and groups of all steps at once,
+    and what two steps read is computed once.
     """
+    eligible = written(eligible.select(key), "eligible")
     wanted = sorted({c for codes, _ in rules.families.values() for c in codes})
     coded = diagnoses.where(F.col(code_col).isin(wanted))
     daily = code_flags(coded, code_col, rules.families, [key, dt_col]).join(eligible, key, "left_semi")
     flags = wi.current_and_prior_flags(daily, list(rules.families), rules.first, rules.last, rules.lookback_days, key=key, dt=dt_col)
-    labels = weight_label(flags, None, persons, key=key)
+    labels = written(weight_label(flags, None, persons, key=key), "weight-labels")
     labels = unambiguous_latest(bmi_label(bmi_records), labels, rules.first, rules.last, key=key)
 
     pregnancy_codes = [*rules.inclusion, *rules.exclusion, *rules.delivery]
@@ -73,4 +77,5 @@ def weight_status_labels(
         code_col=code_col,
     ).join(eligible, key, "left_semi")
     drg_days = delivery_drg_days.select(key, dt_col).distinct().join(eligible, key, "left_semi")
-    return wi.exclude_in_windows(labels, wi.exclusion_windows(days, drg_days, key=key, dt=dt_col), key)
+    windows = written(wi.exclusion_windows(days, drg_days, key=key, dt=dt_col), "exclusion-windows")
+    return wi.exclude_in_windows(labels, windows, key)

@@ -22,12 +22,17 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+#: Bytes of shuffled rows that tasks read, unless the session says otherwise: a task that groups and
+#: sorts rows along several steps needs some thirty times as much memory.
+TASK_BYTES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options the operators are designed for on an existing session."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if spark.conf.get(TASK_BYTES[0], None) is None:
+        spark.conf.set(*TASK_BYTES)
     return spark
 
 
@@ -41,7 +46,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g", app
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in [*RUNTIME_CONF.items(), TASK_BYTES]:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

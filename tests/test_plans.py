@@ -2,6 +2,7 @@
 
 import pytest
 
+from cohortweave import session
 from cohortweave.catalog import ORACLES, QUERIES
 from cohortweave.catalog.views import claims_v, referrals_v, scores_v
 from cohortweave.operators import cohort as ch
@@ -42,3 +43,25 @@ def test_no_query_compares_all_pairs_or_runs_python(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert operator not in text
+
+
+def test_weight_labels_end_in_a_stage_of_few_steps(spark):
+    """The last stage reads written labels and windows: no claims, no flags of all steps in one task."""
+    text = plan(QUERIES["weight_status_labels"](spark, SF))
+    assert "lineitem" not in text and text.count("weight-labels-") >= 1 and "exclusion-windows-" in text
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_tuning_leaves_task_sizes_that_the_session_has_set(spark):
+    key, size = session.TASK_BYTES
+    assert session.tune(spark).conf.get(key) == size
+    try:
+        spark.conf.set(key, "8m")
+        assert session.tune(spark).conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, size)
+
+
+def test_strata_read_their_rows_from_one_written_table(spark):
+    text = plan(QUERIES["model_strata"](spark, SF))
+    assert "model-rows-" in text and "orders" not in text and "customer" not in text
