@@ -255,7 +255,7 @@ def model_rows(spark, sf_dir):
     """,
 )
 def model_strata(spark, sf_dir):
-    rows = weight_models.strata(model_rows(spark, sf_dir))
+    rows = weight_models.strata(written(model_rows(spark, sf_dir), "model-rows"))
     return rows.select("cust_id", "stratum", "hh_id", "obese", F.round("weight", 9).alias("weight"), "fold")
 
 
