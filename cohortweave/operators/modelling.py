@@ -113,6 +113,20 @@ def fold_of(key: str = "cust_id", folds: int = FOLDS, seed: int = SEED) -> Colum
     return key_hash(seed, key, folds)
 
 
+def _values_by_fold(data: DataFrame, features: list[str]) -> dict[int, dict[str, int]]:
+    """Fold to the number of values, neither NULL nor NaN, of each feature."""
+    values = [F.count(F.nanvl(F.col(f), F.lit(None).cast("double"))).alias(f) for f in features]
+    return {r["__fold"]: {f: r[f] for f in features} for r in data.groupBy("__fold").agg(*values).collect()}
+
+
+def _with_values(features: list[str], values: dict[int, dict[str, int]], without: int | None = None) -> list[str]:
+    """Features with a value in some fold but the one given. The others have no mean and tell a model nothing.
+
+    Where none has any, all are kept and the Imputer names them in its error.
+    """
+    return [f for f in features if any(n[f] for fold, n in values.items() if fold != without)] or features
+
+
 class _Fold:
     """The rows of one fold, prepared from the others; held in memory only while fits use them."""
 
@@ -202,7 +216,8 @@ def model_search(
     run at a time, in order of folds, so few folds are in memory. The best candidate is fitted
     on all rows, a boosted one with the folds' mean number of trees, and its fold models are
     kept. Training data stays distributed, in partitions of about PART_BYTES: the driver sees
-    metrics and models only. Every fold must leave rows of both labels to train on.
+    metrics and models only. Every fold must leave rows of both labels to train on. A feature
+    without any value in the rows that a model is trained on is no feature of that model.
     """
     data = train.where(F.col(label).isNotNull() & F.col(weight).isNotNull()).select(
         key,
@@ -222,7 +237,8 @@ def model_search(
         def each(work, items: list) -> list:
             return pool.map(_with_local_properties(train.sparkSession, work), items, chunksize=1)
 
-        parted = each(lambda i: _Fold(data, features, label, weight, i), list(range(folds)))
+        values = _values_by_fold(data, features)
+        parted = each(lambda i: _Fold(data, _with_values(features, values, i), label, weight, i), list(range(folds)))
 
         def fit(job: tuple[Candidate, int]):
             candidate, i = job
@@ -257,7 +273,7 @@ def model_search(
                 return _fit_fold(held, best, label, weight, seed, tolerance)
 
         models = each(best_of_fold, list(range(folds)))
-    prepare = _preparation(features).fit(data)
+    prepare = _preparation(_with_values(features, values)).fit(data)
     trees = {"maxIter": max(1, round(sum(m.getNumTrees for m in models) / folds))} if best.algo == "gbm" else {}
     whole = PipelineModel([*prepare.stages, _learner(best, label, weight, seed, **trees).fit(prepare.transform(data))])
     fold_models = [PipelineModel([*f.prepare.stages, m]) for f, m in zip(parted, models, strict=True)]

@@ -341,3 +341,29 @@ def test_registered_model_queries_end_with_all_candidates_and_folds(spark):
     assert len(scores) == 150 and all(0 <= p <= 1 for p in scores.values())
     folds = QUERIES["cross_validated_scores"](spark, sf)
     assert folds.count() == search.training.count() == folds.select("cust_id").distinct().count()
+
+
+def test_features_without_values_are_left_out_of_the_models_that_saw_none(spark):
+    rng = random.Random(4)
+    homes = [f"h{i}" for i in range(40)]
+    alone = next(h for h in homes if spark.range(1).select(F.lit(h).alias("h")).select(mo.fold_of("h", 3).alias("f")).first().f == 1)
+    people = [(f"p{i}", homes[i % 40], rng.randint(0, 1), 1.0, rng.random(), None, rng.choice([None, float("nan")])) for i in range(240)]
+    people = [(*p[:5], rng.random(), p[6]) if p[1] == alone else p for p in people]
+    df = spark.createDataFrame(people, "cust_id string, home string, obese int, weight double, x double, rare double, never double")
+    cs = [mo.Candidate("glm", (("regParam", 0.01), ("elasticNetParam", 0.0))), mo.Candidate("gbm", (("maxDepth", 2), ("stepSize", 0.1), ("maxIter", 3)))]
+    search = mo.model_search(df, ["x", "rare", "never"], fold_key="home", folds=3, candidates=cs)
+    assert search.best.stages[0].getInputCols() == ["x", "rare"]
+    assert [m.stages[0].getInputCols() for m in search.fold_models] == [["x", "rare"], ["x"], ["x", "rare"]]
+    scores = mo.cross_validated_scores(search)
+    assert scores.count() == 240 and scores.where("p1 between 0 and 1").count() == 240
+    assert mo.score(search.best, df).where("p1 between 0 and 1").count() == 240
+
+
+def test_stacked_models_of_children_whose_households_have_no_scored_adult(spark):
+    rng = random.Random(5)
+    people = [(f"p{i}", i % 60, 40 if i % 60 < 30 else 10, rng.randint(0, 1), rng.random()) for i in range(360)]
+    labelled = spark.createDataFrame(people, "cust_id string, hh_id int, age int, obese int, x double")
+    rules = wm.ModelRules(search={"folds": 3, "candidates": [mo.Candidate("glm", (("regParam", 0.01), ("elasticNetParam", 0.0)))]})
+    adults, children = wm.stacked_models(labelled, ["x"], ["x"], rules)
+    assert children.training.count() == 180 and children.training.where(F.col(wm.HOUSEHOLD_SCORE).isNotNull()).count() == 0
+    assert {r.stratum for r in wm.leaderboards(adults, children).collect()} == {wm.ADULTS, wm.CHILDREN}
