@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.llm.common import WordHashes, factors, mix, written
+from cohortweave.session import drop_dead_shuffles, stage_tables
 
 #: Words of a window: a repeat of at least this many words is removed.
 WINDOW = 13
@@ -187,26 +188,36 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Tr
     make none. An empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    table = written(parsed(texts, window), "parsed")
-    able = table.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    firsts = written(able.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
-    lead = able.join(firsts, "digest").where(F.col("doc_id") == F.col("first")).select("doc_id", F.explode("anchors").alias("anchor"))
-    common = lead.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
-    shared = lead.join(common, "anchor").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("anchor").alias("_anchors"))
-    windows = written(repeated_windows(texts, written(shared, "shared-anchors"), window), "windows")
-    source = windows.groupBy("name", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    gone = (
-        windows.join(source.select("name", "check", "low"), ["name", "check"])
-        .where("doc_id > low")
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(F.collect_set("name").alias("_gone"))
-    )
-    cut = _without(texts, gone, window)
-    cut = written(cut if with_text else cut.withColumn("kept", F.lit(None).cast("string")), "cut")
+    spark = docs.sparkSession
+    with stage_tables(spark) as stage:  # the anchors go once the shared ones are known
+        table = written(parsed(texts, window), "parsed")
+        able = table.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
+        firsts = stage.keep(written(able.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts"))
+        lead = able.join(firsts, "digest").where(F.col("doc_id") == F.col("first")).select("doc_id", F.explode("anchors").alias("anchor"))
+        common = lead.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+        shared = lead.join(common, "anchor").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("anchor").alias("_anchors"))
+        shared = stage.keep(written(shared, "shared-anchors"))
+        table = stage.keep(written(table.drop("anchors"), "documents"))
+    drop_dead_shuffles(spark)
+    with stage_tables(spark) as stage:
+        windows = written(repeated_windows(texts, shared, window), "windows")
+        drop_dead_shuffles(spark)
+        source = windows.groupBy("name", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+        gone = (
+            windows.join(source.select("name", "check", "low"), ["name", "check"])
+            .where("doc_id > low")
+            .groupBy(F.col("doc_id").alias("_doc"))
+            .agg(F.collect_set("name").alias("_gone"))
+        )
+        gone = written(gone, "gone")
+        drop_dead_shuffles(spark)
+        cut = _without(texts, gone, window)
+        cut = stage.keep(written(cut if with_text else cut.withColumn("kept", F.lit(None).cast("string")), "cut"))
+    drop_dead_shuffles(spark)
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("first").isNotNull() & (F.col("doc_id") > F.col("first"))
     named = cut.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "n_removed", "kept", F.col("kept_sha256").alias("_sha")).distinct()
-    whole = table.drop("anchors").join(firsts, "digest", "left")
+    whole = table.join(firsts, "digest", "left")
     result = whole.join(named, (whole["doc_id"] == named["_doc"]) & (whole["digest"] == named["_digest"]), "left").select(
         "doc_id",
         "n_words",

@@ -120,6 +120,14 @@ def stage_tables(spark: SparkSession) -> Iterator[StageTables]:
         owner.delete(spark)
 
 
+def drop_dead_shuffles(spark: SparkSession) -> None:
+    """Has the driver's JVM collect garbage: Spark deletes a shuffle's files once nothing there refers to it.
+
+    For steps between written tables whose shuffles are as large as their input.
+    """
+    spark._jvm.System.gc()
+
+
 @atexit.register
 def _delete_the_rest() -> None:
     """What nobody owned goes when the process ends while its session is still running."""

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortweave import session
 from cohortweave.llm import chat, decontam, language_id, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, topk
 from cohortweave.llm.common import WordHashes, prepare, shingle_hashes
 from cohortweave.llm.cuckoo import CuckooFilter
@@ -671,3 +672,12 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, docs, rows):
     packed = corpus_pipeline.STAGES[-1][1](spark, frame, SF)
     assert {r["doc_id"] for r in packed.collect()} == kept[4]
     assert Path(corpus_pipeline.__file__).name == "corpus_pipeline.py"
+
+
+def test_substring_dedup_leaves_only_the_tables_that_its_result_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    phrase = " ".join(f"w{i}" for i in range(14))
+    docs = spark.createDataFrame([(1, "a " + phrase), (2, phrase + " b"), (3, "short"), (4, None)], "doc_id long, text string")
+    got = substring_dedup.dedup_substrings(docs)
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {"documents", "firsts", "shared-anchors", "cut"}
+    assert {r.doc_id: r.n_removed for r in got.collect()} == {1: 0, 2: 14, 3: 0, 4: 0}
