@@ -46,14 +46,22 @@ class ItemBlock:
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         by_class: dict[int, list[int]] = {}
         few: list[int] = []
+        held, widths = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for k, own in enumerate(self.shingles):
             if self.sizes[k] < SHINGLE:
                 continue
-            if len(own) > FEW_SHINGLES:
-                by_class.setdefault(1 << int(len(own) - 1).bit_length(), []).append(k)
+            width = 1 << int(len(own) - 1).bit_length() if len(own) > FEW_SHINGLES else 1
+            if width > 1:
+                by_class.setdefault(width, []).append(k)
             else:
                 few.append(k)
-                self.table[self._cell(own)] = True
+            self.table[self._cell(own)] = True
+            held.append(own)
+            widths.append(np.full(len(own), width))
+        #: The shingles of these items, and the widths of the classes that hold each (1: few), as bits.
+        self.known, at = np.unique(np.concatenate(held), return_inverse=True)
+        self.widths = np.zeros(len(self.known), np.int64)
+        np.bitwise_or.at(self.widths, at, np.concatenate(widths))
         values = np.concatenate([np.empty(0, np.uint64), *(self.shingles[k] for k in few)])
         order = np.argsort(values, kind="stable")
         #: Items of fewer words than a shingle has: their one shingle, by their number of words.
@@ -65,8 +73,6 @@ class ItemBlock:
         self.few = values[order], np.repeat(few, [len(self.shingles[k]) for k in few]).astype(np.int64)[order]
         for width, members in by_class.items():
             sketches = np.stack([_registers(self.shingles[k]) for k in members])
-            for k in members:
-                self.table[self._cell(self.shingles[k])] = True
             values = (sketches ^ _SEEDS).ravel()  # registers of different hashes do not meet
             order = np.argsort(values, kind="stable")
             self.classes[width] = values[order], np.repeat(members, REGISTERS)[order]
@@ -81,8 +87,8 @@ class ItemBlock:
         Items of fewer words than a shingle has are looked for among the document's runs of as
         many words. Items of few shingles are candidates if the document holds one of them. For each size
         class of the others the document is cut to stretches of twice the class width that
-        overlap by half; a stretch without any shingle of an item (a bit table tells) has no
-        register in common with one and is passed over.
+        overlap by half; a stretch without any shingle of an item of the class (a bit table and
+        the sorted shingles tell) has no register in common with one and is passed over.
         """
         out = []
         for size, (values, owners) in self.short.items():
@@ -93,6 +99,10 @@ class ItemBlock:
                     out += [(int(k), 1, 1) for k in owners[a:b]]
         shingles = shingle_hashes(words)
         hits = np.flatnonzero(self.table[self._cell(shingles)])
+        if len(hits):  # other shingles share the cells
+            at = np.minimum(np.searchsorted(self.known, shingles[hits]), len(self.known) - 1)
+            own = self.known[at] == shingles[hits]
+            hits, widths = hits[own], self.widths[at[own]]
         if not len(hits):
             return out
         values, owners = self.few
@@ -101,7 +111,7 @@ class ItemBlock:
         for a, b in set(zip(low[high > low].tolist(), high[high > low].tolist())):
             candidates.update(owners[a:b].tolist())
         for width, (values, owners) in self.classes.items():
-            blocks = hits // width
+            blocks = hits[widths & width > 0] // width
             for b in np.unique(np.r_[blocks, np.maximum(blocks - 1, 0)]):
                 mine = _registers(shingles[b * width : (b + 2) * width]) ^ _SEEDS
                 low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")

@@ -643,6 +643,20 @@ def test_items_of_five_to_sixteen_words_are_found_at_starts_and_inside():
         assert [x[0] for x in found] == [k], (k, len(item), at)
 
 
+def test_stretches_are_sketched_only_where_they_hold_a_shingle_of_the_class(monkeypatch):
+    items = [" ".join(f"{c}{j}" for j in range(n)) for c, n in (("a", 7), ("b", 14), ("c", 40), ("d", 400))]
+    block, words = decontam.ItemBlock(list(enumerate(items))), WordHashes()
+    block.table[:] = True  # as if all cells were hit by others
+    widths, registers = [], decontam._registers
+    monkeypatch.setattr(decontam, "_registers", lambda part: (widths.append(len(part)), registers(part))[1])
+    rest = [f"w{k}" for k in range(3_000)]
+    assert block.found(words.of(" ".join(rest)), 0.8) == [] and not widths
+    for k, item in enumerate(items):
+        widths.clear()
+        assert [x[0] for x in block.found(words.of(" ".join(rest[:1500] + item.split() + rest[1500:])), 0.8)] == [k]
+        assert set(widths) == [set(), {32}, {128}, {1024}][k]
+
+
 def test_decontamination_in_blocks_odd_and_empty(spark, docs, odd_docs, no_docs, monkeypatch):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = sorted(tuple(r) for r in decontam.contaminated(docs, benchmark).collect())
