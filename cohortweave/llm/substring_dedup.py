@@ -52,7 +52,7 @@ def anchors(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
         span, low, high = span[fits], low[fits], high[fits]
         key = mix((sums[high] - sums[low]) * shift[low] ^ mix((high - low).astype(np.uint64), 8), 9)
         key = (key >> np.uint64(1)) | ((span > 1).astype(np.uint64) << np.uint64(63))
-        np.maximum.at(best, (high - low, low), key)
+        best[high - low, low] = key  # one range, one name; later symbols are of two words or more
 
     starts = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
     ends = np.r_[starts[1:], n]
@@ -134,10 +134,14 @@ def parsed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def _marked(sequences: list[np.ndarray]) -> np.ndarray:
+    """The documents as one sequence with marks between and around them."""
+    return np.concatenate([x for s in sequences for x in ([_MARK], s)] + [[_MARK]]).astype(np.uint64)
+
+
 def _anchors_of(sequences: list[np.ndarray], window: int) -> list[np.ndarray]:
     """The distinct anchors of each of several documents, parsed as one sequence."""
-    marked = np.concatenate([x for s in sequences for x in ([_MARK], s)] + [[_MARK]]).astype(np.uint64)
-    held, start, out = anchors(marked, window), 1, []
+    held, start, out = anchors(_marked(sequences), window), 1, []
     for s in sequences:
         own = held[start : start + max(0, len(s) - window + 1)]
         out.append(np.unique(own[np.r_[True, own[1:] != own[:-1]]]) if len(own) else own)
@@ -145,28 +149,43 @@ def _anchors_of(sequences: list[np.ndarray], window: int) -> list[np.ndarray]:
     return out
 
 
+def _windows_of(group: list[tuple[int, np.ndarray, np.ndarray]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc_id, name, check) of the distinct windows of several documents whose anchor is in their list.
+
+    A document is its id, its words (a window at least) and its list. All are parsed as one sequence.
+    """
+    marked = _marked([own for _, own, _ in group])
+    held, every = anchors(marked, window), window_names(marked, window, 1)
+    start, ids, names, at = 1, [], [], []
+    for doc_id, own, wanted in group:
+        hit = start + np.flatnonzero(np.isin(held[start : start + len(own) - window + 1], wanted))
+        name, first = np.unique(every[hit], return_index=True)
+        ids.append(np.full(len(name), doc_id, np.int64))
+        names.append(name)
+        at.append(hit[first])
+        start += len(own) + 1
+    return np.concatenate(ids), np.concatenate(names), window_names(marked, window, 2)[np.concatenate(at)]
+
+
 def repeated_windows(docs: DataFrame, shared: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, name, check) of the windows whose anchor is one of the document's `_anchors` in `shared`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            ids, names, checks = [], [], []
-            column = batch.column(2)
+            doc_ids, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
             flat, offsets = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
-            for i, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            group, size = [], 0
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 own = words.of(text, lower=False)
-                if len(own) < window:
-                    continue
-                marked = np.r_[_MARK, own, _MARK].astype(np.uint64)
-                hit = np.isin(anchors(marked, window)[1:-1], flat[offsets[i] : offsets[i + 1]])
-                name, first = np.unique(window_names(own, window, 1)[hit], return_index=True)
-                names.append(name)
-                checks.append(window_names(own, window, 2)[hit][first])
-                ids.append(np.full(len(name), doc_id, np.int64).view(np.uint64))
-            doc, name, check = (np.concatenate(x or [np.zeros(0, np.uint64)]).astype(np.uint64).view(np.int64) for x in (ids, names, checks))
-            short = (check >> 32).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(name), pa.array(short)], names=["doc_id", "name", "check"])
+                if len(own) >= window:
+                    group.append((doc_ids[i], own, flat[offsets[i] : offsets[i + 1]]))
+                    size += len(own)
+                if group and (size > WORDS_AT_ONCE or i == batch.num_rows - 1):
+                    doc, name, check = (x.view(np.int64) for x in _windows_of(group, window))
+                    short = (check >> 32).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(name), pa.array(short)], names=["doc_id", "name", "check"])
+                    group, size = [], 0
 
     joined = docs.join(shared, docs["doc_id"] == shared["_doc"]).select("doc_id", "text", "_anchors")
     return joined.mapInArrow(run, "doc_id long, name long, check int")

@@ -552,6 +552,22 @@ def test_substring_dedup_of_runs_and_periods(spark):
     assert substrings_of(table) == brute_substrings(texts)
 
 
+def test_documents_are_parsed_together_into_the_windows_of_each(monkeypatch):
+    rng, window = random.Random(8), substring_dedup.WINDOW
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.choice((13, 14, 40, 300)))) for _ in range(30)] + ["a " * 50]
+    words, parse, names = WordHashes(), substring_dedup.anchors, substring_dedup.window_names
+    own = [words.of(t, lower=False) for t in texts]
+    lists = [found[::2] for found in substring_dedup._anchors_of(own, window)]
+    expected = set()
+    for k, (sequence, wanted) in enumerate(zip(own, lists)):
+        hit = np.isin(parse(substring_dedup._marked([sequence]))[1:-1], wanted)
+        expected |= {(k, *w) for w in zip(names(sequence, window, 1)[hit].tolist(), names(sequence, window, 2)[hit].tolist())}
+    calls = []
+    monkeypatch.setattr(substring_dedup, "anchors", lambda *a: (calls.append(1), parse(*a))[1])
+    found = list(zip(*(x.tolist() for x in substring_dedup._windows_of(list(zip(range(len(own)), own, lists)), window))))
+    assert len(calls) == 1 and len(found) == len(set(found)) and set(found) == expected and expected
+
+
 def test_substring_odd_and_empty(odd_docs, no_docs):
     found = sorted((r["doc_id"] or 0, r["n_removed"]) for r in substring_dedup.dedup_substrings(odd_docs).collect())
     assert found == [(0, 0), (0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (4, 0), (5, 60_000), (6, 0)]
