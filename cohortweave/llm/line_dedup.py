@@ -46,28 +46,36 @@ def _counts_as_repeat(key: bytes, min_chars: int) -> bool:
     return len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode()) >= min_chars)
 
 
+_KEYS = "doc_id long, key binary"
+
+
+def _keys_in(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, key) of batches of (doc_id, text); see `line_keys`."""
+    for doc_ids, texts in rows_of(batches):
+        ids, keys = [], []
+        for doc_id, text in zip(doc_ids, texts, strict=True):
+            own = {_digest(k) for k in map(line_key, (text or "").split("\n")) if _counts_as_repeat(k, min_chars)}
+            keys.extend(own)
+            ids.extend([doc_id] * len(own))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
+
+
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, key): the distinct long-enough line keys of every row of docs, as 16-byte digests."""
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _keys_in(batches, min_chars), _KEYS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, texts in rows_of(batches):
-            ids, keys = [], []
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                own = {_digest(k) for k in map(line_key, (text or "").split("\n")) if _counts_as_repeat(k, min_chars)}
-                keys.extend(own)
-                ids.extend([doc_id] * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, key binary")
 
+def _maybe_held(rows: DataFrame, filters: DataFrame, shards: int, min_chars: int | None = None) -> DataFrame:
+    """The keys (doc_id, key) that the filters (shard, filter) of their shards may hold.
 
-def _maybe_held(keys: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """The keys (doc_id, key) that the filters (shard, filter) of their shards may hold."""
-    sent = keys.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in filters.collect()})
+    With `min_chars` rows are documents, whose line keys are made in the same task: two Python
+    steps in a row would hold two workers per task.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in filters.collect()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {s: CuckooFilter.of_bytes(b) for s, b in sent.value.items()}
-        for batch in batches:
+        for batch in batches if min_chars is None else _keys_in(batches, min_chars):
             own = batch.column("key").to_pylist()
             maybe = np.zeros(len(own), bool)
             if own:
@@ -78,7 +86,7 @@ def _maybe_held(keys: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
                         maybe[shard == s] = held[s].contains(hashes[shard == s])
             yield batch.select(["doc_id", "key"]).filter(pa.array(maybe))
 
-    return keys.select("doc_id", "key").mapInArrow(run, "doc_id long, key binary")
+    return rows.select(F.col("doc_id").cast("long"), "key" if min_chars is None else "text").mapInArrow(run, _KEYS)
 
 
 def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -214,13 +222,12 @@ class LineState:
                 held = 0
             lots[-1].append(shard)
             held += n
-        keys = line_keys(docs, self.min_chars)
         if len(lots) == 1:
-            maybe = _maybe_held(keys, self.filters, self.shards)
+            maybe = _maybe_held(docs, self.filters, self.shards, self.min_chars)
         else:
             last = F.array(*[F.lit(lot[-1]) for lot in lots])
             lot_of = F.size(F.filter(last, lambda upto: upto < F.col("shard")))
-            keys = keys.withColumn("shard", _shard(self.shards)).withColumn("lot", lot_of)
+            keys = line_keys(docs, self.min_chars).withColumn("shard", _shard(self.shards)).withColumn("lot", lot_of)
             path = shared_path(keys.sparkSession, "lines-by-lot")
             keys.write.partitionBy("lot").parquet(path)
             dealt = keys.sparkSession.read.schema(keys.schema).parquet(path)

@@ -464,6 +464,12 @@ def test_many_lots_and_shards_of_filters_give_the_same(docs, monkeypatch, name,
     assert rows[0] == rows[1] and sum(r[1] for r in rows[0])
 
 
+def test_lines_are_cut_and_tested_by_one_python_worker(docs):
+    state = line_dedup.LineState.empty(docs.sparkSession).insert(docs)
+    plan = state.repeated_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan
+
+
 def test_full_filters_are_built_anew(spark):
     line = lambda i: f"this is the repeated line {i}"
     few = prepare(spark).createDataFrame([(d, line(0)) for d in range(3)], "doc_id long, text string")
