@@ -24,6 +24,8 @@ from cohortweave.session import written
 MAX_MODELS, FOLDS, SEED, TOLERANCE, ROUNDS = 50, 10, 789, 0.0001, 5
 #: Fits at a time, and bytes of training rows in a partition.
 PARALLELISM, PART_BYTES = 8, 64 << 20
+#: Boosted trees are fitted to distinct rows where there are at least this many rows to one.
+ROWS_TO_ONE = 2
 
 
 @dataclass(frozen=True)
@@ -127,14 +129,19 @@ def _with_values(features: list[str], values: dict[int, dict[str, int]], without
     return [f for f in features if any(n[f] for fold, n in values.items() if fold != without)] or features
 
 
-class _Fold:
-    """The rows of one fold, prepared from the others; held in memory only while fits use them."""
+def _distinct(data: DataFrame, by: list[Column | str], weight: str) -> DataFrame:
+    """Rows equal in ``by`` as one row with the sum of their weights.
 
-    def __init__(self, data: DataFrame, features: list[str], label: str, weight: str, number: int):
-        inside = F.col("__fold") == number
-        self.prepare = _preparation(features).fit(data.where(~inside))
-        self.rows = self.prepare.transform(data).select("__features", label, weight, inside.alias("__test"))
-        self.lock, self.users, self.held = Lock(), 0, None
+    Boosted trees see a row through weighted sums only, so their fit and loss are those of all rows.
+    """
+    return data.groupBy(*by).agg(F.sum(weight).alias(weight))
+
+
+class _Held:
+    """Rows held in memory only while fits use them."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.lock, self.users, self.held = rows, Lock(), 0, None
 
     def __enter__(self) -> DataFrame:
         with self.lock:
@@ -151,6 +158,29 @@ class _Fold:
                 self.held = None
 
 
+class _Fold:
+    """The rows of one fold, prepared from the others: all for regressions, distinct ones for trees where they are few.
+
+    ``parts`` is the number of partitions of distinct rows, None to fit trees to all rows. Distinct
+    rows are written, as every tree of every candidate has passes over them.
+    """
+
+    def __init__(self, data: DataFrame, features: list[str], used: list[str], label: str, weight: str, number: int, parts: int | None):
+        inside = F.col("__fold") == number
+        self.prepare = _preparation(used).fit(data.where(~inside))
+        self.rows = _Held(self._prepared(data.withColumn("__test", inside), label, weight))
+        self.boosted = self.rows
+        if parts:
+            few = _distinct(data, [*features, label, inside.alias("__test")], weight).coalesce(parts)
+            self.boosted = _Held(written(self._prepared(few, label, weight), "distinct-rows"))
+
+    def _prepared(self, data: DataFrame, label: str, weight: str) -> DataFrame:
+        return self.prepare.transform(data).select("__features", label, weight, "__test")
+
+    def held(self, candidate: Candidate) -> _Held:
+        return self.boosted if candidate.algo == "gbm" else self.rows
+
+
 def _fit_fold(rows: DataFrame, candidate: Candidate, label: str, weight: str, seed: int, tolerance: float):
     """The candidate's model of the rows outside the fold.
 
@@ -216,7 +246,8 @@ def model_search(
     run at a time, in order of folds, so few folds are in memory. The best candidate is fitted
     on all rows, a boosted one with the folds' mean number of trees, and its fold models are
     kept. Training data stays distributed, in partitions of about PART_BYTES: the driver sees
-    metrics and models only. Every fold must leave rows of both labels to train on. A feature
+    metrics and models only. Trees are fitted to distinct rows, weighted by their sums, where
+    these are few, as of features in whole years, counts and flags. Every fold must leave rows of both labels to train on. A feature
     without any value in the rows that a model is trained on is no feature of that model.
     """
     data = train.where(F.col(label).isNotNull() & F.col(weight).isNotNull()).select(
@@ -227,9 +258,17 @@ def model_search(
         fold_of(fold_key or key, folds, seed).alias("__fold"),
     )
     training = written(data, "training-rows")
-    parts = max(1, math.ceil(training.count() * (len(features) + 3) * 8 / PART_BYTES))
-    data = training.coalesce(parts)
+
+    def partitions(rows: int) -> int:
+        return max(1, math.ceil(rows * (len(features) + 3) * 8 / PART_BYTES))
+
+    total = training.count()
+    data = training.coalesce(partitions(total))
     queue = (candidates or default_candidates())[:max_models]
+    one_each = _distinct(data, [*features, label], weight)
+    distinct = one_each.count() if any(c.algo == "gbm" for c in queue) else total
+    # a fold's distinct rows are in it or outside of it, or both
+    few = partitions(2 * distinct) if distinct * ROWS_TO_ONE <= total else None
     best, best_loss, rows, fitted = None, float("inf"), [], {}
     losses: dict[Candidate, list[float]] = {}
     with ThreadPool(max(1, parallelism)) as pool:
@@ -238,11 +277,11 @@ def model_search(
             return pool.map(_with_local_properties(train.sparkSession, work), items, chunksize=1)
 
         values = _values_by_fold(data, features)
-        parted = each(lambda i: _Fold(data, _with_values(features, values, i), label, weight, i), list(range(folds)))
+        parted = each(lambda i: _Fold(data, features, _with_values(features, values, i), label, weight, i, few), list(range(folds)))
 
         def fit(job: tuple[Candidate, int]):
             candidate, i = job
-            with parted[i] as held:
+            with parted[i].held(candidate) as held:
                 model = _fit_fold(held, candidate, label, weight, seed, tolerance)
                 shorter = [c for c in queue if _longest(c, queue) == candidate]
                 return model, list(zip(shorter, _fold_losses(model, held.where("__test"), shorter, label, weight)))
@@ -262,20 +301,22 @@ def model_search(
                 if best is None or loss < best_loss:
                     best, best_loss = candidate, loss
             later = queue[start + rounds :]
-            fitted = {c: models for c, models in fitted.items() if c == best or c in later}
+            fitted = {c: models for c, models in fitted.items() if c == _longest(best, queue) or c in later}
             if before - best_loss <= tolerance:
                 break
 
         def best_of_fold(i: int):
-            if best in fitted:
-                return fitted[best][i]
-            with parted[i] as held:
+            model = fitted[_longest(best, queue)][i]
+            if best.algo != "gbm" or model.getNumTrees <= best.trees():
+                return model
+            with parted[i].held(best) as held:
                 return _fit_fold(held, best, label, weight, seed, tolerance)
 
         models = each(best_of_fold, list(range(folds)))
     prepare = _preparation(_with_values(features, values)).fit(data)
     trees = {"maxIter": max(1, round(sum(m.getNumTrees for m in models) / folds))} if best.algo == "gbm" else {}
-    whole = PipelineModel([*prepare.stages, _learner(best, label, weight, seed, **trees).fit(prepare.transform(data))])
+    rows_of_best = one_each.coalesce(few) if few and best.algo == "gbm" else data
+    whole = PipelineModel([*prepare.stages, _learner(best, label, weight, seed, **trees).fit(prepare.transform(rows_of_best))])
     fold_models = [PipelineModel([*f.prepare.stages, m]) for f, m in zip(parted, models, strict=True)]
     return SearchResult(whole, best, fold_models, training, key, label, weight, rows)
 

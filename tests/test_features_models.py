@@ -359,6 +359,48 @@ def test_features_without_values_are_left_out_of_the_models_that_saw_none(spark)
     assert mo.score(search.best, df).where("p1 between 0 and 1").count() == 240
 
 
+def test_trees_are_fitted_to_distinct_rows_with_the_losses_of_all_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    kinds = [(rng.choice([0.0, 1.0, None, float("nan")]), float(rng.randint(0, 9))) for _ in range(30)]
+    rows = [(f"p{i}", int(rng.random() < (0.8 if 3 <= k[1] <= 6 else 0.2)), rng.choice([0.5, 1.0]), *k) for i, k in ((i, rng.choice(kinds)) for i in range(1500))]
+    df = spark.createDataFrame(rows, "cust_id string, obese int, weight double, flag double, n double")
+    cs = [
+        mo.Candidate("gbm", (("maxDepth", 3), ("stepSize", 0.1), ("maxIter", 4))),
+        mo.Candidate("glm", (("regParam", 0.01), ("elasticNetParam", 0.0))),
+        mo.Candidate("gbm", (("maxDepth", 3), ("stepSize", 0.1), ("maxIter", 8))),
+    ]
+    seen, whole = [], mo._fit_fold
+    monkeypatch.setattr(mo, "_fit_fold", lambda held, c, *rest: seen.append((c.algo, held.count(), held.agg(F.sum("weight")).first()[0])) or whole(held, c, *rest))
+
+    def search():
+        seen.clear()
+        return mo.model_search(df, ["flag", "n"], folds=3, candidates=cs), list(seen)
+
+    few, fits = search()
+    weights = sum(r[2] for r in rows)
+    assert all(n == 1500 if algo == "glm" else n <= 2 * 2 * 30 for algo, n, _ in fits)
+    assert all(w == pytest.approx(weights) for _, _, w in fits)
+    monkeypatch.setattr(mo, "ROWS_TO_ONE", math.inf)
+    every, fits = search()
+    assert {n for _, n, _ in fits} == {1500}
+    assert [r[1:3] for r in few.rows] == [r[1:3] for r in every.rows]
+    assert [r[3] for r in few.rows] == pytest.approx([r[3] for r in every.rows])
+    assert few.candidate == every.candidate and few.candidate.algo == "gbm"
+    for a, b in ((mo.score(few.best, df), mo.score(every.best, df)), (mo.cross_validated_scores(few), mo.cross_validated_scores(every))):
+        wanted = {r.cust_id: r.p1 for r in b.collect()}
+        assert len(wanted) == 1500 and {r.cust_id: r.p1 for r in a.collect()} == pytest.approx(wanted)
+
+
+def test_a_fold_model_of_no_more_trees_than_the_best_candidate_is_not_fitted_again(spark, monkeypatch):
+    cs = [mo.Candidate("gbm", (("maxDepth", 2), ("stepSize", 0.1), ("maxIter", i))) for i in (3, 30)]
+    df = spark.createDataFrame([(f"p{i}", i % 2, 1.0, float(i % 7)) for i in range(300)], "cust_id string, obese int, weight double, x double")
+    fits, whole = [], mo._fit_fold
+    monkeypatch.setattr(mo, "_fit_fold", lambda held, c, *rest: fits.append(c) or whole(held, c, *rest))
+    search = mo.model_search(df, ["x"], folds=3, candidates=cs, tolerance=0.05)
+    assert search.candidate == cs[0] and [m.stages[-1].getNumTrees for m in search.fold_models] == [1, 1, 1]
+    assert fits == [cs[1]] * 3
+
+
 def test_stacked_models_of_children_whose_households_have_no_scored_adult(spark):
     rng = random.Random(5)
     people = [(f"p{i}", i % 60, 40 if i % 60 < 30 else 10, rng.randint(0, 1), rng.random()) for i in range(360)]
